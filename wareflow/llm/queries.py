@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, quality, sharding
+from . import bpe, chat, jaccard, mixing, quality, sharding, suffixes
 
 QUERIES = {
     "op1_kd_shards": sharding.op1_kd_shards,
     "op2_quality": quality.op2_quality,
     "op3_chat_format": chat.op3_chat_format,
+    "op5_bpe": bpe.op5_bpe,
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
+    "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {}
