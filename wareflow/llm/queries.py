@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jaccard, mixing, quality, sharding, suffixes
+from . import bpe, chat, jaccard, mixing, quality, sharding, suffixes, toxicity
 
 QUERIES = {
     "op1_kd_shards": sharding.op1_kd_shards,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_chat_format": chat.op3_chat_format,
     "op5_bpe": bpe.op5_bpe,
     "op6_jaccard_join": jaccard.op6_jaccard_join,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
