@@ -14,7 +14,7 @@ WEIGHTS = (5, 2, 1)
 #: The mix has this many times the words of the corpus; a source gives this many times its own at most.
 SHARE, CAP = 1.5, 2.0
 #: Rows that one task rounds one after the other, and residuals that one node of the tree combines.
-BLOCK, FAN = 20_000, 256
+BLOCK, FAN = 1_000, 256
 
 ROUNDED = "source string, key long, doc_id long, size long, frac double, extra int"
 
