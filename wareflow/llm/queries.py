@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, jaccard, mixing, quality, sharding, suffixes, toxicity
+from . import bpe, chat, html, jaccard, mixing, neardup, quality, sharding, suffixes, toxicity
 
 QUERIES = {
     "op1_kd_shards": sharding.op1_kd_shards,
     "op2_quality": quality.op2_quality,
     "op3_chat_format": chat.op3_chat_format,
+    "op4_near_duplicates": neardup.op4_near_duplicates,
     "op5_bpe": bpe.op5_bpe,
     "op6_jaccard_join": jaccard.op6_jaccard_join,
+    "op7_main_text": html.op7_main_text,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_mixing": mixing.op10_mixing,
