@@ -55,18 +55,19 @@ class Suffixes:
         with np.errstate(over="ignore"):
             return _mix((sums[starts + n] - sums[starts]) * self.down[starts])
 
-    def retained(self, h: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The positions kept, and the hashes of the suffixes' heads there.
+    def retained(self, h: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The positions kept, the hashes of the suffixes' heads there, and the first and last passage of each.
 
-        Of each run of `length` words the head with the least hash is kept. A passage of that many
-        words, wherever it stands, thus keeps a suffix at the same place in it.
+        Of each passage of `length` words the head with the least hash is kept. The same passage, wherever
+        it stands, thus keeps a suffix at the same place in it. The passages that keep one
+        position start next to each other.
         """
         n = len(h) - self.head + 1
         heads = self.windows(sums, np.arange(n), self.head)
         span = self.length - self.head + 1
-        at = np.lib.stride_tricks.sliding_window_view(heads, span).argmin(axis=1) + np.arange(n - span + 1)
-        at = np.unique(at)
-        return at, heads[at]
+        kept = np.lib.stride_tricks.sliding_window_view(heads, span).argmin(axis=1) + np.arange(n - span + 1)
+        at, first, count = np.unique(kept, return_index=True, return_counts=True)
+        return at, heads[at], first, first + count - 1
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -88,9 +89,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, head: int = HEAD, id_c
     text are one document. Null and short texts have no spans. Other columns are ignored.
 
     Suffixes are kept at minimiser positions and sorted by their heads in a shuffle; heads with an equal
-    neighbour are repeats. Each such suffix is extended left and right in every
-    way that makes a passage of `length` words, and passages meet in a second shuffle by 64-bit
-    hash. Any repeated passage has a kept suffix whose head is repeated, so none is missed. Both
+    neighbour are repeats. Each such suffix is extended left and right over all passages that keep it.
+    Where all suffixes with one head extend alike, all those passages are repeats, in one row.
+    Only where they differ, at the borders of a match, do the passages meet one by one by 64-bit
+    hash. Any repeated passage has a kept suffix whose head is repeated, so none is missed. All
     shuffles count before they join, and a hot passage is never gathered.
     """
     send = docs.sparkSession.sparkContext.broadcast
@@ -109,35 +111,57 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, head: int = HEAD, id_c
     again = texts.select("text").mapInArrow(heads, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     marked = send(_bitmap(again))
 
-    def extend(batches):
-        sx, bits = Suffixes(length, head), marked.value
-        for b in _split(batches, 200):
-            ids, keys, starts, hashes = [], [], [], []
-            for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                h = sx.words(text)
-                if len(h) < length:
-                    continue
-                sums = sx.sums(h)
-                at, key = sx.retained(h, sums)
-                bit = (key.view(np.int64) % MARKS).astype(np.int64)
-                at = at[(bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1) == 1]
-                if len(at):
-                    s = np.unique((at[:, None] + np.arange(head - length, 1)[None, :]).ravel())
-                    s = s[(s >= 0) & (s <= len(h) - length)]
-                    ids.append(np.full(len(s), -1 if i is None else i))
-                    keys.append(np.full(len(s), xxhash.xxh3_64_intdigest(text.encode("utf-8")), dtype=np.uint64).view(np.int64))
-                    starts.append(s.astype(np.int64))
-                    hashes.append(sx.windows(sums, s, length).view(np.int64))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, keys, starts, hashes)], names=["id", "text_key", "start", "passage"])
-
-    windows = materialize(texts.mapInArrow(extend, "id long, text_key long, start long, passage long"), "suffix-windows")
-    one = F.struct("id", "text_key", "start")
-    repeated = windows.groupBy("passage").agg(F.min(one).alias("first"), F.max(one).alias("last")).filter("first <> last")
-    hits = windows.join(repeated.select("passage", "first"), "passage").select("id", "text_key", "start", (one == F.col("first")).alias("is_first")).distinct()
-    by = Window.partitionBy("id", "text_key", "is_first").orderBy("start")
-    hits = hits.withColumn("fresh", F.when(F.col("start") <= F.lag("start").over(by) + length, 0).otherwise(1))
-    spans = hits.withColumn("span", F.sum("fresh").over(by)).groupBy("id", "text_key", "is_first", "span").agg(F.min("start").alias("start_word"), (F.max("start") + length).alias("end_word"))
+    def extended(bits, only, single: bool):
+        """A row for each marked suffix, or (single) for each passage of the texts that `only` marks."""
+
+        def run(batches):
+            sx = Suffixes(length, head)
+            for b in _split(batches, 200):
+                out = []
+                for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                    key = np.uint64(xxhash.xxh3_64_intdigest((text or "").encode("utf-8"))).view(np.int64)
+                    if only is not None and not only.value[(key % MARKS) >> 3] >> (int(key % MARKS) & 7) & 1:
+                        continue
+                    h = sx.words(text)
+                    if len(h) < length:
+                        continue
+                    sums = sx.sums(h)
+                    at, found, first, last = sx.retained(h, sums)
+                    bit = found.view(np.int64) % MARKS
+                    hit = (bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1) == 1
+                    at, found, first, last = at[hit], found[hit], first[hit], last[hit]
+                    if single and len(at):
+                        n = last - first + 1
+                        first = last = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                        found, at = np.repeat(found, n), first
+                    if len(at):
+                        with np.errstate(over="ignore"):
+                            whole = _mix(sx.windows(sums, first, last + length - first) + ((at - first) * 4096 + last - first).astype(np.uint64))
+                        out.append((np.full(len(at), -1 if i is None else i), np.full(len(at), key), first.astype(np.int64), last.astype(np.int64), found.view(np.int64), whole.view(np.int64)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["id", "text_key", "a", "b", "head", "passage"])
+
+        return run
+
+    schema = "id long, text_key long, a long, b long, head long, passage long"
+    one = F.struct("id", "text_key", "a")
+    suffixes = materialize(texts.mapInArrow(extended(marked, None, False), schema), "suffix-rows")
+    whole = suffixes.groupBy("head", "passage").agg(F.min(one).alias("first"), F.max(one).alias("last"))
+    whole = materialize(whole, "suffix-whole")
+    ways = whole.groupBy("head").agg(F.count(F.lit(1)).alias("ways"))
+    border = materialize(ways.filter("ways > 1").select("head"), "suffix-borders")
+    alike = whole.filter("first <> last").join(border, "head", "left_anti").select("head", "first")
+    hits = suffixes.join(alike, "head").select("id", "text_key", "a", "b", (one == F.col("first")).alias("is_first"))
+    at_border = suffixes.join(border, "head", "left_semi").select(F.col("text_key").alias("key"))
+    run = extended(send(_bitmap(border.select(F.col("head").alias("key")))), send(_bitmap(at_border)), True)
+    passages = texts.mapInArrow(run, schema).join(border, "head", "left_semi").select("id", "text_key", "a", "passage")
+    passages = materialize(passages, "suffix-passages")
+    met = passages.groupBy("passage").agg(F.min(one).alias("first"), F.max(one).alias("last")).filter("first <> last").select("passage", "first")
+    hits = hits.unionByName(passages.join(met, "passage").select("id", "text_key", "a", F.col("a").alias("b"), (one == F.col("first")).alias("is_first"))).distinct()
+    by = Window.partitionBy("id", "text_key", "is_first").orderBy("a", "b")
+    reach = F.max("b").over(by.rowsBetween(Window.unboundedPreceding, -1)) + length
+    hits = hits.withColumn("fresh", F.when(F.col("a") <= reach, 0).otherwise(1))
+    spans = hits.withColumn("span", F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, 0))).groupBy("id", "text_key", "is_first", "span").agg(F.min("a").alias("start_word"), (F.max("b") + length).alias("end_word"))
     return spans.select(F.col("id").alias(id_col), "text_key", "is_first", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
 
 
