@@ -1 +1,17 @@
+"""Plans that chain operators from end to end."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.frontier import derived_priority, dispatch_plan, first_seen
+from ..operators.pages import base_fields, extract_links
+
+
+def discover(pages: DataFrame, per_minute: int = 60, minutes: int = 1) -> DataFrame:
+    """Pages to a dispatch plan: base fields, links, first occurrence of each link, best requests by domain."""
+    links = extract_links(pages).join(base_fields(pages).select("page_id", "domain"), "page_id")
+    fresh = first_seen(links.select("domain", "link", "page_id", "pos"), ["link"], ["page_id", "pos"])
+    requests = fresh.select(F.col("domain").alias("spiderid"), "link", derived_priority(F.lit("item"), F.lit(100) - F.col("pos")).alias("priority"), (F.col("page_id") * 1000 + F.col("pos")).alias("seq"))
+    return dispatch_plan(requests, F.lit(per_minute), minutes)
