@@ -227,7 +227,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[
                 decoded = pa.array([t.decode(every[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], lists, decoded], names=[*keep, "ids", "decoded"])
 
-    out = StructType(fields.fields).add("ids", ArrayType(IntegerType())).add("decoded", StringType())
+    out = StructType([*fields.fields]).add("ids", ArrayType(IntegerType())).add("decoded", StringType())
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, out)
 
 
