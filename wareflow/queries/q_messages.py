@@ -98,7 +98,7 @@ add("a11_metric_points", lambda s, d: sinks.metric_points(view(s, d, "metric_poi
 
 RULES = [
     Rule("lang", (("regex", '<html lang="([a-z]+)"'),), order=1),
-    Rule("title", (("regex", "<nothing>(.*?)</nothing>"), ("regex", "<title>(.*?)</title>")), order=1, input="upper"),
+    Rule("title", (("regex", "<nothing>(.*?)</nothing>"), ("regex", "<title>(.*?)</title>")), order=1, input="reverse"),
     Rule("n_links", (("regex", 'href="([^"]*)"'),), order=1, output=lambda v: F.size(v).cast("string"), skip=True),
     Rule("label", (("sql", "concat(lang, '-', n_links)"),), order=2),
     Rule("missing", (("regex", "<x>(.*?)</x>"),), default="none", order=3),
@@ -106,9 +106,9 @@ RULES = [
 add(
     "b7_extract_rules",
     lambda s, d: extract(view(s, d, "pages"), RULES),
-    "select page_id, url, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) as lang, trim(upper(regexp_extract(html, '<title>(.*?)</title>', 1))) as title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) || '-' || len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as label, 'none' as missing from pages",
+    "select page_id, url, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) as lang, trim(reverse(regexp_extract(html, '<title>(.*?)</title>', 1))) as title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) || '-' || len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as label, 'none' as missing from pages",
 )
-add("b7_extract_css", lambda s, d: extract(view(s, d, "pages"), [Rule("first", (("css", "nav li a[href]::attr(href)"),)), Rule("ad", (("css", "div.ad::text"),)), Rule("links", (("css", "li a::text"),), output=lambda v: F.size(v).cast("string"))]), "select page_id, url, regexp_extract(html, '<li><a href=\"([^\"]*)\"', 1) as first, regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1) as ad, cast(len(regexp_extract_all(html, '<li><a ', 0)) as string) as links from pages")
+add("b7_extract_css", lambda s, d: extract(view(s, d, "pages"), [Rule("first", (("css", "nav li a[href]::attr(href)"),)), Rule("ad", (("css", "div.ad::text"),)), Rule("links", (("css", "li a::text"),), output=lambda v: F.size(v).cast("string"))]), "select page_id, url, regexp_extract(html, '<li><a href=\"([^\"]*)\"', 1) as first, trim(regexp_replace(regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1), '\\s+', ' ', 'g')) as ad, cast(len(regexp_extract_all(html, '<li><a ', 0)) as string) as links from pages")
 
 ev = cte("ev")
 

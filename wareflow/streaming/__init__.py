@@ -1 +1,161 @@
+"""Streaming forms: keyed de-duplication, live ledger, notifications, delayed re-emission, retries, windows, routing.
 
+The watermark (an hour unless given) is a choice of this library: it bounds the state.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..operators.ledger import finished
+
+WATERMARK = "1 hour"
+
+
+def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """Run a stream over what is there now and read what it wrote."""
+    out = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/rows")
+    out.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
+def replay(spark: SparkSession, rows: DataFrame, path: str, order: str, batches: int = 4) -> DataFrame:
+    """A stream over rows in order, a range a batch, for tests and backfills.
+
+    Files are taken by their time, so the ranges are written one after the other.
+    """
+    ranges = rows.repartitionByRange(batches, order).withColumn("__range", F.spark_partition_id())
+    ranges.write.partitionBy("__range").parquet(f"{path}-ranges")
+    staged = spark.read.schema(ranges.schema).parquet(f"{path}-ranges")
+    for n in range(batches):
+        staged.filter(F.col("__range") == n).drop("__range").coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def dedup_within(events: DataFrame, keys: list[str], ts: str = "ts", horizon: str = WATERMARK) -> DataFrame:
+    """The first event of each key within a fixed horizon."""
+    return events.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(keys)
+
+
+def dedup_renewed(events: DataFrame, group: str, key: str, seconds: int = 3600) -> DataFrame:
+    """S1, exact: the keys of a group expire together, `seconds` after the group's latest addition.
+
+    events has `sec`; a key set that no addition renewed in time is forgotten as a whole.
+    """
+
+    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, seen = state.get if state.exists else (0, [])
+        held = set(seen)
+        for pdf in frames:
+            keep = []
+            for row in pdf.sort_values(["sec", key]).itertuples(index=False):
+                at, k = int(row.sec), getattr(row, key)
+                if held and at - last >= seconds:
+                    held = set()
+                if k not in held:
+                    held.add(k)
+                    last = at
+                    keep.append((who[0], k, at))
+            if keep:
+                yield pd.DataFrame(keep, columns=[group, key, "sec"])
+        state.update((last, sorted(held)))
+
+    g, k = events.schema[group].dataType.simpleString(), events.schema[key].dataType.simpleString()
+    return events.groupBy(group).applyInPandasWithState(step, f"{group} {g}, {key} {k}, sec long", f"last long, held array<{k}>", "append", GroupStateTimeout.NoTimeout)
+
+
+def live_ledger(events: DataFrame, idle: str = "2 days", ts: str = "ts") -> DataFrame:
+    """Counters of each crawl, dropped after `idle` without events (update mode): a session of a crawl's events."""
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).cast("long")
+    return (
+        events.withWatermark(ts, WATERMARK)
+        .groupBy("crawlid", F.session_window(ts, idle).alias("session"))
+        .agg(of("scheduled").alias("total"), of("crawled").alias("crawled"), of("failed_pages").alias("failed_pages"), of("failed_pipeline").alias("failed_pipeline"), F.min("sec").alias("start"), F.max("sec").alias("update"))
+        .select("crawlid", "total", "crawled", "failed_pages", "failed_pipeline", "start", "update")
+    )
+
+
+def finish_notifications(events: DataFrame, idle: int = 86400) -> DataFrame:
+    """S3: one row when a crawl becomes finished; `error` if nothing came for `idle` seconds before it did."""
+
+    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        total, done, last, told = state.get if state.exists else (0, 0, 0, False)
+        out = []
+        for pdf in frames:
+            for row in pdf.sort_values(["sec", "event_id"]).itertuples(index=False):
+                if last and not told and row.sec - last >= idle:
+                    out.append((who[0], "error", last + idle))
+                    told = True
+                total, done = (total + row.n, done) if row.kind == "scheduled" else (total, done + row.n)
+                last = int(row.sec)
+                if not told and ((total > 0 and total <= done) or (total == 0 and done > 0)):
+                    out.append((who[0], "finished", last))
+                    told = True
+        state.update((int(total), int(done), last, told))
+        if out:
+            yield pd.DataFrame(out, columns=["crawlid", "status", "sec"])
+
+    return events.groupBy("crawlid").applyInPandasWithState(step, "crawlid long, status string, sec long", "total long, done long, last long, told boolean", "append", GroupStateTimeout.NoTimeout)
+
+
+def delayed_emission(messages: DataFrame, default: int = 3 * 86400) -> DataFrame:
+    """The latest message of an id fires when due and is armed again; a delete disarms it.
+
+    A message is due `update_interval` seconds (default where 0) after it came or fired. Time is that of
+    the id's own messages: what was due by then fires before a later message is taken.
+    """
+
+    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        due, wait, seq = state.get if state.exists else (-1, 0, 0)
+        out = []
+        for pdf in frames:
+            for row in pdf.sort_values(["sec", "seq"]).itertuples(index=False):
+                while 0 <= due <= row.sec:
+                    out.append((who[0], seq, due))
+                    due += wait
+                wait = int(row.update_interval) or default
+                due, seq = (-1, 0) if row.event == "delete" else (int(row.sec) + wait, int(row.seq))
+        state.update((int(due), int(wait), int(seq)))
+        if out:
+            yield pd.DataFrame(out, columns=["item_id", "seq", "fired"])
+
+    return messages.groupBy("item_id").applyInPandasWithState(step, "item_id long, seq long, fired long", "due long, wait long, seq long", "append", GroupStateTimeout.NoTimeout)
+
+
+def retry_limit(results: DataFrame, most: int = 10) -> DataFrame:
+    """Outcomes in order: success clears an item's count, a failure is retried until the count reaches `most`."""
+
+    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        (count,) = state.get if state.exists else (0,)
+        out = []
+        for pdf in frames:
+            for row in pdf.sort_values("seq").itertuples(index=False):
+                count = 0 if row.ok else count + 1
+                out.append((who[0], int(row.seq), "ENRICH" if row.ok else "retry" if count < most else "abandoned", count))
+                count = 0 if count >= most else count
+        state.update((int(count),))
+        if out:
+            yield pd.DataFrame(out, columns=["item_id", "seq", "outcome", "attempts"])
+
+    return results.groupBy("item_id").applyInPandasWithState(step, "item_id long, seq long, outcome string, attempts long", "count long", "append", GroupStateTimeout.NoTimeout)
+
+
+def windowed_metrics(points: DataFrame, by: list[str], width: str, value: Column, ts: str = "ts", watermark: str = WATERMARK) -> DataFrame:
+    """Sums by tumbling window; a window is given once the watermark has passed it."""
+    g = points.withWatermark(ts, watermark).groupBy(F.window(ts, width).alias("w"), *by).agg(F.sum(value).cast("long").alias("total"), F.count(F.lit(1)).alias("n"))
+    return g.select(F.col("w.start").alias("start"), *by, "total", "n")
+
+
+def route_stream(stream: DataFrame, write: Callable[[DataFrame, int], None], path: str) -> None:
+    """Each micro-batch goes to a batch sink of wareflow.sinks; the batch number makes retries recognisable."""
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", path).trigger(availableNow=True).start().awaitTermination()
+
+
+def newly_finished(ledger: DataFrame, as_of: int) -> DataFrame:
+    """S3 in batch: the crawls that are finished by the ledger at as_of."""
+    return ledger.filter(finished(as_of)).select("crawlid")
