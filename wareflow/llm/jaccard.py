@@ -16,7 +16,9 @@ from .components import components
 #: Ids that may be needed again are marked in a bitmap of so many bits (1 MB, whatever the input).
 MARKS = 1 << 23
 #: Segments beyond the pigeonhole's number, as a part of it: they stand in for segments left out.
-SLACK = 0.2
+SLACK = 1.0
+#: Classes that a task remembers, so that it signs copies once.
+SEEN = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -83,25 +85,25 @@ class Bands:
         return (100 - self.percent) * 2 * top // (100 + self.percent)
 
 
-def signatures(members: np.ndarray, group: int, bands: Bands) -> np.ndarray:
-    """The index entries of one set in one group.
+def signatures(members: np.ndarray, group: int, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """The index entries of one set in one group, and how many of them the cost may leave out (-1: none).
 
-    The universe is cut into H + 1 segments and some more by a hash (H: the most that linked sets
-    differ). A segment's signature is the sum of its members' hashes. Two allocations share out
-    H: by the first, segments are compared as they are (allowance 0), and one of H + 1 must be
-    equal; those with less than two members cost the most matches for nothing and are left
-    out (allowance -1), which the spare segments make up for. What is left out depends on the segment's
-    members only, so equal segments are left out on both sides, and it takes but one set with H + 1
-    segments left to find a pair. Sets with fewer also enter the second allocation: H // 2 + 1
-    segments, each with allowance 1, of which one differs in one member at most. There a segment
-    enters with all members and with each one deleted.
+    The universe is cut into segments by a hash, twice as many as linked sets can differ in members
+    (H) and two more. A segment's signature is the sum of its members' hashes. Two allocations share out
+    H. By the first, segments are compared as they are (allowance 0): linked sets have all but H of
+    either's signatures in common, so the H + 1 that cost least, in one order for all sets,
+    hold a common one. Segments with less than two members match the most for nothing and are left
+    out from the start (allowance -1); that depends on the members only, so equal segments are
+    left out on both sides, and it takes but one set with H + 1 left to find a pair. Sets with
+    fewer also enter the second allocation: H // 2 + 1 segments, each with allowance 1, of which one
+    differs in one member at most. There a segment enters with all members and with each one deleted.
     """
     h = bands.differ(group)
     with np.errstate(over="ignore"):
         spun = _mix(members + np.uint64(group + 1))
         if h == 0:
-            return _mix(np.array([spun.sum(dtype=np.uint64)], dtype=np.uint64) + np.uint64(group * 8 + 1))
-        m = h + 1 + math.ceil(SLACK * (h + 1))
+            return _mix(np.array([spun.sum(dtype=np.uint64)], dtype=np.uint64) + np.uint64(group * 8 + 1)), np.full(1, -1, np.int32)
+        m = math.ceil((1 + SLACK) * (h + 1))
         seg = (members % np.uint64(m)).astype(np.int64)
         count = np.bincount(seg, minlength=m)
         order = np.argsort(seg, kind="stable")
@@ -109,14 +111,15 @@ def signatures(members: np.ndarray, group: int, bands: Bands) -> np.ndarray:
         good = np.flatnonzero(count >= 2)
         out = _mix(_mix(full[good] + good.astype(np.uint64)) + np.uint64(group * 8 + 2))
         if len(good) >= h + 1:
-            return out
+            return out, np.full(len(out), len(out) - h - 1, np.int32)
         m = h // 2 + 1
         seg = (_mix(members) % np.uint64(m)).astype(np.int64)
         full = np.zeros(m, dtype=np.uint64)
         np.add.at(full, seg, spun)
         whole = _mix(_mix(full + np.arange(m, dtype=np.uint64)) + np.uint64(group * 8 + 3))
         less = _mix(_mix(full[seg] - spun + seg.astype(np.uint64)) + np.uint64(group * 8 + 3))
-        return np.concatenate([out, whole, less])
+        out = np.concatenate([out, whole, less])
+        return out, np.full(len(out), -1, np.int32)
 
 
 def _marked(keys: DataFrame) -> np.ndarray:
@@ -157,8 +160,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     link with nothing; texts of fewer than n words have one shingle, the whole. Ids are integers;
     rows that repeat an id stand each for itself. Other columns are ignored.
 
-    Copies (equal word sequences) are first folded into a class, and one row of each class goes on.
-    Signatures that two or more classes share make candidates. Those of a signature are compared with
+    Copies (equal word sequences) are one class. Signatures that two or more classes share, the cheapest
+    of each set, make candidates. Those of a signature are compared with
     one hub, the class among them that shares most signatures; what then still lies in different components
     is compared pair by pair, so that no link between components is lost and a large group of near
     copies costs a row for each member, not for each pair. Similarities are exact counts over
@@ -175,34 +178,39 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
 
     rows = materialize(texts.mapInArrow(index, "id long, n_shingles long, key long"), "jaccard-rows")
     classes = materialize(rows.filter("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "jaccard-classes")
-    copies = rows.join(classes.filter("n > 1").select("key", "least"), "key").filter("id <> least").select("id", "key")
-    copies = materialize(copies, "jaccard-copies")
-    marked = send(_marked(copies))
 
     def sign(batches):
-        sh, bits = Shingler(n), marked.value
+        sh, seen = Shingler(n), set()
         for b in _split(batches):
-            sigs, ids, keys, maybe = [], [], [], []
-            for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            out = []
+            for text in b.column("text").to_pylist():
+                key = _key(text)
+                if key in seen:
+                    continue  # a copy; those that other tasks sign meet in the sort by signature
+                if len(seen) > SEEN:
+                    seen.clear()
+                seen.add(key)
                 s = sh.shingles(text)
                 if len(s):
-                    g, key = bands.of(len(s)), _key(text)
-                    found = np.concatenate([signatures(s, x, bands) for x in (g, g + 1)])
-                    sigs.append(found.view(np.int64))
-                    ids.append(np.full(len(found), -1 if i is None else i))
-                    keys.append(np.full(len(found), key))
-                    maybe.append(np.full(len(found), _is_marked(bits, key)))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sigs, ids, keys, maybe)], names=["sig", "id", "key", "maybe"])
-
-    # rows that the bitmap marks are looked up among the copies; the others can't be any
-    signed = texts.mapInArrow(sign, "sig long, id long, key long, maybe boolean")
-    looked = signed.filter("maybe").join(copies, ["id", "key"], "left_anti")
-    classed = signed.filter("not maybe").select("sig", "key").unionByName(looked.select("sig", "key"))
+                    g = bands.of(len(s))
+                    for x in (g, g + 1):
+                        found, room = signatures(s, x, bands)
+                        out.append((found.view(np.int64), np.full(len(found), key), np.full(len(found), x, np.int16), room))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["sig", "key", "band", "room"])
+
+    signed = texts.select("text").mapInArrow(sign, "sig long, key long, band short, room int")
     same = Window.partitionBy("sig").orderBy("key")
-    near = classed.withColumns({"before": F.lag("key").over(same), "after": F.lead("key").over(same)})
-    shared = near.filter((F.col("before") != F.col("key")) | (F.col("after") != F.col("key"))).select("sig", "key").distinct()
-    shared = materialize(shared, "jaccard-shared")
+    near = signed.withColumns({"before": F.lag("key").over(same), "after": F.lead("key").over(same)})
+    shared = near.filter((F.col("before") != F.col("key")) | (F.col("after") != F.col("key"))).select("sig", "key", "band", "room").distinct()
+    shared = materialize(shared, "jaccard-met")
+    # the costs: how many classes share a signature; the costliest `room` of each set are left out
+    cost = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("k"))
+    own = Window.partitionBy("key", "band")
+    ranked = shared.join(cost, "sig").withColumns({"rank": F.row_number().over(own.orderBy("k", "sig")), "n": F.count(F.lit(1)).over(own)})
+    # an end of `n - room` of the cheapest stays: those that no other class has come first and are not here
+    left = ranked.filter((F.col("room") < 0) | (F.col("rank") <= F.col("n") - F.col("room"))).select("sig", "key")
+    shared = materialize(left.join(left.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("sig"), "sig"), "jaccard-shared")
 
     sizes = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("k"))
     weight = shared.join(sizes, "sig").groupBy("key").agg(F.sum("k").alias("weight"))
