@@ -165,11 +165,12 @@ class Network:
             q = state[f"q{k}"] = 0.999 * state.get(f"q{k}", 0) + 0.001 * v * v
             self.p[k] -= (rate * (m / (1 - 0.9**n)) / (np.sqrt(q / (1 - 0.999**n)) + 1e-8)).astype(np.float32)
 
-    def fit(self, texts: list[str], labels: np.ndarray, epochs: int = 3, seed: int = 7) -> None:
+    def fit(self, texts: list[str], labels: np.ndarray, steps: int = 200, seed: int = 7) -> None:
         """Log-odds of words and character windows by text, then the network on windows.
 
         A toxic text says only that some window is toxic: its windows of highest score stand for
         it, by log-odds at first, then by the network. Clean texts give their highest windows and others.
+        There are three rounds over the windows, or more until there were `steps` steps.
         """
         r, inputs = np.random.default_rng(seed), Inputs()
         tokens = [inputs.tokens(t) for t in texts]
@@ -191,17 +192,21 @@ class Network:
         fixed, row = self.features(inputs)
         y = labels[owner].astype(np.float32)
         score, state = fixed[win, :2].max(axis=(1, 2)), {}
-        for epoch in range(epochs):
+        epoch = done = 0
+        while epoch < 3 or (done < steps and epoch < 25):
             best = np.lexsort((-score, owner))
             rank = np.empty(len(win), dtype=np.int64)
             rank[best] = np.arange(len(win)) - np.searchsorted(owner[best], owner[best])
             pick = np.flatnonzero(((y == 1) & (rank < 1)) | ((y == 0) & ((rank < 2) | (r.random(len(win)) < 0.02))))
             pick = pick[r.permutation(len(pick))]
             balance = np.float32(max(1.0, (y[pick] == 0).sum() / max(1, (y[pick] == 1).sum()) / 2))
-            for k in range(0, len(pick), 384):
-                i = pick[k : k + 384]
-                self.step(win[i], y[i], np.where(y[i] == 1, balance, np.float32(1)), fixed, row, state, 0.01 if epoch < 2 else 0.003)
+            batch = min(384, max(32, len(pick) // 24))
+            for k in range(0, len(pick), batch):
+                i = pick[k : k + batch]
+                done += 1
+                self.step(win[i], y[i], np.where(y[i] == 1, balance, np.float32(1)), fixed, row, state, 0.01 if epoch < 2 or done < steps * 0.7 else 0.003)
             score = np.concatenate([self.windows(win[k : k + 4096], fixed, row) for k in range(0, len(win), 4096)])
+            epoch += 1
 
     def windows(self, win: np.ndarray, fixed: np.ndarray, row: np.ndarray) -> np.ndarray:
         x = np.concatenate([fixed, self.p["E"][row]], axis=1)
