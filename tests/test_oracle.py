@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from wareflow.fixtures import TABLES
@@ -21,7 +22,7 @@ def oracle():
 
 def rows(df):
     df = df[sorted(df.columns)]
-    plain = lambda v: None if v is None or v != v else round(float(v), 5) if isinstance(v, (float, int, np.floating, np.integer)) and not isinstance(v, bool) else v
+    plain = lambda v: None if pd.isna(v) else round(float(v), 5) if isinstance(v, (float, int, np.floating, np.integer)) and not isinstance(v, bool) else v
     return sorted((tuple(map(plain, r)) for r in df.astype(object).itertuples(index=False, name=None)), key=repr)
 
 
