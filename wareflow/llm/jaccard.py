@@ -92,9 +92,8 @@ def signatures(members: np.ndarray, group: int, bands: Bands) -> tuple[np.ndarra
     (H) and two more. A segment's signature is the sum of its members' hashes. Two allocations share out
     H. By the first, segments are compared as they are (allowance 0): linked sets have all but H of
     either's signatures in common, so the H + 1 that cost least, in one order for all sets,
-    hold a common one. Segments with less than two members match the most for nothing and are left
-    out from the start (allowance -1); that depends on the members only, so equal segments are
-    left out on both sides, and it takes but one set with H + 1 left to find a pair. Sets with
+    hold a common one. Empty segments match the most for nothing and are left out from the start
+    (allowance -1), on both sides alike, and it takes but one set with H + 1 left to find a pair. Sets with
     fewer also enter the second allocation: H // 2 + 1 segments, each with allowance 1, of which one
     differs in one member at most. There a segment enters with all members and with each one deleted.
     """
@@ -108,7 +107,7 @@ def signatures(members: np.ndarray, group: int, bands: Bands) -> tuple[np.ndarra
         count = np.bincount(seg, minlength=m)
         order = np.argsort(seg, kind="stable")
         full = np.add.reduceat(np.append(spun[order], np.uint64(0)), np.minimum(np.cumsum(count) - count, len(seg)))
-        good = np.flatnonzero(count >= 2)
+        good = np.flatnonzero(count)
         out = _mix(_mix(full[good] + good.astype(np.uint64)) + np.uint64(group * 8 + 2))
         if len(good) >= h + 1:
             return out, np.full(len(out), len(out) - h - 1, np.int32)
