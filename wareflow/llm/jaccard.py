@@ -162,8 +162,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     Copies (equal word sequences) are one class. Signatures that two or more classes share, the cheapest
     of each set, make candidates. Those of a signature are compared with
     one hub, the class among them that shares most signatures; what then still lies in different components
-    is compared pair by pair, so that no link between components is lost and a large group of near
-    copies costs a row for each member, not for each pair. Similarities are exact counts over
+    is compared pair by pair, if the members that no other candidate has leave room for a link, so that
+    no link between components is lost and copies of one text cost a row for each, not for each pair. Similarities are exact counts over
     64-bit shingle hashes. Texts are hashed anew where they are needed and never shuffled.
     """
     bands, send = Bands(percent), docs.sparkSession.sparkContext.broadcast
@@ -194,21 +194,21 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
                     g = bands.of(len(s))
                     for x in (g, g + 1):
                         found, room = signatures(s, x, bands)
-                        out.append((found.view(np.int64), np.full(len(found), key), np.full(len(found), x, np.int16), room))
+                        out.append((found.view(np.int64), np.full(len(found), key), np.full(len(found), x, np.int16), room, np.full(len(found), x > g)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["sig", "key", "band", "room"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["sig", "key", "band", "room", "guest"])
 
-    signed = texts.select("text").mapInArrow(sign, "sig long, key long, band short, room int")
+    signed = texts.select("text").mapInArrow(sign, "sig long, key long, band short, room int, guest boolean")
     same = Window.partitionBy("sig").orderBy("key")
     near = signed.withColumns({"before": F.lag("key").over(same), "after": F.lead("key").over(same)})
-    shared = near.filter((F.col("before") != F.col("key")) | (F.col("after") != F.col("key"))).select("sig", "key", "band", "room").distinct()
+    shared = near.filter((F.col("before") != F.col("key")) | (F.col("after") != F.col("key"))).select("sig", "key", "band", "room", "guest").distinct()
     shared = materialize(shared, "jaccard-met")
     # the costs: how many classes share a signature; the costliest `room` of each set are left out
     cost = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("k"))
     own = Window.partitionBy("key", "band")
     ranked = shared.join(cost, "sig").withColumns({"rank": F.row_number().over(own.orderBy("k", "sig")), "n": F.count(F.lit(1)).over(own)})
     # an end of `n - room` of the cheapest stays: those that no other class has come first and are not here
-    left = ranked.filter((F.col("room") < 0) | (F.col("rank") <= F.col("n") - F.col("room"))).select("sig", "key")
+    left = ranked.filter((F.col("room") < 0) | (F.col("rank") <= F.col("n") - F.col("room"))).select("sig", "key", "band", "guest")
     shared = materialize(left.join(left.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("sig"), "sig"), "jaccard-shared")
 
     sizes = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("k"))
@@ -239,11 +239,19 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
 
     edges = materialize(linked(stars), "jaccard-edges")
     first = materialize(components(edges), "jaccard-first")
-    placed = shared.join(first, shared["key"] == first["id"], "left").select("sig", "key", F.coalesce("component_id", "key").alias("c"))
+    placed = shared.join(first, shared["key"] == first["id"], "left").select("sig", "key", "band", "guest", F.coalesce("component_id", "key").alias("c"))
     mixed = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("sig")
-    rest = materialize(placed.join(mixed, "sig"), "jaccard-rest")
-    x, y = rest.select("sig", F.col("key").alias("a"), F.col("c").alias("ca")), rest.select("sig", F.col("key").alias("b"), F.col("c").alias("cb"))
-    pairs = x.join(y, "sig").filter("a < b and ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    rest = placed.join(mixed, "sig")
+    # members that no other candidate has are in no intersection, and in every union
+    lone = members.select("key", F.explode("members").alias("m")).groupBy("m").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("k")).filter("k = 1").groupBy("key").agg(F.count(F.lit(1)).alias("lone"))
+    sizes = members.select("key", F.size("members").alias("n")).join(lone, "key", "left").select("key", "n", F.coalesce("lone", F.lit(0)).alias("lone"))
+    lists = shared.groupBy("key", "band").agg(F.collect_list("sig").alias("sigs"))  # at most what a set keeps in a group
+    rest = materialize(rest.join(sizes, "key").filter(f"100 * (n - lone) >= {percent} * n").join(lists, ["key", "band"]), "jaccard-rest")
+    x, y = (rest.select("sig", *[F.col(c).alias(f"{c}_{i}") for c in ("key", "c", "guest", "n", "lone", "sigs")]) for i in "ab")
+    top = "least(n_a - lone_a, n_b - lone_b)"
+    # two guests meet in their own group; a pair is made at the first of its common signatures only
+    fit = f"key_a < key_b and c_a <> c_b and not (guest_a and guest_b) and 100 * {top} >= {percent} * greatest(n_a + lone_b, n_b + lone_a) and 100 * {top} >= {percent} * (n_a + n_b - {top}) and sig = array_min(array_intersect(sigs_a, sigs_b))"
+    pairs = x.join(y, "sig").filter(fit).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     late = materialize(linked(pairs), "jaccard-late")
 
     ends = components(edges.unionByName(late)).select(F.col("id").alias("key"), F.col("component_id").alias("c"))
