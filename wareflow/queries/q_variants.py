@@ -76,7 +76,7 @@ for name, drop in (("c8_album_lookup", False), ("c8_album_or_drop", True)):
 add(
     "c9_backfill_color",
     lambda s, d: J.backfill_color(view(s, d, "line").select(F.col("l_partkey").alias("product_id"), F.col("l_returnflag").alias("color"), "pos", F.when(F.col("l_linenumber") % 2 == 0, "").otherwise(F.concat(F.lit("c"), "pos")).alias("color_id"))),
-    cte("line") + "select l_partkey as product_id, l_returnflag as color, pos, case when l_linenumber % 2 = 1 then 'c' || pos else 'c' || max(case when l_linenumber % 2 = 1 then pos end) over (partition by l_partkey, l_returnflag) end as color_id from line",
+    cte("line") + "select l_partkey as product_id, l_returnflag as color, cast(pos as int) as pos, case when l_linenumber % 2 = 1 then 'c' || pos else 'c' || max(case when l_linenumber % 2 = 1 then pos end) over (partition by l_partkey, l_returnflag) end as color_id from line",
 )
 
 
