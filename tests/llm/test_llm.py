@@ -370,3 +370,17 @@ def test_pipeline(spark):
     final = corpus_pipeline.STAGES[-1][1](spark, done, DIR)
     assert final.count() == done.count() > 0
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, DIR).collect()) == sorted(r.doc_id for r in final.collect())
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs):
+    """Clashing columns, null ids and repeated rows go through every stage but the last unharmed."""
+    import corpus_pipeline
+
+    odd = spark.createDataFrame([(None, prose(800, 80), "en", "s1", 1), (None, None, None, None, None), (7, prose(7, 67), "en", None, 1)], DOC)
+    extra = {c: F.lit("x") for c in ("n_words", "kept", "cuts", "copies", "__n", "key", "ids", "component_id")}
+    rows = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(odd).withColumns(extra)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, DIR)
+        assert out.columns == rows.columns and out.filter("doc_id is null and text is not null").count() >= (name != "mixing")
+        assert stage(spark, rows.limit(0), DIR).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, rows, DIR).count() == rows.count()

@@ -172,7 +172,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> Data
     that a bitmap of fixed size marks are joined with their spans; the others are not shuffled.
     """
     later = materialize(repeated_spans(docs, length, head).filter("not is_first"), "suffix-later")
-    cuts = later.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("cuts"))  # a text's own spans
+    cuts = later.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("__cuts"))  # a text's own spans
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(later.select(F.col("text_key").alias("key"))))
     schema, names = docs.schema, docs.columns
 
@@ -190,7 +190,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> Data
         word = re.compile(WORD)
         for b in _split(batches):
             texts, live = [], []
-            for text, spans in zip(b.column("text").to_pylist(), b.column("cuts").to_pylist(), strict=True):
+            for text, spans in zip(b.column("text").to_pylist(), b.column("__cuts").to_pylist(), strict=True):
                 if spans:
                     at = [m.start() for m in word.finditer(text)] + [len(text)]
                     kept, last = [], 0
@@ -202,13 +202,13 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> Data
                 else:
                     live.append(True)
                 texts.append(text)
-            yield b.drop_columns(["cuts"]).set_column(b.schema.get_field_index("text"), "text", pa.array(texts, pa.string())).filter(pa.array(live))
+            yield b.drop_columns(["__cuts"]).set_column(b.schema.get_field_index("text"), "text", pa.array(texts, pa.string())).filter(pa.array(live))
 
     from pyspark.sql.types import LongType, StructType
 
     touched = docs.mapInArrow(part(True), StructType([*schema.fields]).add("__key", LongType()))
-    c = cuts.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), "cuts")
-    joined = touched.join(c, (F.coalesce(F.col("doc_id"), F.lit(-1)) == F.col("__id")) & (F.col("__key") == F.col("__text_key")), "left").select(*names, "cuts")
+    c = cuts.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), "__cuts")
+    joined = touched.join(c, (F.coalesce(F.col("doc_id"), F.lit(-1)) == F.col("__id")) & (F.col("__key") == F.col("__text_key")), "left").select(*names, "__cuts")
     done = joined.mapInArrow(cut, schema)
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType))
