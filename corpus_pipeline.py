@@ -10,7 +10,8 @@ from wareflow.llm import bpe, common, jaccard, mixing, quality, suffixes
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the adaptive thresholds reject go."""
-    return quality.judge(docs, docs.columns).filter("kept").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), "text", "lang", "source")  # other columns may have any name
+    return quality.judge(rows, ["__row", "lang", "source"]).filter("kept").select("__row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +28,10 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document is there as many times as the mix takes it, 0 to 2 times."""
-    mixed = mixing.mix(docs, mixing.word_count(F.col("text"))).filter("copies > 0").select("doc_id", "copies")
-    mixed = mixed.groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    taken = docs.join(mixed, "doc_id").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select(*docs.columns)
+    mixed = mixing.mix(docs, mixing.word_count(F.col("text"))).filter("copies > 0")
+    mixed = mixed.groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
+    taken = docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("__id")))
+    return taken.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
