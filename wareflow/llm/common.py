@@ -13,6 +13,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The same six characters, for translate().
 SPACES = " \t\n\x0b\x0c\r"
 
+#: Paths that materialize() has written in this process.
+WRITTEN: list[str] = []
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -36,11 +39,22 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written = path
     return out
 
 
+def drop_since(spark: SparkSession, mark: int, keep: list[str]) -> None:
+    """Delete the tables written after the first `mark`, but for those that hold a file of `keep` and named results."""
+    for path in WRITTEN[mark:]:
+        name = path.rpartition("/")[2]
+        if not name.startswith("pipeline-") and not any(name in f for f in keep):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del WRITTEN[mark:]
+
+
 def drop(df: DataFrame) -> None:
     """Delete the files behind a materialize()d table that nothing reads any more."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()

@@ -70,8 +70,8 @@ class Bands:
     takes part in the group of its own band and in that of the band above.
     """
 
-    def __init__(self, percent: int):
-        self.percent, self.edges = percent, [1]
+    def __init__(self, percent: int, slack: float = SLACK):
+        self.percent, self.slack, self.edges = percent, slack, [1]
         while self.edges[-1] < 1 << 40:
             self.edges.append(max(self.edges[-1] + 1, -(-self.edges[-1] * 100 // percent)))
         self.first = np.array(self.edges)
@@ -88,8 +88,8 @@ class Bands:
 def signatures(members: np.ndarray, group: int, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """The index entries of one set in one group, and how many of them the cost may leave out (-1: none).
 
-    The universe is cut into segments by a hash, twice as many as linked sets can differ in members
-    (H) and two more. A segment's signature is the sum of its members' hashes. Two allocations share out
+    The universe is cut into (1 + slack) * (H + 1) segments by a hash; H is the most members in which
+    linked sets differ. A segment's signature is the sum of its members' hashes. Two allocations share out
     H. By the first, segments are compared as they are (allowance 0): linked sets have all but H of
     either's signatures in common, so the H + 1 that cost least, in one order for all sets,
     hold a common one. Empty segments match the most for nothing and are left out from the start
@@ -102,7 +102,7 @@ def signatures(members: np.ndarray, group: int, bands: Bands) -> tuple[np.ndarra
         spun = _mix(members + np.uint64(group + 1))
         if h == 0:
             return _mix(np.array([spun.sum(dtype=np.uint64)], dtype=np.uint64) + np.uint64(group * 8 + 1)), np.full(1, -1, np.int32)
-        m = math.ceil((1 + SLACK) * (h + 1))
+        m = math.ceil((1 + bands.slack) * (h + 1))
         seg = (members % np.uint64(m)).astype(np.int64)
         count = np.bincount(seg, minlength=m)
         order = np.argsort(seg, kind="stable")
@@ -151,7 +151,7 @@ def _key(text: str | None) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(b" ".join(_words(text))), "big", signed=True)
 
 
-def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
     """Link rows whose sets of n-word shingles have a Jaccard similarity of percent / 100 or more.
 
     Returns id_col, n_shingles (the set's size) and component_id (the least id that links reach), one
@@ -164,9 +164,10 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     one hub, the class among them that shares most signatures; what then still lies in different components
     is compared pair by pair, if the members that no other candidate has leave room for a link, so that
     no link between components is lost and copies of one text cost a row for each, not for each pair. Similarities are exact counts over
-    64-bit shingle hashes. Texts are hashed anew where they are needed and never shuffled.
+    64-bit shingle hashes. Texts are hashed anew where they are needed and never shuffled. A
+    smaller slack writes fewer signatures and leaves more pairs to compare; the result is the same.
     """
-    bands, send = Bands(percent), docs.sparkSession.sparkContext.broadcast
+    bands, send = Bands(percent, slack), docs.sparkSession.sparkContext.broadcast
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def index(batches):
