@@ -16,7 +16,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, 0.8) the document with the least id stays."""
-    groups = jaccard.jaccard_groups(docs, n=5, percent=80)
+    groups = jaccard.jaccard_groups(docs, n=5, percent=80, slack=0.5)
     drop = groups.filter("doc_id <> component_id").select("doc_id")
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
 
@@ -43,12 +43,27 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return bpe.digests(encoded, keep)
 
 
+_before: list[int] = []
+
+
+def _tidy(stage):
+    """Before a stage begins, the scratch tables of the one before go: its result has been written and read again."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if _before:
+            common.drop_since(spark, _before.pop(), docs.inputFiles())
+        _before.append(len(common.WRITTEN))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality", quality_stage),
-    ("near_duplicates", near_duplicate_stage),
-    ("repeated_passages", passage_stage),
-    ("mixing", mixing_stage),
-    ("encoding", encoding_stage),
+    ("quality", _tidy(quality_stage)),
+    ("near_duplicates", _tidy(near_duplicate_stage)),
+    ("repeated_passages", _tidy(passage_stage)),
+    ("mixing", _tidy(mixing_stage)),
+    ("encoding", _tidy(encoding_stage)),
 ]
 
 #: SQL expresses neither the sketches nor the rounding; tests compare with brute force.
