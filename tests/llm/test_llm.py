@@ -161,6 +161,26 @@ def test_dense_vectors_are_counted_exactly(spark):
     assert {r.vec_id: r.n_links for r in got} == {i: int(n) - 1 for i, n in enumerate((v @ v.T >= 0.93).sum(1))}
 
 
+def linked_vectors(spark, v):
+    """near_duplicates() of the rows of v under one label, and what brute force gives: id to (n_links, component_id)."""
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(df).collect()}
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    hit = np.triu(u @ u.T >= 0.93, 1)
+    root = find_roots(range(len(v)), [(int(a), int(b)) for a, b in zip(*np.nonzero(hit), strict=True)])
+    degree = hit.sum(axis=0) + hit.sum(axis=1)
+    return got, {i: (int(degree[i]), root[i]) for i in range(len(v))}
+
+
+def test_isolated_pairs_are_found_in_a_large_label(spark):
+    r = np.random.default_rng(3)
+    v = r.standard_normal((12000, 64))
+    v[:400] = v[400:800] + 0.38 * r.standard_normal((400, 64))
+    got, wanted = linked_vectors(spark, v)
+    assert sum(n for n, _ in wanted.values()) > 300
+    assert got == wanted
+
+
 def test_bpe_equals_the_library(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -12,10 +12,9 @@ from .components import components
 
 #: Length of a neighbour list, and sorted orders (each by its own random code) for the first lists.
 NEIGHBOURS, ORDERS, REACH = 10, 10, 4
-#: Edges under this cosine are no way to a near duplicate and aren't kept in lists.
-FLOOR = 0.6
-#: Queries of the audit, and vectors in a block of the exact scan.
-AUDIT, BLOCK = 256, 1024
+#: First vectors a label that the audit compares with all (eight times as many in each further step), the vectors
+#: with links that it must have seen before it trusts a label, and vectors in a block of the exact scan.
+AUDIT, LINKED, BLOCK = 256, 300, 1024
 
 
 def clean(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -78,10 +77,9 @@ def first_lists(classes: DataFrame, seed: int, orders: int = ORDERS, reach: int
                     i = j[lengths[j] == k]
                     x, y = flat[begin[i][:, None] + np.arange(k)], flat[begin[i - d][:, None] + np.arange(k)]
                     sim = (x * y).sum(axis=1) / (norm[i] * norm[i - d])
-                    ok = sim >= FLOOR
-                    a.append(key[i][ok])
-                    c.append(key[i - d][ok])
-                    s.append(sim[ok])
+                    a.append(key[i])
+                    c.append(key[i - d])
+                    s.append(sim)
             held = t.slice(max(0, t.num_rows - reach))
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (a, c, s)], names=["a", "b", "sim"])
@@ -96,75 +94,130 @@ def _lists(edges: DataFrame, k: int) -> DataFrame:
     return both.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).drop("r")
 
 
-def descend(lists: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """Neighbours of a common neighbour are compared with each other: at most 2k meet at one vertex."""
+def descend(lists: DataFrame, classes: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Neighbours of a common neighbour are compared with each other: at most 2k meet at one vertex.
+
+    A pair goes on if it is a link or better than the last entry of one of the two lists.
+    """
     back = Window.partitionBy("b").orderBy(F.desc("sim"), "a")
     reverse = lists.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= k).select(F.col("b").alias("hub"), F.col("a").alias("key"))
     at = lists.select(F.col("a").alias("hub"), F.col("b").alias("key")).unionByName(reverse).distinct()
-    met = at.join(classes.select("key", "vec"), "key").groupBy("hub").agg(F.collect_list("key").alias("keys"), F.collect_list("vec").alias("vecs"))
+    last = lists.groupBy(F.col("a").alias("key")).agg(F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(-2.0).alias("last"))
+    met = at.join(classes.select("key", "vec").join(last, "key"), "key").groupBy("hub").agg(F.collect_list("key").alias("keys"), F.collect_list("vec").alias("vecs"), F.collect_list("last").alias("lasts"))
 
     def compare(batches):
         for b in batches:
             a, c, s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-            keys, vecs = b.column("keys"), b.column("vecs")
+            keys, vecs, lasts = b.column("keys"), b.column("vecs"), b.column("lasts")
             for r in range(b.num_rows):
-                key, m = keys[r].values.to_numpy(), _matrix(vecs[r].values)
+                key, m, low = keys[r].values.to_numpy(), _matrix(vecs[r].values), lasts[r].values.to_numpy()
                 sim = m @ m.T
-                i, j = np.nonzero(np.triu(sim >= FLOOR, 1))
+                i, j = np.nonzero(np.triu((sim >= threshold) | (sim > np.minimum(low[:, None], low[None, :])), 1))
                 a.append(key[i])
                 c.append(key[j])
                 s.append(sim[i, j])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (a, c, s)], names=["a", "b", "sim"])
 
-    return met.select("keys", "vecs").mapInArrow(compare, "a long, b long, sim double")
+    return met.select("keys", "vecs", "lasts").mapInArrow(compare, "a long, b long, sim double")
 
 
-def audit(classes: DataFrame, edges: DataFrame, threshold: float, queries: int = AUDIT) -> float:
-    """The part of the links of at most `queries` vectors, found by comparing them with all, that edges has."""
-    asked = classes.orderBy(F.xxhash64("key"), "key").limit(queries).select("key", "g", "vec").toPandas()
-    by = {}
-    for key, g, vec in asked.itertuples(index=False):
-        by.setdefault(g, []).append((key, np.asarray(vec)))
-    groups = {g: (np.array([k for k, _ in x]), np.stack([v / np.sqrt((v * v).sum()) for _, v in x])) for g, x in by.items()}
-    sent = classes.sparkSession.sparkContext.broadcast(groups)
+def _roots(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least row of its connected part, for each row and column of a bipartite table without empty lines."""
+    n = len(hit)
+    low = np.arange(n)
+    while True:
+        high = np.where(hit, low[:, None], n).min(axis=0)
+        later = np.where(hit, high[None, :], n).min(axis=1)
+        if (later == low).all():
+            return low, high
+        low = later
 
-    def brute(batches):
-        for b in batches:
-            a, c = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            g, key = b.column("g").to_numpy(), b.column("key").to_numpy()
-            for name, (q, m) in sent.value.items():
-                rows = np.flatnonzero(g == name)
-                if len(rows):
-                    i, j = np.nonzero(_matrix(b.column("vec").take(pa.array(rows))) @ m.T >= threshold)
-                    i, j = i[key[rows[i]] != q[j]], j[key[rows[i]] != q[j]]
-                    a.append(q[j])
-                    c.append(key[rows[i]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (a, c)], names=["a", "b"])
-
-    true = materialize(classes.select("key", "g", "vec").mapInArrow(brute, "a long, b long"), "neardup-audit")
-    n = true.count()
-    links = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return true.join(links.distinct(), ["a", "b"], "left_semi").count() / n if n else 1.0
-
-
-def _scan(members: DataFrame, threshold: float) -> DataFrame:
-    """Exact link counts within components: blocks against blocks, sums a vector, no pairs."""
-    sizes = members.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
-    m = members.join(sizes, "c").withColumn("i", F.pmod(F.xxhash64("key"), F.col("nb")).cast("int"))
-    cells = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("c", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "i", "key", "n", "vec")
+
+def _scan(asked: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """The vectors `asked` (key, c) compared with all members (key, c, n, vec) of their c, blocks against blocks.
+
+    Rows (key, links, pairs, back, root), to be summed by key: links and pairs of an asked vector with members (with
+    and without their copies), links of a member with asked vectors; key and root are connected.
+    """
+    blocks = lambda x, name: x.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+    m = members.select("key", "c", "n", "vec").join(blocks(asked, "ni"), "c").join(blocks(members, "nj"), "c")
+    dealt = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    low = m.join(asked.select("key"), "key", "left_semi").withColumn("i", dealt("ni")).withColumn("j", every("nj"))
+    high = m.withColumn("j", dealt("nj")).withColumn("i", every("ni"))
+    cells = low.withColumn("low", F.lit(True)).unionByName(high.withColumn("low", F.lit(False))).select("c", "i", "j", "low", "key", "n", "vec")
 
     def count(table: pa.Table) -> pa.Table:
         t = table.combine_chunks()
-        i, key, n = (t.column(z).to_numpy() for z in ("i", "key", "n"))
+        key, n, first = t.column("key").to_numpy(), t.column("n").to_numpy(), t.column("low").to_numpy()
         m = _matrix(t.column("vec").combine_chunks())
-        low, high = np.flatnonzero(i == t.column("x")[0].as_py()), np.flatnonzero(i == t.column("y")[0].as_py())
-        hit = m[low] @ m[high].T >= threshold
-        if t.column("x")[0].as_py() == t.column("y")[0].as_py():
-            np.fill_diagonal(hit, False)
-            return pa.table({"key": key[low], "links": hit @ n[high]})
-        return pa.table({"key": np.concatenate([key[low], key[high]]), "links": np.concatenate([hit @ n[high], hit.T @ n[low]])})
+        low, high = np.flatnonzero(first), np.flatnonzero(~first)
+        hit = (m[low] @ m[high].T >= threshold) & (key[low][:, None] != key[high][None, :])
+        x, y = hit.any(axis=1), hit.any(axis=0)
+        low, high, hit = low[x], high[y], hit[x][:, y]
+        if not len(low):
+            return pa.table({z: np.zeros(0, np.int64) for z in ("key", "links", "pairs", "back", "root")})
+        r, q = _roots(hit)
+        none = np.zeros(len(high), np.int64)
+        return pa.table({
+            "key": np.concatenate([key[low], key[high]]),
+            "links": np.concatenate([hit @ n[high], none]),
+            "pairs": np.concatenate([hit.sum(axis=1), none]),
+            "back": np.concatenate([np.zeros(len(low), np.int64), hit.T @ n[low]]),
+            "root": key[low][np.concatenate([r, q])],
+        })
+
+    return cells.groupBy("c", "i", "j").applyInArrow(count, "key long, links long, pairs long, back long, root long")
+
+
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+
+
+class Audit:
+    """Vectors compared with all of their label; what they show of the links found so far.
+
+    `asked` (key, g) are the vectors, `scans` the rows of _scan() for them. A label's recall is the mean, over its asked
+    vectors that have links and no full list, of the part of their links that was found.
+    """
 
-    return cells.groupBy("c", "x", "y").applyInArrow(count, "key long, links long").groupBy("key").agg(F.sum("links").alias("links"))
+    def __init__(self, classes: DataFrame, threshold: float):
+        self.classes, self.threshold = classes, threshold
+        self.members = classes.withColumn("c", F.col("g"))
+        self.sizes = materialize(classes.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "neardup-labels")
+        self.asked = classes.select("key", "g").limit(0)
+        self.scans = classes.select("key", *(F.lit(0).cast("long").alias(c) for c in ("links", "pairs", "back", "root"))).limit(0)
+        self.step = -1
+
+    def scan(self, keys: DataFrame) -> None:
+        """Compare the vectors of keys (key, g) that weren't asked before with all of their label."""
+        new = materialize(keys.join(self.asked.select("key"), "key", "left_anti").select("key", "g"), "neardup-asked")
+        rows = materialize(_scan(new.withColumnRenamed("g", "c"), self.members, self.threshold), "neardup-scan")
+        self.asked, self.scans = self.asked.unionByName(new), self.scans.unionByName(rows)
+
+    def labels(self, found: DataFrame, full: DataFrame) -> DataFrame:
+        """One row a label: g, size, asked (how many), linked (asked ones with links and no full list) and recall."""
+        truth = self.scans.groupBy("key").agg(F.sum("pairs").alias("pairs"))
+        degree = _both(found).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("degree"))
+        x = self.asked.join(truth, "key", "left").join(degree, "key", "left").join(full.select("key", F.lit(True).alias("full")), "key", "left")
+        counts = F.col("full").isNull() & (F.col("pairs") > 0)
+        share = F.least(F.coalesce("degree", F.lit(0)) / F.when(counts, F.col("pairs")), F.lit(1.0))
+        x = x.groupBy("g").agg(F.count(F.lit(1)).alias("asked"), F.count(F.when(counts, 1)).alias("linked"), F.avg(F.when(counts, share)).alias("recall"))
+        return materialize(self.sizes.join(x, "g", "left").fillna(0, ["asked", "linked"]).fillna(1.0, ["recall"]), "neardup-recall")
+
+    def short(self, found: DataFrame, full: DataFrame, recall: float) -> DataFrame:
+        """The labels (g) whose links found fall short; a label asked as a whole can't.
+
+        More vectors are asked until each label has shown LINKED vectors with links or was asked as a whole.
+        """
+        while True:
+            now = self.labels(found, full)
+            few = now.filter((F.col("asked") < F.col("size")) & (F.col("linked") < LINKED)).select("g", "size")
+            if few.isEmpty():
+                return now.filter((F.col("asked") < F.col("size")) & (F.col("recall") < recall)).select("g")
+            self.step += 1
+            part = F.pmod(F.xxhash64("key", F.lit("audit")), F.lit(1 << 40)) / (1 << 40)
+            self.scan(self.classes.join(few, "g").filter(part * F.col("size") < AUDIT * 8.0**self.step).select("key", "g"))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", recall: float = 0.99, rounds: int = 4) -> DataFrame:
@@ -176,42 +229,55 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     id stand each for itself. Other columns are ignored.
 
     Lists of the NEIGHBOURS best start from several random orders and are refined by NN-descent until
-    a round adds next to nothing. An audit compares some vectors with all; below the wanted
-    recall new orders are added. A list full of links is saturated: what it lacks lies in its component,
+    a round adds next to nothing. An audit compares vectors of each label with all of it until enough of them
+    have links; labels below the wanted recall get new orders, and after the last round they are compared as
+    a whole, block by block. A list full of links is saturated: what it lacks lies in its component,
     which is then compared block by block, so that counts there are exact.
     """
     good = materialize(clean(vectors, id_col, vec_col, label_col), "neardup-rows")
     classes = good.groupBy("key", "g").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
     classes = materialize(classes, "neardup-classes")
-    lists = found = None
+    check = Audit(classes, threshold)
+    pairs_of = lambda x: x.filter(F.col("sim") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    active, lists, found, full = classes, None, None, None
     for r in range(rounds):
-        new = first_lists(classes, 11 + r)
-        lists = materialize(_lists(new if lists is None else new.unionByName(lists), NEIGHBOURS), "neardup-lists")
-        first = lists.filter(F.col("sim") >= threshold).select("a", "b")
-        found = first if found is None else found.unionByName(first)
+        new = first_lists(active, 11 + r)
+        lists = materialize(_lists(new if lists is None else new.unionByName(lists.join(active.select(F.col("key").alias("a")), "a", "left_semi").select("a", "b", "sim")), NEIGHBOURS), "neardup-lists")
+        found = pairs_of(lists) if found is None else found.unionByName(pairs_of(lists))
         size = lists.agg(F.sum("sim")).first()[0] or 0.0
         for _ in range(4):
-            pairs = materialize(descend(lists, classes, NEIGHBOURS), "neardup-pairs")
-            found = materialize(found.unionByName(pairs.filter(F.col("sim") >= threshold).select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "neardup-found")
+            pairs = materialize(descend(lists, active, NEIGHBOURS, threshold), "neardup-pairs")
+            found = materialize(found.unionByName(pairs_of(pairs)).distinct(), "neardup-found")
             lists = materialize(_lists(lists.unionByName(pairs), NEIGHBOURS), "neardup-lists")
             later = lists.agg(F.sum("sim")).first()[0] or 0.0
             if later <= size * 1.002:
                 break
             size = later
-        comp = materialize(components(found.select(F.col("a").alias("u"), F.col("b").alias("v"))), "neardup-components")
-        full = lists.filter(F.col("sim") >= threshold).groupBy("a").count().filter(F.col("count") >= NEIGHBOURS).select(F.col("a").alias("id"))
-        dense = comp.join(full, "id").select("component_id").distinct()
-        members = comp.join(dense, "component_id").select(F.col("id").alias("key"), F.col("component_id").alias("c")).join(classes.select("key", "n", "vec"), "key")
-        members = materialize(members, "neardup-dense")
-        # in dense components all links are counted by the scan: for the audit a shared component stands for the link
-        inside = members.select("key", "c")
-        if audit_recall(classes, found, inside, threshold) >= recall:
+        now = lists.filter(F.col("sim") >= threshold).groupBy(F.col("a").alias("key")).count().filter(F.col("count") >= NEIGHBOURS).select("key")
+        full = materialize(now if full is None else full.unionByName(now).distinct(), "neardup-full")
+        short = check.short(found, full, recall)
+        if short.isEmpty():
             break
-    exact = _scan(members, threshold)
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    counted = both.join(classes.select(F.col("key").alias("b"), "n"), "b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("found"))
-    per = classes.select("key", "n", "least").join(counted, "key", "left").join(exact, "key", "left").join(comp.select(F.col("id").alias("key"), F.col("component_id").alias("c")), "key", "left")
-    per = materialize(per.select("key", "least", F.coalesce("c", "key").alias("c"), (F.coalesce("links", "found", F.lit(0)) + F.col("n") - 1).alias("n_links")), "neardup-classes-linked")
+        active = materialize(classes.join(short, "g", "left_semi"), "neardup-short")
+    else:
+        check.scan(active.select("key", "g"))
+    edges = found.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(check.scans.select(F.col("key").alias("u"), F.col("root").alias("v")))
+    comp = materialize(components(edges), "neardup-components")
+    # in components with a full list all links are counted
+    dense = comp.join(full.select(F.col("key").alias("id")), "id").select("component_id").distinct()
+    members = comp.join(dense, "component_id").select(F.col("id").alias("key"), F.col("component_id").alias("c")).join(classes.select("key", "n", "vec"), "key")
+    members = materialize(members, "neardup-dense")
+    asked = members.select("key", "c").join(check.asked, "key", "left_anti")
+    scans = check.scans.unionByName(materialize(_scan(asked, members, threshold), "neardup-scan"))
+    scanned = check.asked.select("key").unionByName(asked.select("key"))
+    # links of a scanned vector are its scan's; another one has those of the scans that met it, and those found with the others
+    exact = scans.groupBy("key").agg(F.sum("links").alias("links"), F.sum("back").alias("back"))
+    rest = _both(found).join(scanned.select(F.col("key").alias("b")), "b", "left_anti")
+    counted = rest.join(classes.select(F.col("key").alias("b"), "n"), "b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("found"))
+    per = classes.select("key", "n", "least").join(scanned.withColumn("scanned", F.lit(True)), "key", "left").join(counted, "key", "left").join(exact, "key", "left").join(comp.select(F.col("id").alias("key"), F.col("component_id").alias("c")), "key", "left")
+    zero = F.lit(0)
+    links = F.when(F.col("scanned"), F.coalesce("links", zero)).otherwise(F.coalesce("found", zero) + F.coalesce("back", zero))
+    per = materialize(per.select("key", "least", F.coalesce("c", "key").alias("c"), (links + F.col("n") - 1).alias("n_links")), "neardup-classes-linked")
     least = per.groupBy("c").agg(F.min("least").alias("component_id"))
     per = per.join(least, "c").select("key", "n_links", "component_id")
     linked = good.select("id", "key").join(per, "key").select(F.col("id").alias(id_col), "n_links", "component_id")
@@ -222,12 +288,5 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     return out.withColumn("kept", F.col(id_col) == F.col("component_id"))
 
 
-def audit_recall(classes: DataFrame, found: DataFrame, inside: DataFrame, threshold: float) -> float:
-    """audit() of the links found, with those in a component that the exact scan will cover."""
-    asked = classes.orderBy(F.xxhash64("key"), "key").limit(AUDIT).select("key")
-    ours = inside.join(asked, "key").select(F.col("key").alias("a"), "c").join(inside.select(F.col("key").alias("b"), "c"), "c").select("a", "b")
-    return audit(classes, found.select("a", "b").unionByName(ours), threshold)
-
-
 def op4_near_duplicates(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "embeddings"))
