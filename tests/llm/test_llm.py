@@ -181,6 +181,26 @@ def test_isolated_pairs_are_found_in_a_large_label(spark):
     assert got == wanted
 
 
+@pytest.mark.parametrize("size", [30, 90])
+def test_tight_groups_joined_by_few_links(spark, monkeypatch, size):
+    """Links between groups whose lists are full of their own members, without help of the audit."""
+    monkeypatch.setattr(neardup, "AUDIT", 1)
+    monkeypatch.setattr(neardup, "LINKED", 0, raising=False)
+    r = np.random.default_rng(8)
+    groups = []
+    for _ in range(6):
+        a, b = np.linalg.qr(r.standard_normal((64, 2)))[0].T
+        for turn in (0, 0.4):
+            x = np.cos(turn) * a + np.sin(turn) * b + 0.018 * r.standard_normal((size, 64))
+            groups.append(x)
+    v = np.concatenate([*groups, r.standard_normal((1000, 64))])
+    got, wanted = linked_vectors(spark, v)
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    cross = [int((u[i : i + size] @ u[i + size : i + 2 * size].T >= 0.93).sum()) for i in range(0, 12 * size, 2 * size)]
+    assert 0 < max(cross) < size
+    assert got == wanted
+
+
 def test_bpe_equals_the_library(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -231,8 +231,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     Lists of the NEIGHBOURS best start from several random orders and are refined by NN-descent until
     a round adds next to nothing. An audit compares vectors of each label with all of it until enough of them
     have links; labels below the wanted recall get new orders, and after the last round they are compared as
-    a whole, block by block. A list full of links is saturated: what it lacks lies in its component,
-    which is then compared block by block, so that counts there are exact.
+    a whole, block by block. A list full of links is saturated: what it lacks can lie in any group of the label, so
+    its vector is compared with all of the label. (A longer list would fill up with its own group first, as before.)
     """
     good = materialize(clean(vectors, id_col, vec_col, label_col), "neardup-rows")
     classes = good.groupBy("key", "g").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
@@ -261,15 +261,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
         active = materialize(classes.join(short, "g", "left_semi"), "neardup-short")
     else:
         check.scan(active.select("key", "g"))
-    edges = found.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(check.scans.select(F.col("key").alias("u"), F.col("root").alias("v")))
+    check.scan(classes.join(full, "key", "left_semi").select("key", "g"))
+    scans, scanned = check.scans, check.asked.select("key")
+    edges = found.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(scans.select(F.col("key").alias("u"), F.col("root").alias("v")))
     comp = materialize(components(edges), "neardup-components")
-    # in components with a full list all links are counted
-    dense = comp.join(full.select(F.col("key").alias("id")), "id").select("component_id").distinct()
-    members = comp.join(dense, "component_id").select(F.col("id").alias("key"), F.col("component_id").alias("c")).join(classes.select("key", "n", "vec"), "key")
-    members = materialize(members, "neardup-dense")
-    asked = members.select("key", "c").join(check.asked, "key", "left_anti")
-    scans = check.scans.unionByName(materialize(_scan(asked, members, threshold), "neardup-scan"))
-    scanned = check.asked.select("key").unionByName(asked.select("key"))
     # links of a scanned vector are its scan's; another one has those of the scans that met it, and those found with the others
     exact = scans.groupBy("key").agg(F.sum("links").alias("links"), F.sum("back").alias("back"))
     rest = _both(found).join(scanned.select(F.col("key").alias("b")), "b", "left_anti")
