@@ -85,6 +85,14 @@ def test_sharding_is_even_with_a_hot_source(spark):
     assert max(r.b for r in parts) <= 21_000
 
 
+def test_sharding_splits_on_source_and_language(spark):
+    rows = spark.range(1600).selectExpr("id as doc_id", "lpad(id, 40, 'x') as text", "if(id % 16 < 8, 'de', 'en') as lang", "concat('src', id % 16) as source")
+    for column in ("lang", "source"):
+        one = rows.withColumn("lang" if column == "source" else "source", F.lit(None).cast("string"))
+        got = sharding.shard_documents(one, shards=2 if column == "lang" else 4).join(one, "doc_id").groupBy(column).agg(F.count_distinct("shard").alias("n")).collect()
+        assert len(got) == (2 if column == "lang" else 16) and all(r.n == 1 for r in got)
+
+
 def brute_quality(text):
     w = [x.decode() for x in (text or "").encode().split()]
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
