@@ -46,7 +46,17 @@ def s1(s, d):
 
 
 add("s1_dedup_within", s1, cte("crawl_events") + "select distinct crawlid, url from crawl_events")
-add("s1_dedup_renewed", lambda s, d: T.run_to_table(T.dedup_renewed(live(s, view(s, d, "crawl_events").select("crawlid", "url", "sec"), "sec"), "crawlid", "url", 86400 * 40), scratch(s, "out")), cte("crawl_events") + "select crawlid, url, min(sec) as sec from crawl_events group by 1, 2")
+RENEWED = 6 * 3600
+add(
+    "s1_dedup_renewed",
+    lambda s, d: T.run_to_table(T.dedup_renewed(live(s, view(s, d, "crawl_events").select("crawlid", "url", "sec"), "sec"), "crawlid", "url", RENEWED), scratch(s, "out")),
+    # row by row: the set of keys, when it was last added to, and whether this row was an addition
+    cte("crawl_events").replace("with ", "with recursive ", 1) + f""", o as (select crawlid, url, sec, row_number() over (partition by crawlid order by sec, url) as i from crawl_events),
+ r(crawlid, i, url, sec, held, last, fresh) as (select crawlid, i, url, sec, [url], sec, true from o where i = 1 union all
+  select o.crawlid, o.i, o.url, o.sec, case when o.sec - r.last >= {RENEWED} then [o.url] when list_contains(r.held, o.url) then r.held else list_append(r.held, o.url) end,
+   case when o.sec - r.last >= {RENEWED} or not list_contains(r.held, o.url) then o.sec else r.last end, o.sec - r.last >= {RENEWED} or not list_contains(r.held, o.url) from r join o on o.crawlid = r.crawlid and o.i = r.i + 1)
+ select crawlid, url, sec from r where fresh""",
+)
 
 
 def s2(s, d):
@@ -56,25 +66,40 @@ def s2(s, d):
 
 
 add("s2_live_ledger", s2, cte("crawl_events") + LEDGER + 'select crawlid, total, crawled, failed_pages, failed_pipeline, start, "update" from led')
+#: A message of no group's, long after all others: the watermark passes all timers.
+END = 4000000000
+
+
+def s3(s, d):
+    x = view(s, d, "crawl_events").select("event_id", "crawlid", "kind", "n", "sec")
+    end = s.range(1).select(F.lit(1 << 60).alias("event_id"), F.lit(-1).cast("long").alias("crawlid"), F.lit("end").alias("kind"), F.lit(0).cast(x.schema["n"].dataType).alias("n"), F.lit(END).cast("long").alias("sec"))
+    return T.run_to_table(T.finish_notifications(live(s, x.unionByName(end), "event_id")), scratch(s, "out")).filter("crawlid >= 0").select("crawlid", "status", "sec")
+
+
 add(
     "s3_notifications",
-    lambda s, d: T.run_to_table(T.finish_notifications(live(s, view(s, d, "crawl_events").select("event_id", "crawlid", "kind", "n", "sec"), "event_id")), scratch(s, "out")).select("crawlid", "status", "sec"),
-    cte("crawl_events") + """, e as (select *, sum(case when kind = 'scheduled' then n else 0 end) over w as total, sum(case when kind = 'scheduled' then 0 else n end) over w as done, lag(sec) over (partition by crawlid order by event_id) as before from crawl_events window w as (partition by crawlid order by event_id)),
- t as (select crawlid, event_id, 0 as o, 'error' as status, before + 86400 as sec from e where sec - before >= 86400 union all select crawlid, event_id, 1, 'finished', sec from e where (total > 0 and total <= done) or (total = 0 and done > 0))
+    s3,
+    cte("crawl_events") + """, e as (select *, sum(case when kind = 'scheduled' then n else 0 end) over w as total, sum(case when kind = 'scheduled' then 0 else n end) over w as done, lead(sec) over (partition by crawlid order by event_id) as after from crawl_events window w as (partition by crawlid order by event_id)),
+ t as (select crawlid, event_id, 1 as o, 'error' as status, sec + 86400 as sec from e where after is null or after - sec >= 86400 union all select crawlid, event_id, 0, 'finished', sec from e where (total > 0 and total <= done) or (total = 0 and done > 0))
  select crawlid, arg_min(status, (event_id, o)) as status, arg_min(sec, (event_id, o)) as sec from t group by 1""",
 )
 
+#: When the last message of S4 comes; what is due until an hour before has fired.
+LAST = 1800000000
+
 
 def s4(s, d):
     m = view(s, d, "delayed_messages").join(view(s, d, "site_delay"), "site").select("item_id", "seq", "event", "sec", (F.col("update_interval") * 300).cast("int").alias("update_interval"))
-    return T.run_to_table(T.delayed_emission(live(s, m, "sec"), 86400 * 500), scratch(s, "out"))
+    m = m.withColumn("due_date", F.when(F.col("seq") % 5 == 0, F.col("sec") + F.col("seq") % 70 * 86400))
+    end = s.range(1).select(F.lit(-1).cast("long").alias("item_id"), F.lit(0).cast("long").alias("seq"), F.lit("upsert").alias("event"), F.lit(LAST).cast("long").alias("sec"), F.lit(0).alias("update_interval"), F.lit(None).cast("long").alias("due_date"))
+    return T.run_to_table(T.delayed_emission(live(s, m.unionByName(end), "sec"), 86400 * 500), scratch(s, "out")).filter("item_id >= 0")
 
 
 add(
     "s4_delayed_emission",
     s4,
-    cte("delayed_messages", "site_delay") + """, m as (select item_id, seq, event, sec, coalesce(nullif(update_interval * 300, 0), 43200000) as wait from delayed_messages join site_delay using (site)), n as (select *, lead(sec) over (partition by item_id order by sec, seq) as after from m),
- f as (select item_id, seq, sec + wait * i as fired from n, range(1, 400) r(i) where event <> 'delete' and after is not null and sec + wait * i <= after) select item_id, seq, cast(fired as bigint) as fired from f""",
+    cte("delayed_messages", "site_delay") + f""", m as (select item_id, seq, event, sec, coalesce(nullif(update_interval * 300, 0), 43200000) as wait, case when seq % 5 = 0 then sec + seq % 70 * 86400 end as due_date from delayed_messages join site_delay using (site)), n as (select *, coalesce(due_date, sec + wait) as due, coalesce(lead(sec) over (partition by item_id order by sec, seq), {LAST} - 3600) as until from m),
+ f as (select item_id, seq, due + wait * i as fired from n, range(0, 400) r(i) where event <> 'delete' and due + wait * i <= until) select item_id, seq, cast(fired as bigint) as fired from f""",
 )
 
 

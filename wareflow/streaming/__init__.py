@@ -27,14 +27,17 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFram
 def replay(spark: SparkSession, rows: DataFrame, path: str, order: str, batches: int = 4) -> DataFrame:
     """A stream over rows in order, a range a batch, for tests and backfills.
 
-    Files are taken by their time, so the ranges are written one after the other.
+    Files are taken by their time, so the ranges are written one after the other, each by several tasks into the same number of files; a trigger
+    takes so many. Small tables have one file a range, so that no file is empty.
     """
     ranges = rows.repartitionByRange(batches, order).withColumn("__range", F.spark_partition_id())
     ranges.write.partitionBy("__range").parquet(f"{path}-ranges")
     staged = spark.read.schema(ranges.schema).parquet(f"{path}-ranges")
+    files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), staged.count() // (batches * 1000)))
     for n in range(batches):
-        staged.filter(F.col("__range") == n).drop("__range").coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part = staged.filter(F.col("__range") == n).drop("__range")
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def dedup_within(events: DataFrame, keys: list[str], ts: str = "ts", horizon: str = WATERMARK) -> DataFrame:
@@ -42,31 +45,55 @@ def dedup_within(events: DataFrame, keys: list[str], ts: str = "ts", horizon: st
     return events.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(keys)
 
 
+def timed(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """rows with an event time `ts` from `sec`, where they have none, and a watermark: what timers go by."""
+    rows = rows if "ts" in rows.columns else rows.withColumn("ts", F.timestamp_seconds("sec"))
+    return rows.withWatermark("ts", delay)
+
+
+def _in_order(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator:
+    """All rows that a group got in a batch, in order."""
+    return pd.concat(list(frames)).sort_values(by, kind="stable").itertuples(index=False)
+
+
+def _watermark(state: GroupState) -> int:
+    """Seconds that the stream has surely passed."""
+    return state.getCurrentWatermarkMs() // 1000
+
+
+def _wake(state: GroupState, at: int) -> None:
+    """Call the group again when the watermark passes `at` (seconds), or with the next one if it has."""
+    state.setTimeoutTimestamp(max(at * 1000, state.getCurrentWatermarkMs() + 1))
+
+
 def dedup_renewed(events: DataFrame, group: str, key: str, seconds: int = 3600) -> DataFrame:
     """S1, exact: the keys of a group expire together, `seconds` after the group's latest addition.
 
-    events has `sec`; a key set that no addition renewed in time is forgotten as a whole.
+    events has `sec`; a key set that no addition renewed in time is forgotten as a whole: by the next event's time, and from the
+    state when the watermark passes its end.
     """
 
     def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last, seen = state.get if state.exists else (0, [])
-        held = set(seen)
-        for pdf in frames:
-            keep = []
-            for row in pdf.sort_values(["sec", key]).itertuples(index=False):
-                at, k = int(row.sec), getattr(row, key)
-                if held and at - last >= seconds:
-                    held = set()
-                if k not in held:
-                    held.add(k)
-                    last = at
-                    keep.append((who[0], k, at))
-            if keep:
-                yield pd.DataFrame(keep, columns=[group, key, "sec"])
+        held, keep = set(seen), []
+        for row in _in_order(frames, ["sec", key]):
+            at, k = int(row.sec), getattr(row, key)
+            if held and at - last >= seconds:
+                held = set()
+            if k not in held:
+                held.add(k)
+                last = at
+                keep.append((who[0], k, at))
         state.update((last, sorted(held)))
+        _wake(state, last + seconds)
+        if keep:
+            yield pd.DataFrame(keep, columns=[group, key, "sec"])
 
     g, k = events.schema[group].dataType.simpleString(), events.schema[key].dataType.simpleString()
-    return events.groupBy(group).applyInPandasWithState(step, f"{group} {g}, {key} {k}, sec long", f"last long, held array<{k}>", "append", GroupStateTimeout.NoTimeout)
+    return timed(events).groupBy(group).applyInPandasWithState(step, f"{group} {g}, {key} {k}, sec long", f"last long, held array<{k}>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def live_ledger(events: DataFrame, idle: str = "2 days", ts: str = "ts") -> DataFrame:
@@ -80,14 +107,22 @@ def live_ledger(events: DataFrame, idle: str = "2 days", ts: str = "ts") -> Data
     )
 
 
-def finish_notifications(events: DataFrame, idle: int = 86400) -> DataFrame:
-    """S3: one row when a crawl becomes finished; `error` if nothing came for `idle` seconds before it did."""
+def finish_notifications(events: DataFrame, idle: int = 86400, forget: int = 2 * 86400) -> DataFrame:
+    """S3: one row when a crawl becomes finished; `error` if nothing came for `idle` seconds before it did.
+
+    A silent crawl gets its row when the watermark passes the end of its time, without any later event of its own. What is known of a crawl is
+    forgotten `forget` seconds (the ledger's lifetime) after its last event.
+    """
 
     def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         total, done, last, told = state.get if state.exists else (0, 0, 0, False)
         out = []
-        for pdf in frames:
-            for row in pdf.sort_values(["sec", "event_id"]).itertuples(index=False):
+        if state.hasTimedOut:
+            if not told:
+                out.append((who[0], "error", last + idle))
+                told = True
+        else:
+            for row in _in_order(frames, ["sec", "event_id"]):
                 if last and not told and row.sec - last >= idle:
                     out.append((who[0], "error", last + idle))
                     told = True
@@ -96,49 +131,68 @@ def finish_notifications(events: DataFrame, idle: int = 86400) -> DataFrame:
                 if not told and ((total > 0 and total <= done) or (total == 0 and done > 0)):
                     out.append((who[0], "finished", last))
                     told = True
-        state.update((int(total), int(done), last, told))
+        if told and _watermark(state) >= last + max(idle, forget):
+            state.remove()
+        else:
+            state.update((int(total), int(done), last, told))
+            _wake(state, last + (max(idle, forget) if told else idle))
         if out:
             yield pd.DataFrame(out, columns=["crawlid", "status", "sec"])
 
-    return events.groupBy("crawlid").applyInPandasWithState(step, "crawlid long, status string, sec long", "total long, done long, last long, told boolean", "append", GroupStateTimeout.NoTimeout)
+    return timed(events).groupBy("crawlid").applyInPandasWithState(step, "crawlid long, status string, sec long", "total long, done long, last long, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def delayed_emission(messages: DataFrame, default: int = 3 * 86400) -> DataFrame:
     """The latest message of an id fires when due and is armed again; a delete disarms it.
 
-    A message is due `update_interval` seconds (default where 0) after it came or fired. Time is that of
-    the id's own messages: what was due by then fires before a later message is taken.
+    A message is due at its `due_date` (seconds) if it has one, else `update_interval` seconds (default where 0) after it came, and again so long
+    after it fired. What was due by the time of a later message of the id fires before that is taken; without one, a message fires when the watermark
+    passes its time. A disarmed id has no state.
     """
+    messages = messages if "due_date" in messages.columns else messages.withColumn("due_date", F.lit(None).cast("long"))
 
     def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         due, wait, seq = state.get if state.exists else (-1, 0, 0)
         out = []
-        for pdf in frames:
-            for row in pdf.sort_values(["sec", "seq"]).itertuples(index=False):
+        if not state.hasTimedOut:
+            for row in _in_order(frames, ["sec", "seq"]):
                 while 0 <= due <= row.sec:
                     out.append((who[0], seq, due))
                     due += wait
                 wait = int(row.update_interval) or default
-                due, seq = (-1, 0) if row.event == "delete" else (int(row.sec) + wait, int(row.seq))
-        state.update((int(due), int(wait), int(seq)))
+                at = int(row.sec) + wait if pd.isna(row.due_date) else int(row.due_date)
+                due, seq = (-1, 0) if row.event == "delete" else (at, int(row.seq))
+        while 0 <= due <= _watermark(state):
+            out.append((who[0], seq, due))
+            due += wait
+        if due < 0:
+            state.remove()
+        else:
+            state.update((int(due), int(wait), int(seq)))
+            _wake(state, due)
         if out:
             yield pd.DataFrame(out, columns=["item_id", "seq", "fired"])
 
-    return messages.groupBy("item_id").applyInPandasWithState(step, "item_id long, seq long, fired long", "due long, wait long, seq long", "append", GroupStateTimeout.NoTimeout)
+    return timed(messages).groupBy("item_id").applyInPandasWithState(step, "item_id long, seq long, fired long", "due long, wait long, seq long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def retry_limit(results: DataFrame, most: int = 10) -> DataFrame:
-    """Outcomes in order: success clears an item's count, a failure is retried until the count reaches `most`."""
+    """Outcomes in order: success clears an item's count, a failure is retried until the count reaches `most`.
+
+    Only items that wait for a retry have state: a success and an item that was given up leave none.
+    """
 
     def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (count,) = state.get if state.exists else (0,)
         out = []
-        for pdf in frames:
-            for row in pdf.sort_values("seq").itertuples(index=False):
-                count = 0 if row.ok else count + 1
-                out.append((who[0], int(row.seq), "ENRICH" if row.ok else "retry" if count < most else "abandoned", count))
-                count = 0 if count >= most else count
-        state.update((int(count),))
+        for row in _in_order(frames, ["seq"]):
+            count = 0 if row.ok else count + 1
+            out.append((who[0], int(row.seq), "ENRICH" if row.ok else "retry" if count < most else "abandoned", count))
+            count = 0 if count >= most else count
+        if count:
+            state.update((int(count),))
+        else:
+            state.remove()
         if out:
             yield pd.DataFrame(out, columns=["item_id", "seq", "outcome", "attempts"])
 
