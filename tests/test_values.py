@@ -111,3 +111,47 @@ def test_closed_weekday(spark):
 def test_endpoint_health_empty(spark):
     log = spark.createDataFrame([], "endpoint long, seq long, ok boolean")
     assert ledger.endpoint_health(log).count() == 0
+
+
+def test_site_mapping_rules(spark):
+    """Image rules, position and what a site does at the end."""
+    m = variants.SiteMapping("s", sku_id="id", price="p", list_price="p", stock="q", is_main="url like '%-p-%'", image_type="regexp_extract(url, '-([a-z])-', 1)", position="9 - n", process=lambda df: df.filter("stock > 0"))
+    images = spark.createDataFrame([("x-p-1", 1), ("x-q-1", 2), ("x", 3)], "url string, n int")
+    assert {(r.url, r.is_main, r.kind, r.pos) for r in catalog.image_rows(images, m).collect()} == {("x-p-1", True, "p", 8), ("x-q-1", False, "q", 7), ("x", False, "MAIN", 6)}
+    skus = spark.createDataFrame([(1, "a", 1.0, 0), (2, "b", 2.0, 3)], "product_id int, id string, p double, q int")
+    assert [r.sku_id for r in variants.single_sku(skus, m).collect()] == ["b"]
+
+
+def test_schedule_predicate(spark):
+    """U4: rows that the predicate leaves out stay due."""
+    due = spark.createDataFrame([("a", "x", 5), ("b", "y", 6), ("c", None, 7)], "item_id string, site string, due long")
+    got = frontier.refresh_batches(due, 1706659200, {}, 10, lambda site, now: (site != "x") | (F.hour(now) >= 6))
+    assert {(r.item_id, r.chunk) for r in got.collect()} == {("b", 0)}
+
+
+def test_relational_windows(monkeypatch):
+    """A5: half-open windows of ids, each with the filter, are what the database is asked for."""
+    from wareflow import sources
+
+    asked = {}
+    reader = type("R", (), {"jdbc": lambda self, url, table, predicates, properties: asked.update(url=url, table=table, predicates=predicates, properties=properties)})()
+    session = type("S", (), {"read": reader})()
+    sources.read_relational(session, "jdbc:x", "t", "id", 0, 25_000, 10_000, "site = 3", {"user": "u"})
+    assert asked["predicates"] == ["id >= 0 and id < 10000 and (site = 3)", "id >= 10000 and id < 20000 and (site = 3)", "id >= 20000 and id < 25000 and (site = 3)"]
+    assert (asked["url"], asked["table"], asked["properties"]) == ("jdbc:x", "t", {"user": "u"})
+
+
+def test_running_sums_over_buckets(spark):
+    """Sums cross buckets and null keys, and rows of one time go by the rest of the order."""
+    rows = spark.createDataFrame([(k, t, i, i) for k in ("a", None) for i, t in enumerate([-5, 3, 3, 99, 100, 250, 1000])], "k string, t long, i int, v int")
+    got = ledger.running(rows, ["k"], "t", ["t", "i"], ["v"], 100).collect()
+    assert {(r.k, r.i): r.run_v for r in got} == {(k, i): i * (i + 1) // 2 for k in ("a", None) for i in range(7)}
+
+
+def test_patterns_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(joins, "PATTERNS", 1)
+    images = spark.createDataFrame([("u1", 0), ("u2", 1)], "url string, pos int")
+    wanted = spark.createDataFrame([("u.", True), ("u2", False)], "text string, pattern boolean")
+    assert {(r.text, r.pos) for r in joins.image_match(images, wanted).collect()} == {("u.", 0), ("u2", 1)}
+    with pytest.raises(ValueError):
+        joins.image_match(images, wanted.withColumn("pattern", F.lit(True)))

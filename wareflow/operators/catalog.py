@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .variants import SiteMapping
+
 
 def capitalize(c: Column) -> Column:
     """First letter upper, all others lower (initcap would raise every word)."""
@@ -48,9 +50,9 @@ def capitalize_text(text: str) -> str:
     return text[:1].upper() + text[1:].lower()
 
 
-def image_rows(images: DataFrame, is_main: Column, kind: Column) -> DataFrame:
-    """One row an image, with its type and main flag by the site's rules."""
-    return images.withColumns({"is_main": is_main, "kind": kind})
+def image_rows(images: DataFrame, site: SiteMapping) -> DataFrame:
+    """One row an image, with its type, main flag and position by the site's rules."""
+    return images.withColumns(site.image_rules())
 
 
 def ensure_main(images: DataFrame) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ledger import running
+
 
 def dispatch_plan(requests: DataFrame, per_minute: Column, minutes: int) -> DataFrame:
     """G1: by spider the k requests of highest priority, k = pace * minutes; ties by insertion."""
@@ -49,13 +53,18 @@ def due_items(messages: DataFrame, delays: DataFrame, now: int, default: int) ->
     return x.filter(F.col("due") <= now)
 
 
-def refresh_batches(due: DataFrame, now: int, closed: dict[str, int], size: int = 5000) -> DataFrame:
-    """Due items by site in chunks; one row an id, no blank site, and no site on its closed weekday (0 = Monday)."""
+def refresh_batches(due: DataFrame, now: int, closed: dict[str, int], size: int = 5000, schedule: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Due items by site in chunks; one row an id, no blank site, and no site on its closed weekday (0 = Monday).
+
+    schedule (U4), where given, is a further predicate of a site and the time (a timestamp column): its rows stay due where it is false or null.
+    """
     weekday = (now // 86400 + 3) % 7
     shut = [s for s, d in closed.items() if d == weekday]
+    if schedule is not None:
+        due = due.filter(schedule(F.col("site"), F.timestamp_seconds(F.lit(now))))
     one = due.filter((F.coalesce("site", F.lit("")) != "") & ~F.col("site").isin(shut)).groupBy("item_id").agg(F.min_by(F.struct("site", "due"), F.struct("due", "site")).alias("x")).select("item_id", "x.site", "x.due")
-    w = Window.partitionBy("site").orderBy("due", "item_id")
-    return one.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
+    at = running(one.withColumn("__one", F.lit(1)), ["site"], "due", ["due", "item_id"], ["__one"])
+    return at.select(*one.columns, F.floor((F.col("run___one") - 1) / size).cast("long").alias("chunk"))
 
 
 def redelay(sent: DataFrame, results: DataFrame, now: int, cycle: int) -> DataFrame:
@@ -83,11 +92,13 @@ def retry_plan(log: DataFrame, most: int, adjust: int = -10) -> DataFrame:
 
 
 def search_positions(listings: DataFrame, own: DataFrame, n: int) -> DataFrame:
-    """1-based rank in listing order, of own shops' rows only, on the first min(pages, 2n) pages."""
+    """1-based rank in listing order, of own shops' rows only, on the first min(pages, 2n) pages.
+
+    Later pages don't change a rank, so they go before the ranking, which thus sees 2n pages a query.
+    """
     w = Window.partitionBy("query").orderBy("page", "pos")
-    pages = Window.partitionBy("query")
-    x = listings.withColumns({"rank": F.row_number().over(w), "pages": F.max("page").over(pages)})
-    return x.filter(F.col("page") <= F.least("pages", F.lit(2 * n))).join(own, "shop", "left_semi").select("query", "shop", "page", "rank")
+    x = listings.filter(F.col("page") <= 2 * n).withColumn("rank", F.row_number().over(w))
+    return x.join(own, "shop", "left_semi").select("query", "shop", "page", "rank")
 
 
 def keyword_residue(titles: DataFrame, group: str, word: Column, stop: list[str], keep: str = "[^a-z]") -> DataFrame:

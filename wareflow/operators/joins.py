@@ -63,11 +63,18 @@ def backfill_color(skus: DataFrame) -> DataFrame:
     return skus.withColumn("color_id", F.coalesce(F.nullif("color_id", F.lit("")), F.last(F.nullif("color_id", F.lit("")), ignorenulls=True).over(w)))
 
 
+#: Patterns of C14 at most.
+PATTERNS = 1000
+
+
 def image_match(images: DataFrame, wanted: DataFrame) -> DataFrame:
     """C14: an image for each wanted text: equal, or found by it as a pattern; the first by position.
 
-    Literal texts meet by an equi join; the patterns, a hand-kept list, meet the rest.
+    Literal texts meet by an equi join. The patterns meet all images, which is work of images times patterns: they are a hand-kept list, and more
+    than PATTERNS of them are refused.
     """
+    if wanted.filter("pattern").limit(PATTERNS + 1).count() > PATTERNS:
+        raise ValueError(f"more than {PATTERNS} patterns")
     equal = images.join(wanted.filter("not pattern"), images["url"] == wanted["text"])
     pattern = images.join(F.broadcast(wanted.filter("pattern")), F.expr("url rlike text or url = text"))
     both = equal.unionByName(pattern)

@@ -102,12 +102,31 @@ def purge_crawl(led: DataFrame, requests: DataFrame, purged: DataFrame) -> tuple
     return kept, requests.join(p, (F.col("crawlid") == F.col("__c")) & (F.col("__s").isNull() | (F.col("spiderid") == F.col("__s"))), "left_anti")
 
 
+def running(rows: DataFrame, keys: list[str], at: str, order: list[str], values: list[str], width: int = 86400) -> DataFrame:
+    """rows with `run_<value>`: sums over a key's rows up to this one, in order (`at` first).
+
+    Time is cut into buckets of `width`: sums by bucket, then their prefix sums (a row a bucket), then windows within a bucket. So no task
+    has the whole history of a hot key.
+    """
+    x = rows.withColumn("__b", F.floor(F.col(at) / width))
+    sums = x.groupBy(*keys, "__b").agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    names = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    sums = sums.select(*names, F.col("__b").alias("__kb"), *[F.coalesce(F.sum(f"__s_{v}").over(before), F.lit(0)).alias(f"__p_{v}") for v in values])
+    within = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"run_{v}": F.sum(v).over(within) for v in values})
+    same = F.col("__b").eqNullSafe(F.col("__kb"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    x = x.join(sums, same).withColumns({f"run_{v}": (F.col(f"run_{v}") + F.col(f"__p_{v}")).cast("long") for v in values})
+    return x.select(*rows.columns, *[f"run_{v}" for v in values])
+
+
 def in_flight(points: DataFrame) -> DataFrame:
     """Running signed sum by app and site, and over all apps of the site."""
-    order = [F.col("us"), F.col("event_id")]
-    w = Window.partitionBy("app", "site").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    s = Window.partitionBy("site").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return points.withColumns({"backlog": F.sum("value").over(w).cast("long"), "site_backlog": F.sum("value").over(s).cast("long")})
+    order, hour = ["us", "event_id"], 3_600_000_000
+    x = running(points, ["app", "site"], "us", order, ["value"], hour).withColumnRenamed("run_value", "backlog")
+    return running(x, ["site"], "us", order, ["value"], hour).withColumnRenamed("run_value", "site_backlog")
 
 
 def endpoint_health(log: DataFrame, most: int = 5) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ledger import running
+
 
 def top_terms(logs: DataFrame, term: str, n: int) -> DataFrame:
     """the n most frequent values; ties by value."""
@@ -53,12 +55,31 @@ def histogram_valid(logs: DataFrame, width: int) -> DataFrame:
 
 
 def rolling_totals(logs: DataFrame, key: str, spans: list[int]) -> DataFrame:
-    """for each row, how many rows of its key lie in the last `span` seconds, itself included."""
-    out = logs
-    for s in spans:
-        w = Window.partitionBy(key).orderBy("sec").rangeBetween(-s, 0)
-        out = out.withColumns({f"total_{s}": F.count(F.lit(1)).over(w), f"fail_{s}": F.count_if(~F.col("success")).over(w)})
-    return out
+    """for each row, how many rows of its key lie in the last `span` seconds, itself included, and how many of them failed.
+
+    A count up to a second less the count up to the second before the span: both are running sums (see running()) over the distinct seconds of a
+    key, at which rows were counted or are asked for. Time grows with rows and spans, not with what a span holds.
+    """
+    per = logs.groupBy(F.col(key).alias("__key"), F.col("sec").alias("__sec")).agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.col("success")).alias("fail"))
+    asked = per.select("__key", "__sec", F.explode(F.array(*[F.lit(s) for s in [-1, *spans]])).alias("span"))
+    marks = per.select("__key", F.col("__sec").alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("int").alias("span"), "__sec", "total", "fail")
+    marks = marks.unionByName(asked.select("__key", (F.col("__sec") - F.col("span") - 1).alias("at"), F.lit(1).alias("kind"), F.col("span").cast("int").alias("span"), "__sec", F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("fail")))
+    upto = running(marks, ["__key"], "at", ["at", "kind", "span", "__sec"], ["total", "fail"]).filter("kind = 1")  # span -1 asks for the second itself
+    pick = lambda s, v: F.max(F.when(F.col("span") == s, F.col(f"run_{v}")))
+    found = upto.groupBy("__key", "__sec").agg(*[(pick(-1, v) - pick(s, v)).alias(f"{v}_{s}") for s in spans for v in ("total", "fail")])
+    return logs.join(found, F.col(key).eqNullSafe(F.col("__key")) & (F.col("sec") == F.col("__sec"))).drop("__key", "__sec")
+
+
+def link_totals(logs: DataFrame, status: str, spans: list[int], width: int) -> DataFrame:
+    """by time bucket and status, the mean of the rolling totals of that status (`total_<span>`)."""
+    rolled = rolling_totals(logs, status, spans)
+    return rolled.groupBy(bucket(width), status).agg(*[F.round(F.avg(f"total_{s}"), 6).alias(f"avg_total_{s}") for s in spans])
+
+
+def queue_backlog(points: DataFrame, queue: str, width: int) -> DataFrame:
+    """by time bucket and queue, the mean backlog: the running sum of `value` at each of its messages."""
+    at = running(points, [queue], "us", ["us", "event_id"], ["value"], 3_600_000_000)
+    return at.groupBy(bucket(width), queue).agg(F.round(F.avg("run_value"), 6).alias("avg_backlog"))
 
 
 def histogram_averages(rows: DataFrame, width: int, columns: list[str]) -> DataFrame:

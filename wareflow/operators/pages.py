@@ -109,7 +109,7 @@ def fingerprint(site: Column, url: Column, rules: dict[str, str] | None = None)
 
 def code_urls(codes: DataFrame, templates: DataFrame) -> DataFrame:
     """Product codes to URLs by the site's template ({code}, {tld}); unknown sites are dropped."""
-    return codes.join(F.broadcast(templates), "site").select("code", "site", F.regexp_replace(F.regexp_replace("template", r"\{code\}", F.col("code")), r"\{tld\}", F.col("tld")).alias("url"))
+    return codes.join(templates, "site").select("code", "site", F.regexp_replace(F.regexp_replace("template", r"\{code\}", F.col("code")), r"\{tld\}", F.col("tld")).alias("url"))
 
 
 def image_urls(rows: DataFrame, token: str, values: str, images: str = "images") -> DataFrame:

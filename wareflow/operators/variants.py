@@ -5,6 +5,7 @@ Products keep their variants in nested arrays and maps, so flattening needs no s
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class SiteMapping:
-    """How a site's record becomes catalog rows. Each rule is a column or SQL text over the exploded row."""
+    """How a site's record becomes catalog rows. Each rule is SQL text over the exploded row.
+
+    is_main, image_type and position are the image rules (E3); process is what a site does with its SKU rows at the end.
+    """
 
     site: str
     currency: str = "USD"
@@ -26,12 +30,22 @@ class SiteMapping:
     size: str = "''"
     is_main: str = "url like '%MAIN%'"
     image_type: str = "regexp_extract(url, '_([A-Za-z0-9]+)', 1)"
+    position: str = "pos"
     extra: dict[str, str] = field(default_factory=dict)
+    process: Callable[[DataFrame], DataFrame] | None = None
 
     def columns(self) -> list[Column]:
         named = {"sku_id": self.sku_id, "color": self.color, "size": self.size, "price": self.price, "list_price": self.list_price, "stock": self.stock, "available": self.available} | self.extra
         return [*[F.expr(v).alias(k) for k, v in named.items()], F.lit(self.currency).alias("currency")]
 
+    def image_rules(self) -> dict[str, Column]:
+        """E3's columns: is_main, kind (MAIN where the rule finds none) and pos."""
+        kind = F.coalesce(F.nullif(F.expr(self.image_type), F.lit("")), F.lit("MAIN"))
+        return {"is_main": F.expr(self.is_main), "kind": kind, "pos": F.expr(self.position)}
+
+    def finish(self, skus: DataFrame) -> DataFrame:
+        return skus if self.process is None else self.process(skus)
+
 
 def merge_attributes(products: DataFrame) -> DataFrame:
     """Colour and size options by variant id; where a product has sizes, what lacks either is dropped."""
@@ -83,7 +97,7 @@ def half_split(values: Column) -> Column:
 
 def single_sku(products: DataFrame, m: SiteMapping) -> DataFrame:
     """The product is its only SKU; its id is the part after `#`."""
-    return products.select("product_id", *m.columns())
+    return m.finish(products.select("product_id", *m.columns()))
 
 
 def sku_list(products: DataFrame, m: SiteMapping) -> DataFrame:
@@ -91,7 +105,7 @@ def sku_list(products: DataFrame, m: SiteMapping) -> DataFrame:
     rows = F.col("skus")
     if "self" in products.columns:
         rows = F.when(F.coalesce(F.size("skus"), F.lit(0)) > 0, F.col("skus")).otherwise(F.array("self"))
-    return products.select("product_id", F.posexplode(rows).alias("sku_pos", "sku")).select("product_id", "sku_pos", "sku.*").select("product_id", "sku_pos", *m.columns())
+    return m.finish(products.select("product_id", F.posexplode(rows).alias("sku_pos", "sku")).select("product_id", "sku_pos", "sku.*").select("product_id", "sku_pos", *m.columns()))
 
 
 def tenth_sizes(size: Column) -> Column:
@@ -104,7 +118,7 @@ def color_sizes(products: DataFrame, m: SiteMapping, outer: bool = True, skip_fi
     c = products.select("product_id", F.explode("colors").alias("c")).select("product_id", F.col("c.color_id").alias("color_id"), F.col("c.sizes").alias("sizes"))
     sizes = F.expr("slice(sizes, 2, size(sizes))") if skip_first else F.col("sizes")
     s = c.select("product_id", "color_id", (F.explode_outer if outer else F.explode)(sizes).alias("s"))
-    return s.select("product_id", "color_id", "s.*").select("product_id", "color_id", *m.columns())
+    return m.finish(s.select("product_id", "color_id", "s.*").select("product_id", "color_id", *m.columns()))
 
 
 def color_size_width(products: DataFrame, m: SiteMapping) -> DataFrame:
@@ -112,7 +126,7 @@ def color_size_width(products: DataFrame, m: SiteMapping) -> DataFrame:
     x = products.select("product_id", F.explode("variants").alias("color", "by_size"))
     x = x.select("product_id", "color", F.explode("by_size").alias("size", "by_width"))
     x = x.select("product_id", "color", "size", F.explode("by_width").alias("width", "sku"))
-    return x.select("product_id", "width", *[c for c in x.select("color", "size").columns], "sku.*").select("product_id", "width", *m.columns())
+    return m.finish(x.select("product_id", "width", *[c for c in x.select("color", "size").columns], "sku.*").select("product_id", "width", *m.columns()))
 
 
 def sizes_only(products: DataFrame, m: SiteMapping, separator: str = "_") -> DataFrame:
@@ -120,7 +134,7 @@ def sizes_only(products: DataFrame, m: SiteMapping, separator: str = "_") -> Dat
     x = products.select("product_id", F.posexplode("labels").alias("pos", "label"))
     parts = F.reverse(F.split(F.regexp_replace("label", r" *\[.*\]$", ""), separator))
     x = x.select("product_id", "pos", parts[0].alias("sku_id"), F.array_join(F.reverse(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))), separator).alias("size_text"), F.regexp_extract("label", r"\[\$?([0-9.]+)", 1).alias("price_text"), F.regexp_extract("label", r"- ([^\]]*)\]", 1).alias("reason"))
-    return x.select("product_id", "pos", "reason", *m.columns())
+    return m.finish(x.select("product_id", "pos", "reason", *m.columns()))
 
 
 def sku_map(products: DataFrame, m: SiteMapping) -> DataFrame:
@@ -128,7 +142,7 @@ def sku_map(products: DataFrame, m: SiteMapping) -> DataFrame:
     x = products.select("product_id", F.explode("sku_map").alias("sku_key", "sku"))
     key, name = F.split("sku_key", "-"), F.split("sku.name", ", ")
     x = x.select("product_id", "sku_key", F.get(key, F.lit(0)).alias("c_id"), F.coalesce(F.get(key, F.lit(1)), F.lit("")).alias("s_id"), F.get(name, F.lit(0)).alias("c_name"), F.coalesce(F.get(name, F.lit(1)), F.lit("")).alias("s_name"), "sku.*")
-    return x.select("product_id", "c_id", "s_id", *m.columns())
+    return m.finish(x.select("product_id", "c_id", "s_id", *m.columns()))
 
 
 def spec_pairs(rows: DataFrame, key: str, fields: str) -> DataFrame:

@@ -8,6 +8,7 @@ from ..fixtures import AS_OF, cte, view
 from ..operators import catalog as C
 from ..operators import frontier as N
 from ..operators.pages import extract_links
+from ..operators.variants import SiteMapping
 from ..plans import discover
 from .q_pages import HREFS
 
@@ -48,7 +49,7 @@ ROWS = "im as (select product_id, color, pos, url, url like '%MAIN%' as is_main,
 
 
 def rows(s, d):
-    return C.image_rows(view(s, d, "images"), F.col("url").like("%MAIN%"), F.coalesce(F.nullif(F.regexp_extract("url", "_([A-Za-z0-9]+)", 1), F.lit("")), F.lit("MAIN")))
+    return C.image_rows(view(s, d, "images"), SiteMapping("shop"))
 
 
 add("e3_image_rows", rows, cte("images") + f", {ROWS} select * from im")
@@ -185,17 +186,17 @@ add(
 add("g10_reconcile_store", lambda s, d: N.reconcile_store(latest(s, d), [due(s, d), latest(s, d).filter("item_id % 7 = 0")]), DUE + " select a as stored, a - b - c as difference, a - b - c <> 0 as wrong from (select count(*) as a, count(*) filter (where item_id % 7 = 0) as c from latest), (select count(*) as b from due)")
 add(
     "g11_retry_plan",
-    lambda s, d: N.retry_plan(view(s, d, "fetch_log").filter("url_key % 3 = 0 or not ok"), 2).fillna({"priority": 1}),
-    cte("fetch_log") + ", g as (select url_key, count(*) as attempts, bool_or(ok) as done, arg_max(listing, attempt_seq) as listing from fetch_log where url_key % 3 = 0 or not ok group by 1) select url_key, attempts, listing, case when listing or attempts <= 2 then 'requeue' else 'failed' end as action, coalesce(case when listing or attempts <= 2 then attempts * -10 end, 1) as priority, case when listing then 1 else 0 end as extra_total from g where not done",
+    lambda s, d: N.retry_plan(view(s, d, "fetch_log").withColumn("ok", F.col("ok") & (F.col("url_key") % 3 == 0)), 2).fillna({"priority": 1}),
+    cte("fetch_log") + ", g as (select url_key, count(*) as attempts, bool_or(ok and url_key % 3 = 0) as done, arg_max(listing, attempt_seq) as listing from fetch_log group by 1) select url_key, attempts, listing, case when listing or attempts <= 2 then 'requeue' else 'failed' end as action, coalesce(case when listing or attempts <= 2 then attempts * -10 end, 1) as priority, case when listing then 1 else 0 end as extra_total from g where not done",
 )
 
 
 def searched(s, d):
-    listing = view(s, d, "line").filter("pos <= 30").select((F.col("l_partkey") % 50).alias("query"), F.col("l_suppkey").alias("shop"), (F.floor(F.col("l_partkey") / 500) + 1).alias("page"), (F.col("l_partkey") * 100 + F.col("pos")).alias("pos"))
+    listing = view(s, d, "line").select((F.col("l_partkey") % 50).alias("query"), F.col("l_suppkey").alias("shop"), (F.floor(F.col("l_partkey") / 500) + 1).alias("page"), (F.col("l_partkey") * 100 + F.col("pos")).alias("pos"))
     return N.search_positions(listing, view(s, d, "supplier").filter("s_nationkey < 5").select(F.col("s_suppkey").alias("shop")), 1)
 
 
-add("g13_search_positions", searched, cte("line") + ", l as (select l_partkey % 50 as query, l_suppkey as shop, cast(floor(l_partkey / 500) as bigint) + 1 as page, l_partkey * 100 + pos as pos from line where pos <= 30), r as (select *, cast(row_number() over (partition by query order by page, pos) as int) as rank, max(page) over (partition by query) as pages from l) select query, shop, page, rank from r where page <= least(pages, 2) and shop in (select s_suppkey from supplier where s_nationkey < 5)")
+add("g13_search_positions", searched, cte("line") + ", l as (select l_partkey % 50 as query, l_suppkey as shop, cast(floor(l_partkey / 500) as bigint) + 1 as page, l_partkey * 100 + pos as pos from line), r as (select *, cast(row_number() over (partition by query order by page, pos) as int) as rank, max(page) over (partition by query) as pages from l) select query, shop, page, rank from r where page <= least(pages, 2) and shop in (select s_suppkey from supplier where s_nationkey < 5)")
 add(
     "g14_keyword_residue",
     lambda s, d: N.keyword_residue(view(s, d, "documents").select("source", F.col("doc_id").alias("pos"), F.col("text").alias("title")), "source", F.lit("the"), ["and", "ing"]).select("source", F.md5("residue").alias("digest"), F.length("residue").cast("long").alias("n")),

@@ -68,11 +68,13 @@ add(
     lambda s, d: L.refresh_counts(view(s, d, "ev").select("sec", (F.col("user_id") % 5).alias("site"), F.concat(F.when(F.col("k") % 3 == 0, "x_roc_").otherwise("roc"), F.col("k").cast("string")).alias("crawl_name"))),
     cte("ev") + "select user_id % 5 as site, cast(floor(sec / 86400) as bigint) * 86400 as bucket, count(*) as n from ev where k % 3 = 0 group by all",
 )
-add("f9_admission", lambda s, d: L.admission(view(s, d, "requests").filter("seq % 10 < spiderid + 1"), 200), cte("requests") + "select spiderid, count(*) as waiting, count(*) <= 200 as admitted from requests where seq % 10 < spiderid + 1 group by 1")
+# spiders of very different sizes: the square root of the customer
+add("f9_admission", lambda s, d: L.admission(view(s, d, "orders").select(F.floor(F.sqrt(F.col("o_custkey"))).alias("spiderid")), 200), "select cast(floor(sqrt(o_custkey)) as bigint) as spiderid, count(*) as waiting, count(*) <= 200 as admitted from orders group by 1")
 add(
     "f10_task_summary",
-    lambda s, d: L.task_summary(view(s, d, "logs").filter("k < 40").select(F.col("host").alias("site"), F.col("success").alias("ok"))),
-    lg + "select host as site, count(*) as total, count(*) filter (where not success) as errors, count(*) filter (where not success) < count(*) as success from logs where k < 40 group by 1",
+    lambda s, d: L.task_summary(view(s, d, "logs").select((F.col("host") + F.when(F.col("success"), 0).otherwise(F.col("host") % 2 * 100)).alias("site"), F.col("success").alias("ok"))),
+    # the errors of odd hosts are a site of their own, which has no success
+    lg + "select host + case when success then 0 else host % 2 * 100 end as site, count(*) as total, count(*) filter (where not success) as errors, count(*) filter (where not success) < count(*) as success from logs group by 1",
 )
 
 
