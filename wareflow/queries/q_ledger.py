@@ -133,6 +133,17 @@ add(
     lambda s, d: G.rolling_totals(view(s, d, "logs"), "appid", [900, 86400, 604800]).select("event_id", *[f"{a}_{n}" for n in (900, 86400, 604800) for a in ("total", "fail")]),
     lg + "select event_id, " + ", ".join(f"count(*) over (partition by appid order by sec range between {n} preceding and current row) as total_{n}, count(*) filter (where not success) over (partition by appid order by sec range between {n} preceding and current row) as fail_{n}" for n in (900, 86400, 604800)) + " from logs",
 )
+ROLLED = "count(*) over (partition by status_code order by sec range between {n} preceding and current row)"
+add(
+    "f17_link_totals",
+    lambda s, d: G.link_totals(view(s, d, "logs"), "status_code", [900, 3600, 86400], 7200),
+    lg + ", r as (select sec, status_code, " + ", ".join(f"{ROLLED.format(n=n)} as t_{n}" for n in (900, 3600, 86400)) + f" from logs) select {B.format(w=7200)} as bucket, status_code, " + ", ".join(f"round(avg(t_{n}), 6) as avg_total_{n}" for n in (900, 3600, 86400)) + " from r group by 1, 2",
+)
+add(
+    "f17_queue_backlog",
+    lambda s, d: G.queue_backlog(view(s, d, "metric_points").withColumnRenamed("site", "queue"), "queue", 7200),
+    cte("metric_points") + f", r as (select sec, site as queue, sum(value) over (partition by site order by us, event_id) as v from metric_points) select {B.format(w=7200)} as bucket, queue, round(avg(v), 6) as avg_backlog from r group by 1, 2",
+)
 add(
     "f17_histogram_averages",
     lambda s, d: G.histogram_averages(G.rolling_totals(view(s, d, "logs"), "appid", [3600]), 7200, ["total_3600", "fail_3600", "k"]),
