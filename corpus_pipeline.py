@@ -15,8 +15,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document with the least id stays."""
-    groups = jaccard.jaccard_groups(docs, n=5, percent=80, slack=0.5)
+    """Of each group of near duplicates (five words, 0.8) the document with the least id stays; rows without an id stay."""
+    groups = jaccard.jaccard_groups(docs, n=5, percent=80)
     drop = groups.filter("doc_id <> component_id").select("doc_id")
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
 
@@ -43,27 +43,12 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return bpe.digests(encoded, keep)
 
 
-_before: list[int] = []
-
-
-def _tidy(stage):
-    """Before a stage begins, the scratch tables of the one before go: its result has been written and read again."""
-
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        if _before:
-            common.drop_since(spark, _before.pop(), docs.inputFiles())
-        _before.append(len(common.WRITTEN))
-        return stage(spark, docs, sf_dir)
-
-    return run_stage
-
-
 STAGES = [
-    ("quality", _tidy(quality_stage)),
-    ("near_duplicates", _tidy(near_duplicate_stage)),
-    ("repeated_passages", _tidy(passage_stage)),
-    ("mixing", _tidy(mixing_stage)),
-    ("encoding", _tidy(encoding_stage)),
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("repeated_passages", passage_stage),
+    ("mixing", mixing_stage),
+    ("encoding", encoding_stage),
 ]
 
 #: SQL expresses neither the sketches nor the rounding; tests compare with brute force.
@@ -71,8 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents, each written to the shared folder and read again."""
-    docs = common.read(spark, sf_dir, "documents")
+    """All stages on documents, each written to the shared folder and read again.
+
+    A stage's table goes when the next one's is written; the operators delete their own. The last table stays, as the result reads it.
+    """
+    docs, before = common.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = common.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            common.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

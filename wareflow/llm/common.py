@@ -1,10 +1,11 @@
-"""What several training-data operators share: tables, shared scratch space, white space."""
+"""What several training-data operators share: tables, scratch tables, bitmaps, white space."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +13,19 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: The same six characters, for translate().
 SPACES = " \t\n\x0b\x0c\r"
+#: Bits of a bitmap at least and at most (128 kB to 16 MB), whatever the input.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 
-#: Paths that materialize() has written in this process.
-WRITTEN: list[str] = []
+
+#: Bytes of rows that Spark sends to a Python worker at once: a task then needs little memory outside the heap.
+BATCH = 2 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """Let Arrow batches of this session be of BATCH bytes, unless it has a size of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name).rstrip("b") == str(64 << 20):  # Spark's default
+        spark.conf.set(name, BATCH)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,9 +33,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share; one of our own only where none is set and all run on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-checkpoints-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -34,27 +47,16 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write df as Parquet in the shared folder and read it again, which cuts its lineage.
 
     A lost executor then costs no more than the tasks that were running. The path is kept as
-    `.written` so that a loop can drop() a table that it has replaced.
+    `.written`, so that drop() can delete the table.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    WRITTEN.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written = path
     return out
 
 
-def drop_since(spark: SparkSession, mark: int, keep: list[str]) -> None:
-    """Delete the tables written after the first `mark`, but for those that hold a file of `keep` and named results."""
-    for path in WRITTEN[mark:]:
-        name = path.rpartition("/")[2]
-        if not name.startswith("pipeline-") and not any(name in f for f in keep):
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    del WRITTEN[mark:]
-
-
 def drop(df: DataFrame) -> None:
     """Delete the files behind a materialize()d table that nothing reads any more."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
@@ -62,6 +64,49 @@ def drop(df: DataFrame) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
+class Scratch:
+    """The tables that one run of an operator writes to the shared folder, and deletes again.
+
+    They belong to this run alone. result() writes what the run gives and deletes all the others, so that
+    one table stays, behind the DataFrame that the caller gets; other runs' tables are never touched.
+    """
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(materialize(df, name))
+        return self.tables[-1]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no later step of this run reads."""
+        for t in tables:
+            drop(t)
+            self.tables = [x for x in self.tables if x is not t]
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        out = materialize(df, name)
+        self.drop(*self.tables)
+        return out
+
+
+class Marks:
+    """A set of 64-bit keys as a bitmap of bounded size: it lets all keys pass, and some others."""
+
+    def __init__(self, keys: DataFrame, column: str = "key"):
+        n = keys.count()
+        self.size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n).bit_length()))
+        bit = F.pmod(column, F.lit(self.size)) + 1  # the built-in bitmaps count from 1
+        rows = keys.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()
+        self.bits = np.zeros(self.size // 8, dtype=np.uint8)
+        for r in rows:
+            self.bits[(r["n"] - 1) * 4096 : r["n"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+
+    def hit(self, keys: np.ndarray) -> np.ndarray:
+        at = keys.astype(np.int64, copy=False) % self.size
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 1
+
+
 def words_of(text) -> "F.Column":
     """All words of a whole text; null gives an empty array."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
