@@ -7,18 +7,25 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, materialize, read, words_of
 
-#: The rules: measure, the side on which a text fails, the least distance of a threshold from the
-#: median (so that a group without any spread doesn't reject what is barely off its median).
+#: The rules: measure, the sides on which a text fails, and what one count more adds to the measure of a text of one word.
 RULES = {
-    "symbol_ratio": ("high", 0.2),
-    "dup_line_ratio": ("high", 0.35),
-    "repeat_ratio": ("high", 0.4),
-    "mean_word": ("both", 2.5),
+    "symbol_ratio": ("high", 1),
+    "dup_line_ratio": ("high", 5),
+    "repeat_ratio": ("high", 3),
+    "mean_word": ("both", 1),
 }
-#: A threshold is the median plus or minus this many distances from the median to the outer quartile.
-FENCE = 8.0
-#: A group with fewer texts takes the thresholds of all texts.
-LEAST_GROUP = 200
+#: Ranks at which a group's quantiles are read, from the median outwards.
+RANKS = [0.5, 0.6, 0.7, 0.75, 0.8, *(round(0.81 + 0.01 * i, 2) for i in range(19))]
+#: A quantile is beyond a break if it is further from the one before than this many times that one's distance from the median.
+REACH = 4.0
+#: In a break, the threshold stands this part of the way up.
+PART = 0.25
+#: A group's thresholds weigh n / (n + SHRINK) against those of its language, and these likewise against those of all texts.
+SHRINK = 200
+#: Parameter of the sketches: ranks are right to about 0.4 of a hundredth.
+SKETCH = 800
+#: Groups whose thresholds are broadcast at most; beyond that Spark chooses the join.
+GROUPS = 20_000
 
 
 def measures(text: Column) -> list[Column]:
@@ -69,26 +76,57 @@ def ratios(m: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(m: DataFrame, by: list[str], least_group: int = LEAST_GROUP) -> DataFrame:
-    """A row a group with the fences of each rule: `lo_<rule>` and `hi_<rule>`.
+def _fence(sketch: Column, words: Column, unit: int, sign: int) -> Column:
+    """The threshold on one side of a sketch: where its quantiles break, or beyond the outermost one.
+
+    Going outwards from the median, each quantile q has a reach: REACH times its distance from the median, which counts as
+    one more count in a text of median length at least. If the next quantile is beyond q's reach, the texts
+    from there on are another population, and the threshold is between the two. Where no quantile is, the threshold
+    is the reach of the outermost one.
+    """
+    ranks = RANKS if sign > 0 else [round(1 - r, 2) for r in RANKS]
+    raw = F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(r)) for r in ranks]))
+    q = F.transform(raw, lambda x: x * sign)
+    least = F.lit(float(unit)) / F.greatest(words, F.lit(1.0))
+    reach = lambda i: F.get(q, i) + REACH * F.greatest(F.get(q, i) - F.get(q, F.lit(0)), least)
+    last = len(RANKS) - 1
+    at = F.array_min(F.filter(F.sequence(F.lit(1), F.lit(last - 1)), lambda i: F.get(q, i + 1) > reach(i)))
+    broken = F.greatest(reach(at), F.get(q, at) + PART * (F.get(q, at + 1) - F.get(q, at)))
+    return F.coalesce(broken, reach(F.lit(last))) * sign
+
+
+def _fences(sketches: DataFrame, keep: list[str], mark: str) -> DataFrame:
+    """keep, n and `lo_<rule>`, `hi_<rule>` (with a mark before them) of each row of sketches."""
+    some = lambda c: F.when(F.col("n") > 0, F.col(c))  # noqa: E731  the sketch of an empty table has no quantiles
+    words = F.kll_sketch_get_quantile_double(some("words"), F.lit(0.5))
+    found = []
+    for r, (side, unit) in RULES.items():
+        found.append((_fence(some(r), words, unit, -1) if side == "both" else F.lit(float("-inf"))).alias(f"{mark}lo_{r}"))
+        found.append(_fence(some(r), words, unit, 1).alias(f"{mark}hi_{r}"))
+    return sketches.select(*keep, F.col("n").alias(f"{mark}n"), *found)
+
+
+def thresholds(m: DataFrame, by: list[str]) -> DataFrame:
+    """A row a group with the fences of each rule: `lo_<rule>` and `hi_<rule>`. by: language, then source.
 
     One KLL sketch a rule and group, built partially on the map side and merged, so that a hot group
-    costs no more than any other. The sketches of all groups are merged again for the row that
-    small groups use. Texts under the word minimum don't count.
+    costs no more than any other. Sketches of groups are merged again for their language and for all texts, and a group's
+    thresholds are drawn to those of its language and these to those of all, the more the fewer texts there are, so that no verdict
+    flips at a certain count. Sketches compact at random: ranks are right to about 0.004, and a rerun
+    can move a threshold by as much.
     """
-    sketches = m.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r).alias(r) for r in RULES])
+    rules = [*RULES, "words"]
+    sketches = m.withColumn("words", F.col("n_words").cast("double")).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH)).alias(r) for r in rules])
     sketches = materialize(sketches, "quality-sketches")
-    whole = sketches.agg(*[F.kll_merge_agg_double(r).alias(f"all_{r}") for r in RULES])
-    t = sketches.crossJoin(F.broadcast(whole))  # one row
-    fences = []
-    for r, (side, least) in RULES.items():
-        s = F.when(F.col("n") >= least_group, F.col(r)).otherwise(F.col(f"all_{r}"))
-        q = lambda x, s=s: F.kll_sketch_get_quantile_double(s, F.lit(x))
-        mid = q(0.5)
-        high = mid + F.greatest(F.lit(FENCE) * (q(0.75) - mid), F.lit(least))
-        low = mid - F.greatest(F.lit(FENCE) * (mid - q(0.25)), F.lit(least)) if side == "both" else F.lit(float("-inf"))
-        fences += [low.alias(f"lo_{r}"), high.alias(f"hi_{r}")]
-    return t.select(*by, "n", *fences)
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, F.lit(SKETCH)).alias(r) for r in rules]]
+    lang = _fences(sketches.groupBy(F.col(by[0]).alias("__of")).agg(*merged), ["__of"], "l_")
+    whole = _fences(sketches.agg(*merged), [], "a_")
+    t = _fences(sketches, by, "g_").join(lang, F.col(by[0]).eqNullSafe(F.col("__of"))).crossJoin(F.broadcast(whole))  # one row
+    weight = lambda n: F.col(n) / (F.col(n) + F.lit(float(SHRINK)))
+    drawn = lambda n, own, other: F.col(own) * weight(n) + other * (1 - weight(n))
+    ends = [f"{e}_{r}" for r, (side, _) in RULES.items() for e in (("lo", "hi") if side == "both" else ("hi",))]
+    t = t.select(*by, F.col("g_n").alias("n"), *[drawn("g_n", f"g_{e}", drawn("l_n", f"l_{e}", F.col(f"a_{e}"))).alias(e) for e in ends])
+    return t.withColumns({f"lo_{r}": F.lit(float("-inf")) for r, (side, _) in RULES.items() if side == "high"})
 
 
 def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -97,13 +135,15 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     keep names columns of docs to carry, lang and source among them. kept is false if the base rule
     fails, or else a measure is beyond its group's fences. Groups are (lang, source); a null is a
     group of its own. A null or empty text has no words and fails. Repeated rows are judged alike.
-    The table of fences has a row a (lang, source) and is joined without a forced broadcast, so that
-    Spark decides by its size.
+    The table of fences has a row a (lang, source): it is broadcast up to GROUPS rows, else Spark chooses the join.
+    A text's three-word windows are one array of longs while it is measured: 8 bytes a word of the longest text.
     """
     m = materialize(ratios(measured(docs, keep)), "quality-measures")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     m = m.withColumn("base_failed", failed).withColumns({"__lang": F.col("lang"), "__source": F.col("source")})
-    fences = thresholds(m.filter(~F.col("base_failed")), ["__lang", "__source"]).withColumnsRenamed({"__lang": "__fl", "__source": "__fs"})
+    fences = materialize(thresholds(m.filter(~F.col("base_failed")), ["__lang", "__source"]).withColumnsRenamed({"__lang": "__fl", "__source": "__fs"}), "quality-fences")
+    if fences.count() <= GROUPS:
+        fences = F.broadcast(fences)
     out = m.join(fences, F.col("__lang").eqNullSafe(F.col("__fl")) & F.col("__source").eqNullSafe(F.col("__fs")), "left")
     good = F.lit(True)
     for r in RULES:
@@ -113,5 +153,9 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def op2_quality(spark, sf_dir):
+    """Measures, base rule and verdict of every document: doc_id, five counts (long), base_failed and kept (boolean).
+
+    Null and empty texts have counts of 0 and fail. Repeated rows and ids are judged each for itself.
+    """
     found = judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), ["doc_id", "lang", "source"])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
