@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import bounded, read
+from .words import parts
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: A text may hold what looks like a control string: '<', backslashes, '|'. One backslash more marks it.
@@ -49,7 +50,7 @@ def encode_turns(turns: DataFrame, path: str) -> DataFrame:
 
     def encode(batches):
         t, start, end = codec(path)
-        for b in batches:
+        for b in parts(batches):
             roles = [x or "" for x in b.column("role").to_pylist()]
             texts = [x or "" for x in b.column("text").to_pylist()]
             heads = [e.ids for e in t.encode_batch([f"{escape(r)}\n" for r in roles], add_special_tokens=False)]
@@ -65,24 +66,39 @@ def encode_turns(turns: DataFrame, path: str) -> DataFrame:
                 names=["conv_id", "turn", "role", "text", "ids", "loss_from", "loss_to"],
             )
 
+    bounded(turns.sparkSession)
     slim = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     return slim.mapInArrow(encode, "conv_id long, turn long, role string, text string, ids array<int>, loss_from int, loss_to int")
 
 
+def spliced(turns: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and mask of turns in order. Each turn's limits are shifted by the prefix sum of the lengths before it; the mask is the
+    prefix sum of a step up where a text under the loss begins and a step down where it ends."""
+    parts_ = [np.asarray(t["ids"], dtype=np.int32) for t in turns]
+    before = np.concatenate([[0], np.cumsum([len(p) for p in parts_])])
+    step = np.zeros(before[-1] + 1, dtype=np.int8)
+    np.add.at(step, before[:-1] + [t["loss_from"] for t in turns], 1)
+    np.add.at(step, before[:-1] + [t["loss_to"] for t in turns], -1)
+    return np.concatenate([*parts_, np.zeros(0, np.int32)]), np.cumsum(step, dtype=np.int8)[:-1]
+
+
 def assemble(encoded: DataFrame) -> DataFrame:
     """One row a conversation: `ids` of all turns in order and `mask`, 1 where a token counts for the loss.
 
-    The turns' spans are shifted by the prefix sum of the lengths before them. Equal turns are
-    ordered by role, then text; a null turn comes first. A conversation is one output row by
-    nature; only ids are gathered, after encoding.
+    Equal turns are ordered by role, then text; a null turn comes first. A conversation is one output row by
+    nature; only ids are gathered, after encoding. Null conv_ids are one conversation.
     """
     turn = F.struct("turn", "role", "text", "ids", "loss_from", "loss_to")
     g = encoded.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
-    ids = F.flatten("t.ids")
-    mask = F.flatten(
-        F.expr("transform(t, x -> concat(array_repeat(cast(0 as tinyint), x.loss_from), array_repeat(cast(1 as tinyint), x.loss_to - x.loss_from), array_repeat(cast(0 as tinyint), size(x.ids) - x.loss_to)))")
-    )
-    return g.select("conv_id", ids.alias("ids"), mask.alias("mask"))
+
+    def splice(batches):
+        for b in batches:
+            both = [spliced(t) for t in b.column("t").to_pylist()]
+            lists = [pa.array([x.tolist() for x in column], pa.list_(kind)) for column, kind in zip(zip(*both, strict=True), (pa.int32(), pa.int8()), strict=True)] if both else [pa.array([], pa.list_(pa.int32())), pa.array([], pa.list_(pa.int8()))]
+            yield pa.RecordBatch.from_arrays([b.column("conv_id"), *lists], names=["conv_id", "ids", "mask"])
+
+    slim = F.transform("t", lambda x: F.struct(x["ids"].alias("ids"), x["loss_from"].alias("loss_from"), x["loss_to"].alias("loss_to")))
+    return g.select("conv_id", slim.alias("t")).mapInArrow(splice, "conv_id long, ids array<int>, mask array<tinyint>")
 
 
 def read_back(formatted: DataFrame, path: str) -> DataFrame:
@@ -117,6 +133,7 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
 
 
 def op3_chat_format(spark, sf_dir):
+    """All conversations and conversation -1, formatted and read back: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars; a row a conversation."""
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
