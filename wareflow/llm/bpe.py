@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from array import array
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -14,12 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from .common import read
+from .common import bounded, read
+from .words import parts
 
 #: Unicode White_Space, written out because Python's own class also holds U+001C to U+001F.
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
-#: Runs of non-white characters that a worker keeps encoded; the cache starts anew beyond that.
-CACHE = 1_000_000
+#: Runs of non-white characters that a worker keeps encoded, and their characters; the cache starts anew beyond either.
+CACHE, CACHE_CHARS = 150_000, 4_000_000
 
 
 class Automaton:
@@ -29,55 +31,102 @@ class Automaton:
     gadget of merge t, (u, v) -> w, acts wherever an arc u leads to a state with an arc v: that state
     is copied without v, all arcs u go to the copy, and an arc w is added beside each arc u, to where
     v led. All arcs of one label thus lead to one state at any time, so a state is named by the
-    label that leads to it. It is stored as what its gadgets took away (`without[u]`: v -> t) and as
+    label that leads to it. While compiling, it is stored as what its gadgets took away (`without[u]`: v -> t) and as
     the state that it was copied from when its label came to be (that of v, as of time t). An arc x
     leaves a state if no label on x's left spine had been taken away by the time that it was needed.
+
+    The compiled table has a row a state: the ranges of labels that no arc of it bears, over labels numbered so that those
+    with a common left spine stand together (`place`). A gadget that took v away at time t closes v and the labels that
+    begin with v and came to be at t or later; these are one range, as a label's followers are numbered latest first. Rows lie
+    one after the other in `starts` and `ends`, a row's limits are in `row`; transitions are looked up there alone.
     """
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
         self.ids = vocab
         n = max(vocab.values()) + 1
-        self.left, self.right, self.born = [-1] * n, [-1] * n, [-1] * n
-        self.without: dict[int, dict[int, int]] = {}
-        self.known: dict[int, bool] = {}
+        left, right, born = [-1] * n, [-1] * n, [-1] * n
+        without: dict[int, dict[int, int]] = {}
+
+        def arc(state: int, label: int) -> bool:
+            """Whether the arc `label` leaves the state that the arcs `state` lead to, by the gadgets so far."""
+            by = n + (1 << 40)
+            while state >= 0:
+                gone = without.get(state)
+                if gone:
+                    x, need = label, by
+                    while x >= 0:
+                        t = gone.get(x)
+                        if t is not None and t < by and t <= need:
+                            return False
+                        need, x = born[x], left[x]
+                by, state = min(by, born[state]), right[state]
+            return True
+
         for t, (a, b) in enumerate(merges):
             u, v, w = vocab[a], vocab[b], vocab[a + b]
-            if self.born[w] >= 0 or not self._arc(u, v):
+            if born[w] >= 0 or not arc(u, v):
                 continue  # no path u v is left, so the gadget changes nothing
-            self.left[w], self.right[w], self.born[w] = u, v, t
-            self.without.setdefault(u, {})[v] = t
-        self.known.clear()
+            left[w], right[w], born[w] = u, v, t
+            without.setdefault(u, {})[v] = t
+        self._compile(n, left, right, born, without)
         self.longest = max((len(x) - 4 * x.endswith("</w>") for x in vocab), default=1)
         self.heads: dict[str, int] = {}  # every prefix of an inner label: its id, or -1
+        self.whole: dict[str, int] = {}  # the labels that end a word
         for x, i in vocab.items():
-            if not x.endswith("</w>") and (len(x) == 1 or self.born[i] >= 0):
-                for k in range(1, len(x)):
-                    self.heads.setdefault(x[:k], -1)
-                self.heads[x] = i
-
-    def _arc(self, state: int, label: int) -> bool:
-        """Whether the arc `label` leaves the state that the arcs `state` lead to."""
-        by = len(self.left) + (1 << 40)
-        while state >= 0:
-            gone = self.without.get(state)
-            if gone:
-                x, need = label, by
-                while x >= 0:
-                    t = gone.get(x)
-                    if t is not None and t < by and t <= need:
-                        return False
-                    need, x = self.born[x], self.left[x]
-            by, state = min(by, self.born[state]), self.right[state]
-        return True
+            inner = not x.endswith("</w>")
+            if born[i] >= 0 or len(x) - 4 * (not inner) == 1:
+                (self.heads if inner else self.whole)[x if inner else x[:-4]] = i
+        for x in list(self.heads):
+            for k in range(1, len(x)):
+                self.heads.setdefault(x[:k], -1)
+
+    def _compile(self, n: int, left: list[int], right: list[int], born: list[int], without: dict) -> None:
+        below: list[list[int]] = [[] for _ in range(n)]
+        for x in sorted(range(n), key=lambda x: -born[x]):
+            if left[x] >= 0:
+                below[left[x]].append(x)  # latest first
+        place, end, at = [0] * n, [0] * n, 0
+        for root in range(n):
+            todo = [(root, False)] if left[root] < 0 else []
+            while todo:
+                x, done = todo.pop()
+                if done:
+                    end[x] = at
+                else:
+                    place[x], at = at, at + 1
+                    todo.append((x, True))
+                    todo += [(c, False) for c in reversed(below[x])]
+        own = {}
+        for u, gone in without.items():
+            rows = []
+            for v, t in gone.items():
+                last = place[v] + 1
+                for c in below[v]:
+                    if born[c] < t:
+                        break
+                    last = end[c]
+                rows.append((t, place[v], last))
+            own[u] = np.array(rows, dtype=np.int32)
+        closed, none = {}, np.zeros((0, 3), np.int32)
+        rows: list[np.ndarray] = [none[:, 1:]] * n
+        for x in sorted(range(n), key=lambda x: born[x]):  # a state is a copy of one that came before
+            from_ = closed.get(right[x], none)
+            closed[x] = np.concatenate([own.get(x, none), from_[from_[:, 0] < born[x]]])
+            r = closed[x][np.argsort(closed[x][:, 1], kind="stable"), 1:]
+            if len(r):  # overlapping ranges become one
+                reach = np.maximum.accumulate(r[:, 1])
+                first = np.flatnonzero(np.concatenate([[True], r[1:, 0] > reach[:-1]]))
+                rows[x] = np.stack([r[first, 0], reach[np.append(first[1:], len(r)) - 1]], axis=1)
+        table = np.concatenate(rows) if n else none[:, 1:]
+        as_array = lambda x: array("i", np.ascontiguousarray(x, dtype=np.int32).tobytes())
+        self.place, self.starts, self.ends = as_array(place), as_array(table[:, 0]), as_array(table[:, 1])
+        self.row = as_array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
 
     def arc(self, state: int, label: int) -> bool:
-        key = state << 20 | label
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) > 4_000_000:
-                self.known.clear()
-            found = self.known[key] = self._arc(state, label)
-        return found
+        """Whether the arc `label` leaves the state that the arcs `state` lead to: one look into the state's row."""
+        at, low = self.place[label], self.row[state]
+        k = bisect_right(self.starts, at, low, self.row[state + 1])
+        return k == low or self.ends[k - 1] <= at
 
     def _arcs(self, word: str, i: int) -> list[tuple[int, int]]:
         """All labels that spell word from i on, and where they end; the longest is the last."""
@@ -89,8 +138,8 @@ class Automaton:
             if x >= 0:
                 out.append((x, j))
         if n - i <= self.longest:
-            x = self.ids.get(word[i:] + "</w>")
-            if x is not None and (n - i == 1 or self.born[x] >= 0):
+            x = self.whole.get(word[i:])
+            if x is not None:
                 out.append((x, n))
         return out
 
@@ -146,13 +195,14 @@ class Tokenizer:
         names = sorted(self.special, key=len, reverse=True)
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(pattern.replace(r"\s", WHITE)).findall
+        self.words = regex.compile(pattern.replace(r"\s", WHITE))
         self.white = regex.compile(f"[{WHITE}]+")
-        self.odd = regex.compile("[\x1c-\x1f]").search  # Python splits at these, the pattern doesn't
+        self.odd = regex.compile("[\x1c-\x1f]")  # Python splits at these, the pattern doesn't
         self.table = {b: s for b, s in enumerate(_bytes_to_symbols())}
         self.fresh()
 
     def fresh(self) -> None:
+        self.held = 0
         self.number: dict[str, int] = {}
         self.flat, self.begin = array("i"), array("q", [0])
 
@@ -168,6 +218,7 @@ class Tokenizer:
                 self.flat.append(self.special[word[1:]])
             else:
                 self.flat.extend(encode(word.encode("utf-8").decode("latin-1").translate(table)))
+        self.held += len(run)
         n = self.number[run] = len(self.begin) - 1
         self.begin.append(len(self.flat))
         return n
@@ -175,19 +226,19 @@ class Tokenizer:
     def pieces(self, text: str) -> list[str]:
         """The pre-split words of a text; a special token is marked by a NUL before it."""
         if self.at_special is None or "<|" not in text:
-            return self.words(self.normal(text))
+            return self.words.findall(self.normal(text))
         out: list[str] = []
         for i, part in enumerate(self.at_special.split(text)):
-            out += [f"\0{part}"] if i % 2 else self.words(self.normal(part))
+            out += [f"\0{part}"] if i % 2 else self.words.findall(self.normal(part))
         return out
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and all ids of a list of texts."""
-        if len(self.number) > CACHE:
+        if len(self.number) > CACHE or self.held > CACHE_CHARS:
             self.fresh()
         number, new, seen, counts = self.number, self._new, array("q"), [0]
         for text in texts:
-            runs = self.white.split(text or "") if self.odd(text or "") else (text or "").split()
+            runs = self.white.split(text or "") if self.odd.search(text or "") else (text or "").split()
             seen.extend([number[w] if w in number else new(w) for w in runs])
             counts.append(len(seen))
         at, begin = np.frombuffer(seen, dtype=np.int64) if seen else np.zeros(0, np.int64), np.frombuffer(self.begin, dtype=np.int64).copy()
@@ -202,30 +253,26 @@ class Tokenizer:
         return " ".join([labels[i] for i in ids])
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    return Tokenizer(path)
-
-
 def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Add `ids`, the whole text's token ids, and `decoded`, the text of those ids read back.
 
     keep names the columns to carry (doc_id if none are given). A null text counts as empty and has
-    no ids and an empty decoded text. Each row stands for itself: no shuffle, rows of any order.
+    no ids and an empty decoded text. Each row stands for itself: no shuffle, rows of any order. The file is
+    read and compiled once, on the driver; the table, of a size that depends on the vocabulary alone, is broadcast.
     """
+    bounded(docs.sparkSession)
     keep = keep or ["doc_id"]
     fields = docs.select(*keep).schema
+    sent = docs.sparkSession.sparkContext.broadcast(Tokenizer(path))
 
     def run(batches):
-        t = tokenizer(path)
-        for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                b = whole.slice(k, 1000)
-                offsets, ids = t.encode_batch(b.column("__text").to_pylist())
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                every = ids.tolist()
-                decoded = pa.array([t.decode(every[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string())
-                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], lists, decoded], names=[*keep, "ids", "decoded"])
+        t = sent.value
+        for b in parts(batches, "__text"):
+            offsets, ids = t.encode_batch(b.column("__text").to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+            every = ids.tolist()
+            decoded = pa.array([t.decode(every[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], lists, decoded], names=[*keep, "ids", "decoded"])
 
     out = StructType([*fields.fields]).add("ids", ArrayType(IntegerType())).add("decoded", StringType())
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, out)
@@ -237,6 +284,10 @@ def digests(encoded: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def op5_bpe(spark, sf_dir):
+    """Token ids of every whole text of documents as digests: doc_id, n_tokens (long), ids_sha256, decoded_sha256; a row a row.
+
+    Null and empty texts have no tokens and the digests of the empty string.
+    """
     import public_tokenizers
 
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
