@@ -7,14 +7,14 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read
-from .jaccard import _split
+from .common import bounded, read
+from .words import parts
 
-#: Labelled rows that the network is fitted on at most; scoring covers all rows.
-SAMPLE = 5000
+#: Labelled rows, and bytes of their texts, that the network is fitted on at most; scoring covers all rows.
+SAMPLE, SAMPLE_BYTES = 5000, 32 << 20
 #: Words in a window, and from one window to the next; every word lies in two windows but at the ends.
 WINDOW, STRIDE = 32, 16
 WORDS, GRAMS, TABLE, DIM, HIDDEN, ATTEND = 1 << 20, 1 << 18, 1 << 15, 4, 8, 8
@@ -247,19 +247,25 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
-    """Fit on `sample` labelled rows at most, those of the least id hashes, without any held-out row.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Network:
+    """Fit on `sample` labelled rows and `most_bytes` of text at most, those of the least id hashes, without any held-out row.
 
-    Labels other than 0 and 1 and null ids don't count. With no row of one class the network stays as
+    An id counts once: with its least text if it repeats in docs, and not at all if its labels differ. Labels other than 0 and 1 and null
+    ids don't count; a text that doesn't fit in the bytes left is passed over. With no row of one class the network stays as
     it began. The sample's texts go to the driver, where the small network is fitted.
     """
-    rows = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
-    got = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("doc_id", "text", "toxic").toPandas()
-    got = got.sort_values(["doc_id", "text"], kind="stable")
+    rows = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("__most")).filter("toxic = __most").drop("__most")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    text = text.withColumn("size", F.octet_length("text")).filter(F.col("size") <= most_bytes)
+    got = text.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "size")).alias("x")).select("doc_id", "toxic", "x.*")
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # of `sample` rows at most
+    got = got.withColumn("upto", upto).filter(F.col("upto") <= most_bytes).select("doc_id", "text", "toxic").toPandas()
+    got = got.sort_values(["doc_id"], kind="stable")
     net, y = Network(), got["toxic"].to_numpy(np.int64)
     if len(set(y.tolist())) == 2:
-        net.fit([t or "" for t in got["text"]], y)
+        net.fit(got["text"].tolist(), y)
     return net
 
 
@@ -269,17 +275,19 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
     A null, empty or wordless text has one window of padding and its score. Rows stand for
     themselves, in any order; no shuffle.
     """
+    bounded(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
         s = Scorer(sent.value)
-        for b in _split(batches, 250):
+        for b in parts(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s.scores(b.column("text").to_pylist()), pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
 def op8_toxicity(spark, sf_dir):
+    """Toxicity of every document: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.5); a row a row of documents."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_documents(docs, fit(docs, read(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
