@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, materialize, read
+from .common import SPACES, Scratch, bounded, read
+from .words import mix as spread
 
 #: Weights of the sources by code point, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -15,43 +16,58 @@ WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2.0
 #: Rows that one task rounds one after the other, and residuals that one node of the tree combines.
 BLOCK, FAN = 1_000, 256
+#: Equal rows that are given back by one array.
+CHUNK = 10_000
 
 ROUNDED = "source string, key long, doc_id long, size long, frac double, extra int"
 
 
-def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> dict:
-    """The words to take from each source: shares by weight, those over their cap refilled by the rest.
+def numbered(sources: DataFrame) -> DataFrame:
+    """Add `rank` (from 0) to a table with a row a source: by code point, null last. No task holds all of them."""
+    order = [F.col("source").isNull(), F.col("source")]
+    kept = sources.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    kept = Scratch().save(kept, "mix-sources")
+    counts = kept.groupBy("__part").count()  # a row a partition
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col("__part").alias("__p"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return kept.withColumn("__n", place).join(F.broadcast(counts), F.col("__part") == F.col("__p")).withColumn("rank", F.col("__before") + F.col("__n") - 1).drop("__part", "__p", "__n", "__before")
 
-    Works on one row a source. A source without words gets 0.
+
+def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """Add `target`, the words to take from each source, to a table with source and source_size (a row a source).
+
+    Shares go by weight; a source whose share is over cap times its size stops there, and the rest is shared anew among the
+    others until none is over. A round takes one aggregate; the driver gets one row a round, however many sources there are.
+    A source without words gets 0.
     """
-    order = sorted(sizes, key=lambda x: (x[0] is None, (x[0] or "").encode("utf-8")))
-    weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(order)}
-    size = dict(order)
-    left, open_, found = share * sum(size.values()), set(size), {}
-    while open_:
-        total = sum(weight[s] for s in open_)
-        over = [s for s in open_ if left * weight[s] / total > cap * size[s]]
-        if not over:
-            found |= {s: left * weight[s] / total for s in open_}
-            break
-        for s in over:
-            found[s] = cap * size[s]
-        left -= sum(found[s] for s in over)
-        open_ -= set(over)
-    return found
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    t = Scratch().save(numbered(sources).withColumn("weight", w), "mix-weights")
+    size = F.col("source_size").cast("double")
+    total = share * (t.agg(F.sum(size)).first()[0] or 0.0)
+    left, heavy = total, t.agg(F.sum("weight")).first()[0] or 1.0
+    while True:
+        over = (F.lit(left) * F.col("weight") / F.lit(heavy)) > cap * size
+        r = t.agg(F.sum(F.when(over, cap * size)).alias("full"), F.sum(F.when(~over, F.col("weight"))).alias("weight")).first()
+        now = (total - (r["full"] or 0.0), r["weight"] or 1.0)
+        if now == (left, heavy):
+            return t.select("source", "source_size", F.when(over, cap * size).otherwise(F.lit(left) * F.col("weight") / F.lit(heavy)).alias("target"))
+        left, heavy = now
 
 
-def pivot(pdf: pd.DataFrame) -> pd.DataFrame:
+def pivot(pdf: pd.DataFrame, level: int = 0) -> pd.DataFrame:
     """Round the fractions of one block: pairs trade mass until one of them is 0 or 1.
 
     Mass moves in words (fraction times size), so the words that the block takes stay the same up to
     one residual row, and each row's fraction is kept in expectation. Large rows trade first, so that the
-    residual tends to be a small one. The random numbers come
-    from the rows' keys. At most one row comes back with a fraction other than 0 or 1.
+    residual tends to be a small one. A trade's random number comes from the key of the row that enters it and the level of the tree, so that no
+    two trades share one. At most one row comes back with a fraction other than 0 or 1.
     """
     pdf = pdf.sort_values(["size", "key", "doc_id"], ascending=False, kind="stable").reset_index(drop=True)
     p, s = pdf["frac"].to_numpy(float).copy(), pdf["size"].to_numpy(float)
-    u = (pdf["key"].to_numpy(np.int64).astype(np.uint64) >> np.uint64(11)).astype(float) / float(1 << 53)
+    with np.errstate(over="ignore"):
+        u = spread(pdf["key"].to_numpy(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.uint64(level + 1))
+    u = (u >> np.uint64(11)).astype(float) / float(1 << 53)
     held = -1
     for i in range(len(p)):
         if not 0 < p[i] < 1:
@@ -62,8 +78,7 @@ def pivot(pdf: pd.DataFrame) -> pd.DataFrame:
         j, mi, mj = held, p[i] * s[i], p[held] * s[held]
         up = min(s[i] - mi, mj)  # words that i can win from the held row
         down = min(mi, s[j] - mj)  # words that it can lose to it
-        draw = (u[i] + u[j] * 0.6180339887498949) % 1.0
-        moved = up if draw * (up + down) < down else -down
+        moved = up if u[i] * (up + down) < down else -down
         mi, mj = mi + moved, mj - moved
         eps = 1e-9
         p[i] = 0.0 if mi <= eps else 1.0 if mi >= s[i] - eps else mi / s[i]
@@ -73,6 +88,10 @@ def pivot(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["source", "key", "doc_id", "size", "frac", "extra"]]
 
 
+def _deal(level: int):
+    return lambda pdf: pivot(pdf, level).assign(block=pdf["block"].iloc[0])
+
+
 def mix(docs: DataFrame, sizes, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 0, block: int = BLOCK, fan: int = FAN) -> DataFrame:
     """Copies of each row so that each source gives near its target of words.
 
@@ -83,25 +102,28 @@ def mix(docs: DataFrame, sizes, weights=WEIGHTS, share: float = SHARE, cap: floa
     groups of `fan` until a source has one, which goes to the nearer whole number. A source's taken
     words miss its target by half the size of that one row at most. A null source is a source of its own, the last.
     Rows of size 0, such as those with null or empty texts, are taken 0 words, with the whole copies
-    of their source. Equal doc_ids are rounded as separate rows. Reruns agree for the same rows.
+    of their source. Rows equal in id, source and size (repeated rows, null ids) are counted first: n of them with fraction f are n * f whole
+    copies and one fraction, so that however many there are, they are one row of one block. Reruns agree for the same rows.
     """
-    rows = docs.select("doc_id", "source", sizes.cast("long").alias("size"))
-    rows = materialize(rows.withColumn("key", F.xxhash64("doc_id", "source", F.lit(seed))), "mix-rows")
-    per = [(r["source"], r["n"], r["size"]) for r in rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()]  # one row a source
-    goal = targets([(s, n) for s, _, n in per], weights, share, cap)
-    table = [(s, size, float(goal.get(s, 0.0)), min(float(cap), goal.get(s, 0.0) / size) if size else 0.0, -(-n // block)) for s, n, size in per]
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(table, "__s string, source_size long, target double, per_row double, blocks long")
-    rows = rows.join(F.broadcast(plan) if len(table) < 10_000 else plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    bounded(docs.sparkSession)
+    kept = Scratch()
+    rows = docs.select("doc_id", "source", sizes.cast("long").alias("size")).groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    rows = kept.save(rows.withColumn("key", F.xxhash64("doc_id", "source", "size", F.lit(seed))), "mix-rows")
+    per = kept.save(rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("size") * F.col("n")).alias("source_size")), "mix-sizes")
+    goal = targets(per.select("source", "source_size"), weights, share, cap).select(F.col("source").alias("__t"), "target")
+    share_of = F.when(F.col("source_size") > 0, F.least(F.lit(float(cap)), F.col("target") / F.col("source_size"))).otherwise(0.0)
+    plan = per.join(goal, F.col("source").eqNullSafe(F.col("__t"))).select(F.col("source").alias("__s"), "source_size", "target", share_of.alias("per_row"), F.ceil(F.col("rows") / block).alias("blocks"))
+    plan = kept.save(plan, "mix-plan")
+    most = plan.agg(F.max("blocks"), F.count(F.lit(1))).first()
+    rows = rows.join(F.broadcast(plan) if most[1] < 10_000 else plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     whole = F.floor(F.col("per_row") + F.lit(1e-12))
-    rows = rows.withColumns({"whole": whole.cast("int"), "frac": F.greatest(F.col("per_row") - whole, F.lit(0.0))})
-    rows = rows.withColumn("frac", F.when((F.col("frac") < 1e-12) | (F.col("size") == 0), 0.0).otherwise(F.col("frac")))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "doc_id", "size"), F.col("blocks")))
-    todo = rows.filter("frac > 0").select("source", "key", "doc_id", "size", "frac", "block")
-    fractional, done, level = materialize(todo, "mix-fractions"), [], 0
-    most = max([b for *_, b in table], default=1)
+    frac = F.when(F.col("size") == 0, 0.0).otherwise(F.greatest(F.col("per_row") - whole, F.lit(0.0)))
+    rows = rows.withColumns({"whole": whole.cast("long"), "of_all": F.when(frac < 1e-12, 0.0).otherwise(frac) * F.col("n")})
+    rows = rows.withColumns({"sure": F.floor(F.col("of_all") + F.lit(1e-9)).cast("long"), "frac": F.greatest(F.col("of_all") - F.floor(F.col("of_all") + F.lit(1e-9)), F.lit(0.0))})
+    rows = kept.save(rows.withColumn("block", F.pmod(F.xxhash64("key", F.lit("block")), F.col("blocks"))).drop("of_all", "blocks", "per_row"), "mix-shares")
+    fractional, done, level, most = rows.filter("frac > 0").select("source", "key", "doc_id", "size", "frac", "block"), [], 0, most[0] or 1
     while True:
-        out = materialize(fractional.groupBy("source", "block").applyInPandas(lambda pdf: pivot(pdf).assign(block=pdf["block"].iloc[0]), ROUNDED + ", block long"), f"mix-level{level}")
+        out = kept.save(fractional.groupBy("source", "block").applyInPandas(_deal(level), ROUNDED + ", block long"), f"mix-level{level}")
         done.append(out.filter("frac in (0, 1)"))
         rest = out.filter("frac > 0 and frac < 1")
         if most <= 1:
@@ -113,20 +135,15 @@ def mix(docs: DataFrame, sizes, weights=WEIGHTS, share: float = SHARE, cap: floa
     extra = done[0]
     for d in done[1:]:
         extra = extra.unionByName(d)
-    # equal rows (same key and size) are interchangeable: their extras are dealt by number
-    rows = rows.withColumn("copy", F.row_number().over(_same())).withColumn("fractional", F.col("frac") > 0)
-    extra = extra.filter("extra = 1").groupBy("source", "key", "doc_id", "size").agg(F.count(F.lit(1)).alias("extras"))
-    e = extra.select(F.col("key").alias("ek"), F.col("doc_id").alias("ed"), F.col("size").alias("es"), "extras")
-    out = rows.join(e, (F.col("key") == F.col("ek")) & F.col("doc_id").eqNullSafe(F.col("ed")) & (F.col("size") == F.col("es")), "left")
-    copies = F.col("whole") + F.when(F.col("fractional") & (F.col("copy") <= F.coalesce("extras", F.lit(0))), 1).otherwise(0)
-    out = out.withColumn("copies", copies.cast("int"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-
-
-def _same():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key", "doc_id", "size").orderBy("source")
+    e = extra.filter("extra = 1").select(F.col("key").alias("ek"), F.col("doc_id").alias("ed"), F.col("source").alias("eo"), F.col("size").alias("es"))
+    same = (F.col("key") == F.col("ek")) & F.col("doc_id").eqNullSafe(F.col("ed")) & F.col("source").eqNullSafe(F.col("eo")) & (F.col("size") == F.col("es"))
+    out = rows.join(e, same, "left").withColumn("more", F.col("sure") + F.when(F.col("ek").isNotNull(), 1).otherwise(0))
+    # n equal rows: `more` of them get one copy more than the others
+    chunk = lambda n: F.transform(F.sequence(F.lit(0), F.floor((n - 1) / CHUNK)), lambda i: F.least(F.lit(CHUNK), n - i * CHUNK))
+    part = lambda n, copies: F.when(n > 0, F.transform(chunk(n), lambda k: F.struct(k.cast("int").alias("k"), copies.cast("int").alias("copies")))).otherwise(F.expr("array()"))
+    out = out.withColumn("__part", F.explode(F.concat(part(F.col("more"), F.col("whole") + 1), part(F.col("n") - F.col("more"), F.col("whole")))))
+    out = out.withColumn("__one", F.explode(F.sequence(F.lit(1), F.col("__part.k")))).withColumn("copies", F.col("__part.copies"))
+    return kept.result(out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")), "mix-copies")
 
 
 def word_count(text):
@@ -137,5 +154,6 @@ def word_count(text):
 
 
 def op10_mixing(spark, sf_dir):
+    """The mix of all documents: doc_id, size, source_size (long), target (double), taken (long); a row a row of documents."""
     found = mix(read(spark, sf_dir, "documents"), word_count(F.col("text")))
     return found.select("doc_id", "size", "source_size", "target", "taken")
