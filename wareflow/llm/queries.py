@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import bpe, chat, html, jaccard, mixing, neardup, quality, sharding, suffixes, toxicity
+from .oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
     "op1_kd_shards": sharding.op1_kd_shards,
@@ -16,4 +17,3 @@ QUERIES = {
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
-ORACLE_SQL: dict[str, str] = {}
