@@ -7,14 +7,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import Scratch, bounded, read
 from .components import components
 
-#: Length of a neighbour list, and sorted orders (each by its own random code) for the first lists.
-NEIGHBOURS, ORDERS, REACH = 10, 10, 4
+#: Length of a neighbour list at first and at most (a saturated list doubles), and sorted orders (each by its own random code) for the first lists.
+NEIGHBOURS, LONGEST, ORDERS, REACH = 10, 80, 10, 4
 #: First vectors a label that the audit compares with all (eight times as many in each further step), the vectors
 #: with links that it must have seen before it trusts a label, and vectors in a block of the exact scan.
 AUDIT, LINKED, BLOCK = 256, 300, 1024
+#: Labels whose sizes are broadcast at most.
+LABELS = 20_000
 
 
 def clean(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -47,13 +49,14 @@ def first_lists(classes: DataFrame, seed: int, orders: int = ORDERS, reach: int
 
     def code(batches):
         for b in batches:
-            vec = b.column("vec")
-            out = np.zeros((b.num_rows, orders), dtype=np.int64)
-            for k, rows in _by_length(vec):
+            for k, rows in _by_length(b.column("vec")):
                 planes = np.random.default_rng([seed, int(k)]).standard_normal((int(k), orders, 20))
-                bits = np.einsum("nk,kob->nob", _matrix(vec.take(pa.array(rows))), planes) > 0
-                out[rows] = (bits * (1 << np.arange(20)[::-1])).sum(axis=2)
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("g"), vec, pa.array(out.tolist(), pa.list_(pa.int64()))], names=["key", "g", "vec", "codes"])
+                at = pa.array(rows)
+                unit = _matrix(b.column("vec").take(at))
+                bits = np.einsum("nk,kob->nob", unit, planes) > 0
+                codes = (bits * (1 << np.arange(20)[::-1])).sum(axis=2)
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel())) for x in (unit, codes)]
+                yield pa.RecordBatch.from_arrays([b.column("key").take(at), b.column("g").take(at), *lists], names=["key", "g", "vec", "codes"])
 
     coded = classes.select("key", "g", "vec").mapInArrow(code, "key long, g long, vec array<double>, codes array<long>")
     dealt = coded.select("key", "g", "vec", F.posexplode("codes").alias("o", "code")).repartition("g", "o", F.shiftright("code", 14)).sortWithinPartitions("g", "o", "code", "key")
@@ -69,14 +72,13 @@ def first_lists(classes: DataFrame, seed: int, orders: int = ORDERS, reach: int
             a, c, s = [], [], []
             lengths = np.diff(np.asarray(vec.offsets))
             flat, begin = vec.values.to_numpy(zero_copy_only=False), np.asarray(vec.offsets)
-            norm = np.sqrt(np.add.reduceat(flat * flat, begin[:-1])) if len(flat) else np.zeros(0)
             for d in range(1, reach + 1):
                 j = np.arange(max(new, d), t.num_rows)
                 j = j[(g[j] == g[j - d]) & (o[j] == o[j - d]) & (key[j] != key[j - d])]
                 for k in np.unique(lengths[j]):
                     i = j[lengths[j] == k]
                     x, y = flat[begin[i][:, None] + np.arange(k)], flat[begin[i - d][:, None] + np.arange(k)]
-                    sim = (x * y).sum(axis=1) / (norm[i] * norm[i - d])
+                    sim = (x * y).sum(axis=1)
                     a.append(key[i])
                     c.append(key[i - d])
                     s.append(sim)
@@ -87,23 +89,25 @@ def first_lists(classes: DataFrame, seed: int, orders: int = ORDERS, reach: int
     return dealt.mapInArrow(near, "a long, b long, sim double")
 
 
-def _lists(edges: DataFrame, k: int) -> DataFrame:
-    """For each vertex its k best neighbours, both ways of each edge counted."""
+def _lists(edges: DataFrame, sizes: DataFrame | None) -> DataFrame:
+    """For each vertex its k best neighbours, both ways of each edge counted; k is NEIGHBOURS, or more where `sizes` (a, k) has it."""
     both = edges.select("a", "b", "sim").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim")).dropDuplicates(["a", "b"])
     w = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
-    return both.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).drop("r")
+    ranked = both.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= LONGEST)
+    ranked = ranked.withColumn("k", F.lit(NEIGHBOURS)) if sizes is None else ranked.join(sizes, "a", "left").fillna(NEIGHBOURS, ["k"])
+    return ranked.filter(F.col("r") <= F.col("k")).select("a", "b", "sim", "k")
 
 
-def descend(lists: DataFrame, classes: DataFrame, k: int, threshold: float) -> DataFrame:
+def descend(lists: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Neighbours of a common neighbour are compared with each other: at most 2k meet at one vertex.
 
     A pair goes on if it is a link or better than the last entry of one of the two lists.
     """
+    size = lists.groupBy("a").agg(F.max("k").alias("k"), F.when(F.count(F.lit(1)) >= F.max("k"), F.min("sim")).otherwise(-2.0).alias("last"))
     back = Window.partitionBy("b").orderBy(F.desc("sim"), "a")
-    reverse = lists.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= k).select(F.col("b").alias("hub"), F.col("a").alias("key"))
+    reverse = lists.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= LONGEST).join(size.select(F.col("a").alias("b"), F.col("k").alias("kb")), "b").filter(F.col("r") <= F.col("kb")).select(F.col("b").alias("hub"), F.col("a").alias("key"))
     at = lists.select(F.col("a").alias("hub"), F.col("b").alias("key")).unionByName(reverse).distinct()
-    last = lists.groupBy(F.col("a").alias("key")).agg(F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(-2.0).alias("last"))
-    met = at.join(classes.select("key", "vec").join(last, "key"), "key").groupBy("hub").agg(F.collect_list("key").alias("keys"), F.collect_list("vec").alias("vecs"), F.collect_list("last").alias("lasts"))
+    met = at.join(classes.select("key", "vec").join(size.select(F.col("a").alias("key"), "last"), "key"), "key").groupBy("hub").agg(F.collect_list("key").alias("keys"), F.collect_list("vec").alias("vecs"), F.collect_list("last").alias("lasts"))
 
     def compare(batches):
         for b in batches:
@@ -121,6 +125,11 @@ def descend(lists: DataFrame, classes: DataFrame, k: int, threshold: float) -> D
     return met.select("keys", "vecs", "lasts").mapInArrow(compare, "a long, b long, sim double")
 
 
+def saturated(lists: DataFrame, threshold: float) -> DataFrame:
+    """The vertices (a, k) whose lists are full of links: what they lack can be links as well."""
+    return lists.filter(F.col("sim") >= threshold).groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).filter("n >= k").select("a", "k")
+
+
 def _roots(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The least row of its connected part, for each row and column of a bipartite table without empty lines."""
     n = len(hit)
@@ -133,14 +142,14 @@ def _roots(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         low = later
 
 
-def _scan(asked: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+def _scan(asked: DataFrame, members: DataFrame, threshold: float, kept: Scratch) -> DataFrame:
     """The vectors `asked` (key, c) compared with all members (key, c, n, vec) of their c, blocks against blocks.
 
     Rows (key, links, pairs, back, root), to be summed by key: links and pairs of an asked vector with members (with
     and without their copies), links of a member with asked vectors; key and root are connected.
     """
-    blocks = lambda x, name: x.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
-    m = members.select("key", "c", "n", "vec").join(blocks(asked, "ni"), "c").join(blocks(members, "nj"), "c")
+    blocks = kept.save(asked.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ni")).join(members.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nj")), "c"), "neardup-blocks")
+    m = members.select("key", "c", "n", "vec").join(F.broadcast(blocks) if blocks.count() <= LABELS else blocks, "c")
     dealt = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     low = m.join(asked.select("key"), "key", "left_semi").withColumn("i", dealt("ni")).withColumn("j", every("nj"))
@@ -167,7 +176,8 @@ def _scan(asked: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
             "root": key[low][np.concatenate([r, q])],
         })
 
-    return cells.groupBy("c", "i", "j").applyInArrow(count, "key long, links long, pairs long, back long, root long")
+    # all three columns deal the cells, else those of a hot label would meet in one task
+    return cells.repartition("c", "i", "j").groupBy("c", "i", "j").applyInArrow(count, "key long, links long, pairs long, back long, root long")
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -181,18 +191,18 @@ class Audit:
     vectors that have links and no full list, of the part of their links that was found.
     """
 
-    def __init__(self, classes: DataFrame, threshold: float):
-        self.classes, self.threshold = classes, threshold
+    def __init__(self, classes: DataFrame, threshold: float, kept: Scratch):
+        self.classes, self.threshold, self.kept = classes, threshold, kept
         self.members = classes.withColumn("c", F.col("g"))
-        self.sizes = materialize(classes.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "neardup-labels")
+        self.sizes = kept.save(classes.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "neardup-labels")
         self.asked = classes.select("key", "g").limit(0)
         self.scans = classes.select("key", *(F.lit(0).cast("long").alias(c) for c in ("links", "pairs", "back", "root"))).limit(0)
         self.step = -1
 
     def scan(self, keys: DataFrame) -> None:
         """Compare the vectors of keys (key, g) that weren't asked before with all of their label."""
-        new = materialize(keys.join(self.asked.select("key"), "key", "left_anti").select("key", "g"), "neardup-asked")
-        rows = materialize(_scan(new.withColumnRenamed("g", "c"), self.members, self.threshold), "neardup-scan")
+        new = self.kept.save(keys.join(self.asked.select("key"), "key", "left_anti").select("key", "g"), "neardup-asked")
+        rows = self.kept.save(_scan(new.withColumnRenamed("g", "c"), self.members, self.threshold, self.kept), "neardup-scan")
         self.asked, self.scans = self.asked.unionByName(new), self.scans.unionByName(rows)
 
     def labels(self, found: DataFrame, full: DataFrame) -> DataFrame:
@@ -203,7 +213,7 @@ class Audit:
         counts = F.col("full").isNull() & (F.col("pairs") > 0)
         share = F.least(F.coalesce("degree", F.lit(0)) / F.when(counts, F.col("pairs")), F.lit(1.0))
         x = x.groupBy("g").agg(F.count(F.lit(1)).alias("asked"), F.count(F.when(counts, 1)).alias("linked"), F.avg(F.when(counts, share)).alias("recall"))
-        return materialize(self.sizes.join(x, "g", "left").fillna(0, ["asked", "linked"]).fillna(1.0, ["recall"]), "neardup-recall")
+        return self.kept.save(self.sizes.join(x, "g", "left").fillna(0, ["asked", "linked"]).fillna(1.0, ["recall"]), "neardup-recall")
 
     def short(self, found: DataFrame, full: DataFrame, recall: float) -> DataFrame:
         """The labels (g) whose links found fall short; a label asked as a whole can't.
@@ -229,42 +239,58 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     id stand each for itself. Other columns are ignored.
 
     Lists of the NEIGHBOURS best start from several random orders and are refined by NN-descent until
-    a round adds next to nothing. An audit compares vectors of each label with all of it until enough of them
+    a round adds next to nothing. A list that is then full of links is saturated: what it lacks can lie in any group of the label. It gets twice the
+    length, is filled from all links found so far and from new orders of the saturated vectors alone (in which other groups are near), and the descent goes on,
+    until its last entry is no link. Only where LONGEST isn't enough is a
+    vector compared with all of its label, block by block. An audit compares vectors of each label with all of it until enough of them
     have links; labels below the wanted recall get new orders, and after the last round they are compared as
-    a whole, block by block. A list full of links is saturated: what it lacks can lie in any group of the label, so
-    its vector is compared with all of the label. (A longer list would fill up with its own group first, as before.)
+    a whole. So a recall below the wanted one is never returned.
     """
-    good = materialize(clean(vectors, id_col, vec_col, label_col), "neardup-rows")
+    bounded(vectors.sparkSession)
+    kept = Scratch()
+    good = kept.save(clean(vectors, id_col, vec_col, label_col), "neardup-rows")
     classes = good.groupBy("key", "g").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
-    classes = materialize(classes, "neardup-classes")
-    check = Audit(classes, threshold)
-    pairs_of = lambda x: x.filter(F.col("sim") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    active, lists, found, full = classes, None, None, None
+    classes = kept.save(classes, "neardup-classes")
+    check = Audit(classes, threshold, kept)
+    links_of = lambda x: x.filter(F.col("sim") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim")
+    active, lists, found, full, sizes = classes, None, None, None, None
     for r in range(rounds):
         new = first_lists(active, 11 + r)
-        lists = materialize(_lists(new if lists is None else new.unionByName(lists.join(active.select(F.col("key").alias("a")), "a", "left_semi").select("a", "b", "sim")), NEIGHBOURS), "neardup-lists")
-        found = pairs_of(lists) if found is None else found.unionByName(pairs_of(lists))
-        size = lists.agg(F.sum("sim")).first()[0] or 0.0
-        for _ in range(4):
-            pairs = materialize(descend(lists, active, NEIGHBOURS, threshold), "neardup-pairs")
-            found = materialize(found.unionByName(pairs_of(pairs)).distinct(), "neardup-found")
-            lists = materialize(_lists(lists.unionByName(pairs), NEIGHBOURS), "neardup-lists")
-            later = lists.agg(F.sum("sim")).first()[0] or 0.0
-            if later <= size * 1.002:
+        start = new if lists is None else new.unionByName(lists.join(active.select(F.col("key").alias("a")), "a", "left_semi").select("a", "b", "sim"))
+        lists = kept.save(_lists(start, sizes), "neardup-lists")
+        found = kept.save((links_of(lists) if found is None else found.unionByName(links_of(lists))).dropDuplicates(["a", "b"]), "neardup-found")
+        size, steps = lists.agg(F.sum("sim")).first()[0] or 0.0, 0
+        while True:
+            pairs = kept.save(descend(lists, active, threshold), "neardup-pairs")
+            more = kept.save(found.unionByName(links_of(pairs)).dropDuplicates(["a", "b"]), "neardup-found")
+            longer = kept.save(_lists(lists.select("a", "b", "sim").unionByName(pairs), sizes), "neardup-lists")
+            kept.drop(pairs, found, lists)
+            found, lists = more, longer
+            later, steps = lists.agg(F.sum("sim")).first()[0] or 0.0, steps + 1
+            if later > size * 1.002 and steps % 4:
+                size = later
+                continue
+            now = kept.save(saturated(lists, threshold), "neardup-full")
+            grow = now.filter(F.col("k") < LONGEST).select("a", F.least(2 * F.col("k"), F.lit(LONGEST)).cast("int").alias("k"))
+            if grow.isEmpty():
                 break
-            size = later
-        now = lists.filter(F.col("sim") >= threshold).groupBy(F.col("a").alias("key")).count().filter(F.col("count") >= NEIGHBOURS).select("key")
-        full = materialize(now if full is None else full.unionByName(now).distinct(), "neardup-full")
+            sizes = kept.save(grow if sizes is None else sizes.unionByName(grow).groupBy("a").agg(F.max("k").alias("k")), "neardup-sizes")
+            seeds = first_lists(active.join(grow.select(F.col("a").alias("key")), "key", "left_semi"), 1000 * (r + 1) + steps)
+            longer = kept.save(_lists(lists.select("a", "b", "sim").unionByName(found).unionByName(seeds), sizes), "neardup-lists")
+            kept.drop(lists)
+            lists, size = longer, longer.agg(F.sum("sim")).first()[0] or 0.0
+        now = now.select(F.col("a").alias("key"))
+        full = kept.save(now if full is None else full.unionByName(now).distinct(), "neardup-full")
         short = check.short(found, full, recall)
         if short.isEmpty():
             break
-        active = materialize(classes.join(short, "g", "left_semi"), "neardup-short")
+        active = kept.save(classes.join(short, "g", "left_semi"), "neardup-short")
     else:
         check.scan(active.select("key", "g"))
     check.scan(classes.join(full, "key", "left_semi").select("key", "g"))
     scans, scanned = check.scans, check.asked.select("key")
     edges = found.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(scans.select(F.col("key").alias("u"), F.col("root").alias("v")))
-    comp = materialize(components(edges), "neardup-components")
+    comp = components(edges, kept)
     # links of a scanned vector are its scan's; another one has those of the scans that met it, and those found with the others
     exact = scans.groupBy("key").agg(F.sum("links").alias("links"), F.sum("back").alias("back"))
     rest = _both(found).join(scanned.select(F.col("key").alias("b")), "b", "left_anti")
@@ -272,7 +298,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     per = classes.select("key", "n", "least").join(scanned.withColumn("scanned", F.lit(True)), "key", "left").join(counted, "key", "left").join(exact, "key", "left").join(comp.select(F.col("id").alias("key"), F.col("component_id").alias("c")), "key", "left")
     zero = F.lit(0)
     links = F.when(F.col("scanned"), F.coalesce("links", zero)).otherwise(F.coalesce("found", zero) + F.coalesce("back", zero))
-    per = materialize(per.select("key", "least", F.coalesce("c", "key").alias("c"), (links + F.col("n") - 1).alias("n_links")), "neardup-classes-linked")
+    per = kept.save(per.select("key", "least", F.coalesce("c", "key").alias("c"), (links + F.col("n") - 1).alias("n_links")), "neardup-classes-linked")
     least = per.groupBy("c").agg(F.min("least").alias("component_id"))
     per = per.join(least, "c").select("key", "n_links", "component_id")
     linked = good.select("id", "key").join(per, "key").select(F.col("id").alias(id_col), "n_links", "component_id")
@@ -280,8 +306,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     usable = F.col("label").isNotNull() & F.col("vec").isNotNull() & F.coalesce(F.forall("vec", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf")))), F.lit(False)) & F.coalesce(F.exists("vec", lambda e: e != 0), F.lit(False))
     alone = x.filter(~usable).select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
     out = linked.unionByName(alone)
-    return out.withColumn("kept", F.col(id_col) == F.col("component_id"))
+    return kept.result(out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))), "neardup-links")
 
 
 def op4_near_duplicates(spark, sf_dir):
+    """Links of all embeddings of one label at a cosine of 0.93 or more: vec_id, n_links, component_id (long), kept; a row a vector."""
     return near_duplicates(read(spark, sf_dir, "embeddings"))
