@@ -1,4 +1,4 @@
-"""Repeated passages by sparse suffixes at minimiser positions, extended left and right."""
+"""Repeated passages by sparse suffix arrays: suffixes at minimisers, sorted, compared with their neighbours, extended."""
 
 from __future__ import annotations
 
@@ -6,198 +6,250 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, read
-from .jaccard import _mix, _split
+from .common import WORD, Marks, Scratch, bounded, read
+from .words import mix, parts, span, sums, text_keys, word_hashes
 
-#: Words in a passage at least, and in the head of a suffix by which suffixes are sorted.
+#: Words in a passage at least, and in the head of a suffix by which suffixes are sorted first.
 LENGTH, HEAD = 50, 16
-#: Bits of the filter of heads that occur again (8 MB, whatever the input).
-MARKS = 1 << 26
-_B = 0x9E3779B97F4A7C15
-_BI = pow(_B, -1, 1 << 64)
-
-
-class Suffixes:
-    """Word hashes, minimiser positions and window hashes of whole texts."""
-
-    def __init__(self, length: int = LENGTH, head: int = HEAD):
-        self.length, self.head, self.known = length, head, {}
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if len(self.up) < n:
-            with np.errstate(over="ignore"):
-                self.up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, _B, dtype=np.uint64)]))
-                self.down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, _BI, dtype=np.uint64)]))
-
-    def words(self, text: str | None) -> np.ndarray:
-        known, new, out = self.known, xxhash.xxh3_64_intdigest, []
-        if len(known) > 1_000_000:
-            known.clear()
-        for w in (text or "").encode("utf-8").split():
-            h = known.get(w)
-            if h is None:
-                h = known[w] = new(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
-
-    def sums(self, h: np.ndarray) -> np.ndarray:
-        self._powers(len(h) + 1)
-        with np.errstate(over="ignore"):
-            return np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * self.up[: len(h)])])
+_C = np.uint64(0xD6E8FEB86659FD93)
+
+
+def window_least(values: np.ndarray, size: int) -> np.ndarray:
+    """Where the least of each `size` neighbouring values stands (the first of equal ones), by doubling."""
+    at, n, best = np.arange(len(values)), 1, values
+    while n < size:
+        step = min(n, size - n)
+        low = best[step:] < best[: len(best) - step]
+        at = np.where(low, at[step:], at[: len(at) - step])
+        best = values[at]
+        n += step
+    return at
 
-    def windows(self, sums: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-        """Hashes of the n words from each start on: the same words give the same hash anywhere."""
+
+class Kept:
+    """The suffixes kept of the texts of a column: at the minimisers of their passages.
+
+    Of each passage of `length` words the head (`head` words) with the least hash is kept. The same passage, wherever it
+    stands, thus keeps a suffix at the same place in it. The passages that keep one suffix start next to each
+    other. Arrays by suffix: row, head, first and last (words, from the text's begin on) of its passages, and whole: a hash of all the words that the
+    suffix's passages hold, from `first` on the left to the last passage's end, and of where the suffix stands in them.
+    """
+
+    def __init__(self, column: pa.Array, length: int, head: int):
+        h, begin = word_hashes(column, False)
+        self.length, self.begin, self.total = length, begin, sums(h)
+        if len(h) < length:
+            self.row = self.first = self.last = np.zeros(0, np.int64)
+            self.head = self.whole = np.zeros(0, np.int64)
+            return
+        heads = span(self.total, np.arange(len(h) - head + 1), np.arange(len(h) - head + 1) + head)
+        least = window_least(heads, length - head + 1)  # of the passage that starts at each word
+        count = np.maximum(np.diff(begin) - length + 1, 0)
+        start = np.concatenate([[0], np.cumsum(count)])
+        row = np.repeat(np.arange(len(count)), count)
+        a = np.arange(start[-1]) - start[row] + begin[row]  # first words of all passages
+        at = least[a]
+        new = np.ones(len(a), dtype=bool)
+        new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
+        i = np.flatnonzero(new)
+        self.row, at = row[i], at[i]
+        first, last = a[i], a[np.append(i[1:], len(a)) - 1] if len(i) else a
+        self.head = heads[at].view(np.int64)
         with np.errstate(over="ignore"):
-            return _mix((sums[starts + n] - sums[starts]) * self.down[starts])
+            self.whole = mix(span(self.total, first, last + length) + (at - first).astype(np.uint64) * _C).view(np.int64)
+        self.first, self.last = first - begin[self.row], last - begin[self.row]
+
+    def passages(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Suffix, row, first word and hash of all passages of some suffixes."""
+        first, n = self.first[which], (self.last - self.first + 1)[which]
+        a = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        suffix = np.repeat(which, n)
+        row = self.row[suffix]
+        at = a + self.begin[row]
+        return suffix, row, a, span(self.total, at, at + self.length).view(np.int64)
+
 
-    def retained(self, h: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The positions kept, the hashes of the suffixes' heads there, and the first and last passage of each.
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
 
-        Of each passage of `length` words the head with the least hash is kept. The same passage, wherever
-        it stands, thus keeps a suffix at the same place in it. The passages that keep one
-        position start next to each other.
-        """
-        n = len(h) - self.head + 1
-        heads = self.windows(sums, np.arange(n), self.head)
-        span = self.length - self.head + 1
-        kept = np.lib.stride_tricks.sliding_window_view(heads, span).argmin(axis=1) + np.arange(n - span + 1)
-        at, first, count = np.unique(kept, return_index=True, return_counts=True)
-        return at, heads[at], first, first + count - 1
 
+#: What compare() says of a suffix: all suffixes with its head have the same words around them; they differ; the run of its head reaches
+#: the partition's end, so that the neighbouring partitions decide.
+ALIKE, DIFFER, OPEN = 0, 1, 2
+_SORTED = "kind int, part int, head long, whole long, id long, text_key long, a long, b long, is_first boolean"
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    bit = F.pmod("key", F.lit(MARKS)) + 1
-    rows = keys.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()
-    out = np.zeros(MARKS // 8, dtype=np.uint8)
-    for r in rows:
-        out[(r["n"] - 1) * 4096 : r["n"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
+
+def compare(batches):
+    """Neighbours of one sorted partition of suffixes: runs of equal heads, and whether all their suffixes have equal extensions.
+
+    Only the rows of a run that has not ended are held. Suffixes whose head no neighbour has are left out, and so is all but one of
+    equal rows.
+    """
+    part, held, opened = TaskContext.get().partitionId(), None, True
+    names = ["head", "whole", "id", "text_key", "a", "b"]
+
+    def told(t: pa.Table, at_start: bool, at_end: bool):
+        """All rows of complete runs (but for the first and the last, which may be open)."""
+        t = t.combine_chunks()
+        head, whole, key, a = (_column(t, c) for c in ("head", "whole", "text_key", "a"))
+        none, number = t.column("id").is_null().to_numpy(), t.column("id").fill_null(0).to_numpy()
+        again = np.zeros(len(head), dtype=bool)
+        again[1:] = (head[1:] == head[:-1]) & (key[1:] == key[:-1]) & (a[1:] == a[:-1]) & (number[1:] == number[:-1]) & (none[1:] == none[:-1])
+        t, head, whole = t.filter(pa.array(~again)), head[~again], whole[~again]
+        new = np.ones(len(head), dtype=bool)
+        new[1:] = head[1:] != head[:-1]
+        run = np.cumsum(new) - 1
+        begin = np.flatnonzero(new)
+        n = np.diff(np.append(begin, len(head)))
+        turn = np.zeros(len(head), dtype=bool)
+        turn[1:] = whole[1:] != whole[:-1]
+        kind = np.where(np.bincount(run[turn & ~new], minlength=len(n)) > 0, DIFFER, ALIKE)
+        kept = n > 1
+        for at, there in ((0, at_start), (-1, at_end)):
+            if there and len(n):
+                kind[at], kept[at] = OPEN, True
+        keep = kept[run]
+        out = t.filter(pa.array(keep))
+        r = run[keep]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kind[r].astype(np.int32)), pa.array(np.full(len(r), part, np.int32)), *[out.column(c).combine_chunks() for c in names], pa.array(new[keep])],
+            names=["kind", "part", *names, "is_first"],
+        )
+
+    for b in batches:
+        t = pa.Table.from_batches([b.select(names)])
+        held = t if held is None else pa.concat_tables([held, t])
+        last = held.column("head").slice(held.num_rows - 1, 1).to_pylist()[0] if held.num_rows else None
+        head = _column(held, "head")
+        cut = int(np.searchsorted(head, last)) if len(head) else 0
+        if cut:
+            yield told(held.slice(0, cut), opened, False)
+            held, opened = held.slice(cut), False
+    if held is not None and held.num_rows:
+        yield told(held, opened, True)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, head: int = HEAD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The maximal spans of words that lie in a passage of `length` words found twice or more in the table.
 
     Returns id_col, text_key (a hash of the text, which tells rows that repeat an id apart), is_first,
-    start_word, end_word (exclusive) and n_words. A window's first occurrence is the one with the
+    start_word, end_word (exclusive) and n_words. A passage's first occurrence is the one with the
     least (id, text_key, start); spans of first occurrences and of later ones are given apart. Words
     are runs of characters other than ASCII white space, compared as they are. Rows equal in id and
-    text are one document. Null and short texts have no spans. Other columns are ignored.
-
-    Suffixes are kept at minimiser positions and sorted by their heads in a shuffle; heads with an equal
-    neighbour are repeats. Each such suffix is extended left and right over all passages that keep it.
-    Where all suffixes with one head extend alike, all those passages are repeats, in one row.
-    Only where they differ, at the borders of a match, do the passages meet one by one by 64-bit
-    hash. Any repeated passage has a kept suffix whose head is repeated, so none is missed. All
-    shuffles count before they join, and a hot passage is never gathered.
+    text are one document. Null ids stay null (and come first); null and short texts have no spans. Other columns are ignored.
+
+    The suffixes kept at minimisers (see Kept) are sorted by their heads, then by the words that extend them to the left and right: by
+    ranges of head, extension and place, so that however often a head occurs, its suffixes are dealt over many tasks. In
+    the sorted order neighbours with one head are compared. Where a whole run is extended alike, all passages of its suffixes are repeats, in
+    one row each. Where extensions differ, at the borders of a match, they are extended word by word: their passages meet one by one by 64-bit hash. Any
+    repeated passage has a kept suffix whose head is repeated, so none is missed. Runs over the end of a range are settled by two rows a
+    partition, which the driver sees. All shuffles count before they join.
     """
-    send = docs.sparkSession.sparkContext.broadcast
+    bounded(docs.sparkSession)
+    send, kept = docs.sparkSession.sparkContext.broadcast, Scratch()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    def heads(batches):
-        sx = Suffixes(length, head)
-        for b in _split(batches):
-            found = [np.zeros(0, np.uint64)]
-            for text in b.column("text").to_pylist():
-                h = sx.words(text)
-                if len(h) >= length:
-                    found.append(sx.retained(h, sx.sums(h))[1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
-
-    again = texts.select("text").mapInArrow(heads, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    marked = send(_bitmap(again))
-
-    def extended(bits, only, single: bool):
-        """A row for each marked suffix, or (single) for each passage of the texts that `only` marks."""
-
-        def run(batches):
-            sx = Suffixes(length, head)
-            for b in _split(batches, 200):
-                out = []
-                for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                    key = np.uint64(xxhash.xxh3_64_intdigest((text or "").encode("utf-8"))).view(np.int64)
-                    if only is not None and not only.value[(key % MARKS) >> 3] >> (int(key % MARKS) & 7) & 1:
-                        continue
-                    h = sx.words(text)
-                    if len(h) < length:
-                        continue
-                    sums = sx.sums(h)
-                    at, found, first, last = sx.retained(h, sums)
-                    bit = found.view(np.int64) % MARKS
-                    hit = (bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1) == 1
-                    at, found, first, last = at[hit], found[hit], first[hit], last[hit]
-                    if single and len(at):
-                        n = last - first + 1
-                        first = last = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-                        found, at = np.repeat(found, n), first
-                    if len(at):
-                        with np.errstate(over="ignore"):
-                            whole = _mix(sx.windows(sums, first, last + length - first) + ((at - first) * 4096 + last - first).astype(np.uint64))
-                        out.append((np.full(len(at), -1 if i is None else i), np.full(len(at), key), first.astype(np.int64), last.astype(np.int64), found.view(np.int64), whole.view(np.int64)))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["id", "text_key", "a", "b", "head", "passage"])
-
-        return run
-
-    schema = "id long, text_key long, a long, b long, head long, passage long"
+    def keep(batches):
+        for b in parts(batches):
+            k = Kept(b.column("text"), length, head)
+            if len(k.row):
+                at, keys = pa.array(k.row), text_keys(b.column("text"))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (k.head, k.whole)), b.column("id").take(at), *map(pa.array, (keys[k.row], k.first, k.last))], names=["head", "whole", "id", "text_key", "a", "b"])
+
+    suffixes = kept.save(texts.mapInArrow(keep, "head long, whole long, id long, text_key long, a long, b long"), "suffix-kept")
+    place = ["head", "whole", "id", "text_key", "a"]
+    ranges = kept.save(suffixes.repartitionByRange(*place).sortWithinPartitions(*place).mapInArrow(compare, _SORTED), "suffix-sorted")
+    kept.drop(suffixes)
+    # runs over the ends of partitions: which partition has the first row, and whether all parts have one extension
+    ends = ranges.filter(f"kind = {OPEN}").groupBy("head").agg(F.min("part").alias("part"), F.count(F.lit(1)).alias("n"), (F.min("whole") == F.max("whole")).alias("same"))
+    edges = send({r["head"]: (ALIKE if r["same"] else DIFFER, r["part"]) for r in ends.filter("n > 1").collect()})  # two rows a partition at most
+
+    def settle(batches):
+        known = edges.value
+        for b in batches:
+            kind, first = b.column("kind").to_numpy().copy(), b.column("is_first").to_numpy(zero_copy_only=False).copy()
+            at = np.flatnonzero(kind == OPEN)
+            if len(at):
+                heads, of = np.unique(b.column("head").to_numpy()[at], return_inverse=True)
+                said = np.array([known.get(h, (OPEN, -1)) for h in heads.tolist()])[of]
+                kind[at], first[at] = said[:, 0], first[at] & (b.column("part").to_numpy()[at] == said[:, 1])
+            b = b.set_column(b.schema.get_field_index("kind"), "kind", pa.array(kind)).set_column(b.schema.get_field_index("is_first"), "is_first", pa.array(first))
+            yield b.filter(pa.array(kind != OPEN))  # what is open still is no repeat
+
+    settled = kept.save(ranges.mapInArrow(settle, ranges.schema), "suffix-settled")
+    kept.drop(ranges)
+    alike = settled.filter(f"kind = {ALIKE}").select("id", "text_key", "a", "b", "is_first")
+    border = settled.filter(f"kind = {DIFFER}").select("head", "text_key")
+    borders = kept.save(border.select("head").distinct(), "suffix-borders")
+    heads, keys = send(Marks(borders, "head")), send(Marks(border.select("text_key").distinct(), "text_key"))
+
+    def extend(batches):
+        for b in parts(batches):
+            at = np.flatnonzero(keys.value.hit(text_keys(b.column("text"))))
+            if len(at):
+                b = b.take(pa.array(at))
+                k = Kept(b.column("text"), length, head)
+                which = np.flatnonzero(heads.value.hit(k.head))
+                suffix, row, a, passage = k.passages(which)
+                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(row)), *map(pa.array, (text_keys(b.column("text"))[row], a, k.head[suffix], passage))], names=["id", "text_key", "a", "head", "passage"])
+
+    passages = kept.save(texts.mapInArrow(extend, "id long, text_key long, a long, head long, passage long"), "suffix-passages")
+    again = passages.groupBy("passage").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    often = send(Marks(again, "passage"))
+
+    def meet(batches):
+        for b in batches:
+            yield b.filter(pa.array(often.value.hit(b.column("passage").to_numpy())))
+
+    # the bitmaps let some heads too many through, with a part of their texts only: those go
+    found = kept.save(passages.mapInArrow(meet, passages.schema).join(borders, "head", "left_semi"), "suffix-often")
+    kept.drop(passages)
     one = F.struct("id", "text_key", "a")
-    suffixes = materialize(texts.mapInArrow(extended(marked, None, False), schema), "suffix-rows")
-    whole = suffixes.groupBy("head", "passage").agg(F.min(one).alias("first"), F.max(one).alias("last"))
-    whole = materialize(whole, "suffix-whole")
-    ways = whole.groupBy("head").agg(F.count(F.lit(1)).alias("ways"))
-    border = materialize(ways.filter("ways > 1").select("head"), "suffix-borders")
-    alike = whole.filter("first <> last").join(border, "head", "left_anti").select("head", "first")
-    hits = suffixes.join(alike, "head").select("id", "text_key", "a", "b", (one == F.col("first")).alias("is_first"))
-    at_border = suffixes.join(border, "head", "left_semi").select(F.col("text_key").alias("key"))
-    run = extended(send(_bitmap(border.select(F.col("head").alias("key")))), send(_bitmap(at_border)), True)
-    passages = texts.mapInArrow(run, schema).join(border, "head", "left_semi").select("id", "text_key", "a", "passage")
-    passages = materialize(passages, "suffix-passages")
-    met = passages.groupBy("passage").agg(F.min(one).alias("first"), F.max(one).alias("last")).filter("first <> last").select("passage", "first")
-    hits = hits.unionByName(passages.join(met, "passage").select("id", "text_key", "a", F.col("a").alias("b"), (one == F.col("first")).alias("is_first"))).distinct()
+    met = kept.save(found.groupBy("passage").agg(F.min(one).alias("first"), F.max(one).alias("last")).filter("first <> last").select("passage", "first"), "suffix-met")
+    met = found.join(met, "passage").select("id", "text_key", "a", F.col("a").alias("b"), (one == F.col("first")).alias("is_first"))
+    hits = alike.unionByName(met).distinct()
     by = Window.partitionBy("id", "text_key", "is_first").orderBy("a", "b")
     reach = F.max("b").over(by.rowsBetween(Window.unboundedPreceding, -1)) + length
     hits = hits.withColumn("fresh", F.when(F.col("a") <= reach, 0).otherwise(1))
     spans = hits.withColumn("span", F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, 0))).groupBy("id", "text_key", "is_first", "span").agg(F.min("a").alias("start_word"), (F.max("b") + length).alias("end_word"))
-    return spans.select(F.col("id").alias(id_col), "text_key", "is_first", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
+    return kept.result(spans.select(F.col("id").alias(id_col), "text_key", "is_first", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words")), "suffix-spans")
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> DataFrame:
     """docs without the later occurrences of repeated passages; n_chars follows if there is one.
 
     The first occurrence of a passage stays. A text from which nothing is left goes. Only the rows
-    that a bitmap of fixed size marks are joined with their spans; the others are not shuffled.
+    that a bitmap marks are joined with their spans; the others are not shuffled.
     """
-    later = materialize(repeated_spans(docs, length, head).filter("not is_first"), "suffix-later")
+    later = repeated_spans(docs, length, head).filter("not is_first")
     cuts = later.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("__cuts"))  # a text's own spans
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(later.select(F.col("text_key").alias("key"))))
+    bits = docs.sparkSession.sparkContext.broadcast(Marks(later.select(F.col("text_key").alias("key")).distinct()))
     schema, names = docs.schema, docs.columns
 
     def part(marked: bool):
         def run(batches):
-            for b in _split(batches):
-                keys = np.array([xxhash.xxh3_64_intdigest((x or "").encode("utf-8")) for x in b.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
-                bit = keys % MARKS
-                hit = (bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1) == 1
-                yield (b.append_column("__key", pa.array(keys)) if marked else b).filter(pa.array(hit == marked))
+            for b in parts(batches):
+                keys = text_keys(b.column("text"))
+                yield (b.append_column("__key", pa.array(keys)) if marked else b).filter(pa.array(bits.value.hit(keys) == marked))
 
         return run
 
     def cut(batches):
         word = re.compile(WORD)
-        for b in _split(batches):
+        for b in parts(batches):
             texts, live = [], []
             for text, spans in zip(b.column("text").to_pylist(), b.column("__cuts").to_pylist(), strict=True):
                 if spans:
                     at = [m.start() for m in word.finditer(text)] + [len(text)]
-                    kept, last = [], 0
+                    left, last = [], 0
                     for s in spans:
-                        kept.append(text[last : max(last, at[s["start_word"]])])
+                        left.append(text[last : max(last, at[s["start_word"]])])
                         last = max(last, at[s["end_word"]])
-                    text = "".join([*kept, text[last:]])
+                    text = "".join([*left, text[last:]])
                     live.append(bool(word.search(text)))
                 else:
                     live.append(True)
@@ -208,7 +260,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> Data
 
     touched = docs.mapInArrow(part(True), StructType([*schema.fields]).add("__key", LongType()))
     c = cuts.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), "__cuts")
-    joined = touched.join(c, (F.coalesce(F.col("doc_id"), F.lit(-1)) == F.col("__id")) & (F.col("__key") == F.col("__text_key")), "left").select(*names, "__cuts")
+    joined = touched.join(c, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__text_key")), "left").select(*names, "__cuts")
     done = joined.mapInArrow(cut, schema)
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType))
@@ -216,4 +268,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, head: int = HEAD) -> Data
 
 
 def op9_suffix_dedup(spark, sf_dir):
+    """Repeated passages of 50 words or more in documents: one row a maximal span, first occurrences and later ones apart.
+
+    Columns: doc_id (null ids stay null), text_key, is_first, start_word, end_word, n_words (long). Documents without repeats have no row.
+    """
     return repeated_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
