@@ -93,6 +93,33 @@ def test_sharding_splits_on_source_and_language(spark):
         assert len(got) == (2 if column == "lang" else 16) and all(r.n == 1 for r in got)
 
 
+def test_sharding_cuts_metadata_and_keeps_copies_together(spark):
+    """Language, source and size are all cut where they spread; copies are in one shard, and a hot copy is dealt evenly."""
+    rows = spark.range(4000).selectExpr("id as doc_id", "repeat(concat('w', id div 2, ' '), cast(1 + (id div 2) % 97 as int)) as text", "if(id % 4 < 2, 'de', 'en') as lang", "concat('src', id % 8 div 2) as source")
+    kept = sharding.Scratch()
+    slim = rows.select("doc_id", F.octet_length("text").cast("long").alias("size"), "lang", "source", F.shiftrightunsigned(F.xxhash64("text"), 40).alias("tie"))
+    dims = ["d_size", "d_lang", "d_source"]
+    placed, cuts = sharding.kd_shards(sharding.metadata_positions(slim, kept), dims, "size", "tie", kept, shards=32)
+    assert {r.dim for c in cuts for r in c.collect()} == {0, 1, 2}
+    sizes = [r.b for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 32 and max(sizes) < 1.05 * sum(sizes) / 32  # a pair of copies is up to 0.03 of a shard
+    got = sharding.shard_documents(rows, 8).groupBy("text_crc32", "size").agg(F.count_distinct("shard").alias("n"))
+    assert got.filter("n > 1").count() == 0
+    hot = rows.withColumn("text", F.when(F.col("doc_id") % 3 == 0, "the same text").otherwise(F.concat(F.lit("another "), "doc_id")))
+    sizes = [r.b for r in sharding.shard_documents(hot, 16).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.05 * sum(sizes) / 16
+
+
+def test_sharding_odd_rows(spark):
+    """Null ids, repeated rows and null columns; the tree's plan doesn't grow with the leaves."""
+    rows = spark.createDataFrame([(None, "a", None, None, 1), (None, "a", None, None, 1), (3, None, "en", "s", 0), (3, None, "en", "s", 0), (4, "", None, "s", 0)], DOC)
+    got = sharding.shard_documents(rows, 4).collect()
+    assert len(got) == 5 and all(sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got))) for k in range(4))
+    many = spark.range(2000).selectExpr("id as doc_id", "lpad(id, 40, 'x') as text", "'en' as lang", "'s' as source")
+    parts = sharding.shard_documents(many, None, target_bytes=164).groupBy("shard").agg(F.sum("size").alias("b")).collect()
+    assert len(parts) > 450 and max(r.b for r in parts) <= 4 * 41 * 2
+
+
 def brute_quality(text):
     w = [x.decode() for x in (text or "").encode().split()]
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
@@ -122,6 +149,23 @@ def test_quality_on_real_texts(spark):
         assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) == brute_quality(r.text)
 
 
+def test_masks_are_prefix_sums():
+    turns = [{"ids": [1, 2, 3, 4], "loss_from": 0, "loss_to": 0}, {"ids": [5, 6, 7], "loss_from": 1, "loss_to": 3}, {"ids": [8, 9], "loss_from": 1, "loss_to": 1}]
+    ids, mask = chat.spliced(turns)
+    assert ids.tolist() == list(range(1, 10)) and mask.tolist() == [0, 0, 0, 0, 0, 1, 1, 0, 0]
+    assert [len(x) for x in chat.spliced([])] == [0, 0]
+
+
+def test_very_long_turns(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "<|im_end|> word" * 60_000
+    turns = spark.createDataFrame([(1, 0, "assistant", text), (1, 1, "user", text)], "conv_id long, turn long, role string, text string")
+    r = chat.read_back(chat.assemble(chat.encode_turns(turns, path)), path).first()
+    assert r.texts == [text, text] and r.loss_texts == [text]
+
+
 def test_chat_round_trip(spark):
     import public_tokenizers
 
@@ -240,6 +284,39 @@ def test_jaccard(spark, docs, n, percent):
     assert {i: (got[i].n_shingles, got[i].component_id) for i in sets} == {i: (len(sets[i]), root[i]) for i in sets}
 
 
+def test_vectorised_signatures_are_those_of_single_sets():
+    import pyarrow as pa
+
+    texts = [prose(i, n) for i, n in enumerate([0, 1, 2, 3, 5, 9, 30, 70, 200, 900])] + [None, "a\u00a0b C", "A B c"]
+    members, begin, key = jaccard.shingle_sets(pa.array(texts), 3)
+    for i, t in enumerate(texts):
+        assert begin[i + 1] - begin[i] == len(shingle_set(t, 3))
+    assert key[11] != key[12] and len(set(key.tolist())) == len(texts) - 1  # the texts without words are alike
+    bands, size = jaccard.Bands(85), np.diff(begin)
+    full = np.flatnonzero(size)
+    joined, starts = np.concatenate([members[begin[i] : begin[i + 1]] for i in full]), np.concatenate([[0], np.cumsum(size[full])])
+    group = np.array([bands.of(int(size[i])) for i in full])
+    found, of, room = jaccard.sign_sets(joined, starts, group, bands)
+    for j, i in enumerate(full):
+        one, left = jaccard.signatures(members[begin[i] : begin[i + 1]], int(group[j]), bands)
+        assert sorted(found[of == j].tolist()) == sorted(one.tolist()) and set(room[of == j].tolist()) == set(left.tolist())
+
+
+def test_word_hashes_do_not_depend_on_the_batch():
+    import pyarrow as pa
+    from wareflow.llm import words
+
+    texts = ["Foo bar", "bar\tfoo", None, "", " x", "x", "é" * 9 + "\u3000z", "giant" * 300_000, "a"]
+    h, at = words.word_hashes(pa.array(texts), True)
+    for i, t in enumerate(texts):
+        one, _ = words.word_hashes(pa.array([t], pa.string()), True)
+        assert one.tolist() == h[at[i] : at[i + 1]].tolist() and len(one) == len((t or "").encode().split())
+    assert len(set(h.tolist())) == 6
+    plain, _ = words.word_hashes(pa.array(["Foo foo"]), False)
+    assert plain[0] != plain[1] == h[0]
+    assert [b.num_rows for b in words.parts([pa.RecordBatch.from_pydict({"text": ["a" * 400_000, "b", "c" * 600_000, None]})])] == [2, 1, 1]
+
+
 def test_jaccard_near_the_threshold(spark):
     """Sets of many sizes whose similarity lies just at, above or below the threshold."""
     r, rows = random.Random(4), []
@@ -274,6 +351,29 @@ def test_signature_allocations_find_all_links():
                 assert x & y
 
 
+def test_large_and_repeated_vectors(spark):
+    """Squares that would overflow, and rows that repeat an id."""
+    rows = [(0, [1e200, 2e200], 1), (1, [1e200, 2.1e200], 1), (2, [1e-200, -2e-200], 1), (2, [1e-200, -2e-200], 1), (None, [1e200, 2e200], 1)]
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()), key=repr)
+    assert got == sorted([(0, 2, 0, True), (1, 2, 0, False), (2, 1, 2, True), (2, 1, 2, True), (None, 2, 0, False)], key=repr)
+
+
+@pytest.mark.parametrize("size", [25, 60])
+def test_saturated_lists_grow(spark, monkeypatch, size):
+    """Two groups larger than a list, joined by few links, are found by longer lists alone: nothing is compared with a whole label."""
+    monkeypatch.setattr(neardup, "AUDIT", 0)
+    monkeypatch.setattr(neardup, "LINKED", 0)
+    asked = []
+    scan = neardup.Audit.scan
+    monkeypatch.setattr(neardup.Audit, "scan", lambda self, keys: (asked.append(keys.count()), scan(self, keys)))
+    r = np.random.default_rng(12)
+    a, b = np.linalg.qr(r.standard_normal((64, 2)))[0].T
+    groups = [np.cos(turn) * a + np.sin(turn) * b + 0.018 * r.standard_normal((size, 64)) for turn in (0, 0.4)]
+    v = np.concatenate([*groups, r.standard_normal((300, 64))])
+    got, wanted = linked_vectors(spark, v)
+    assert got == wanted and sum(asked) == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/x">x</a></ul></nav>
 <div class="cookie-notice">We use</div><article><h1>Head &amp; more</h1><p><b>First  line<br>second<p>Third &lt;tag&gt; &copy;</p><aside>no</aside><div class="comments"><p>hey</p></div>
 <form>f</form><ul><li>a<li>b</ul></article><footer>foot</footer>"""
@@ -299,6 +399,70 @@ def test_site_template(spark):
     assert got[0] == prose(0, 9) and got[100] == "Join our club\n\nsame" and got[200] == f"{prose(0, 9)}\n\ncommon"
 
 
+TEXT = "<p>One two three.</p><p>Four five six.</p>"
+KEPT = "One two three.\n\nFour five six."
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f'<div class="content with-sidebar">{TEXT}</div>', KEPT),
+        (f'<div class="container no-sidebar">{TEXT}</div>', KEPT),
+        (f'<article class="post has-comments">{TEXT}</article>', KEPT),
+        (f'<article>{TEXT}<section class="menu"><p>Soup 3</p><p>Fish 9</p></section></article>', f"{KEPT}\n\nSoup 3\n\nFish 9"),
+        (f'<article><div class="main-menu"><ul><li><a href=x>Home</a><li><a href=y>About</a></ul></div>{TEXT}</article>', KEPT),
+        ("<p data-x=Tom's>First text isn't here</p><p>x</p>", "First text isn't here\n\nx"),
+        ('<p title="a hidden gem" data-y="a>b">shown</p>', "shown"),
+        ('<p>Read <span class="share">share me</span>the news</p>', "Read the news"),
+        ('<p>Read <span class="ad">buy <span>now</span> or never</span>the news</p>', "Read the news"),
+        ('<p>Read <span class="ad">the news</p><p>on</p>', "Read the news\n\non"),
+        (f'<article><h1>T</h1>{TEXT}<div class="comments"><article class="comment"><p>{"hey " * 50}</p></article></div></article>', f"T\n\n{KEPT}"),
+        (f'<div class="comments"><article class="comment"><p>c</p></article></div><article>{TEXT}</article>', KEPT),
+        (f'<div class="page sidebar-right"><h1>T</h1>{TEXT}</div><div class="sidebar"><p>a</p></div>', f"T\n\n{KEPT}"),
+        (f'<form id="aspnet"><h1>T</h1>{TEXT}</form>', f"T\n\n{KEPT}"),
+        (f"<form><input><p>Sign</p></form>{TEXT}", KEPT),
+        (f"<article><header><div><h1>Title</h1></div><p>by me</p></header>{TEXT}</article>", f"Title\n\n{KEPT}"),
+        (f'<div class="cookie-consent"><p>We use cookies.</p></div>{TEXT}<div hidden><p>no</p></div><div role="navigation">n</div>', KEPT),
+    ],
+)
+def test_names_are_hints(page, text):
+    blocks, nodes = html.parse(page)
+    assert html.main_text(blocks, nodes, set()) == text
+
+
+def test_long_pages_take_linear_time():
+    import time
+
+    for page in ("<ul><li>x", "<div>x", "<p>a <span class=ad>x", "<p class=\"x", "<script>"):
+        began = time.time()
+        html.parse(page * 12_000)
+        assert time.time() - began < 4
+
+
+def test_templates_by_count(spark):
+    """A box that rotates, a small site's box, copies of a page, and the way for more template subtrees than are broadcast."""
+    rows = [(i, "http://big.example/x", f"<article><p>{prose(i, 9)}</p><div><b>variant {i % 5}</b></div></article>") for i in range(600)]
+    rows += [(1000 + i, "http://small.example/x", f"<article><p>{prose(i, 8)}</p><div>club</div></article>") for i in range(4)]
+    rows += [(2000 + i, "http://copy.example/x", "<article><p>one</p><div>own</div></article>") for i in range(40)]
+    rows += [(3000, "http://big.example/y", None), (3001, None, "<p>x</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert all(got[i] == prose(i, 9) for i in range(600)) and all(got[1000 + i] == prose(i, 8) for i in range(4))
+    assert got[2000] == "one\n\nown" and got[3000] == "" and got[3001] == "x"
+    assert {r.page_id: r.text for r in html.extract(df, exact=0).collect()} == got
+    # brute force: in how many pages of a host each box is
+    seen = defaultdict(set)
+    for i, url, page in rows:
+        blocks, nodes = html.parse(page)
+        html.hash_subtrees(url.split("/")[2] if url else "", nodes)
+        for n in html.candidates(blocks):
+            seen[n.key].add(nodes[0].key)
+    kept = html.Scratch()
+    slim = df.select(html.host_of(F.col("url")).alias("host"), "html")
+    keys = {r.key % (1 << 64) for r in html.template_keys(slim, kept).collect()}
+    assert keys == {k for k, p in seen.items() if len(p) >= 100 or (3 <= len(p) < 10)}
+
+
 def test_toxicity_learns(spark):
     r = random.Random(2)
     bad = ["idiot", "scum", "loweiabc", "loweixyz", "loweiqq"]
@@ -317,6 +481,24 @@ def test_toxicity_learns(spark):
     assert right >= 0.9 * len(held) and got[1000] == got[1001] < 0.5 and got[1002] > got[1000]
 
 
+def test_the_toxicity_sample_is_bounded(spark, monkeypatch):
+    """Repeated ids count once, ids with two labels not at all, and the texts' bytes have a limit."""
+    seen = {}
+    monkeypatch.setattr(toxicity.Network, "fit", lambda self, texts, labels: seen.update(texts=texts, labels=labels.tolist()))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, "x" * (10 + i % 3), "q") for i in ids for _ in range(3)] + [(None, "n", "q"), (ids[0], None, "q")], "doc_id long, text string, toxic string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[1], 1 - ids[1] % 2), (None, 1), (ids[2], 7)], "doc_id long, toxic int")
+    toxicity.fit(docs.drop("toxic"), labels)
+    assert len(seen["texts"]) == len(ids) - 1 and set(seen["labels"]) == {0, 1}
+    toxicity.fit(docs.drop("toxic"), labels, most_bytes=300)
+    assert 200 < sum(map(len, seen["texts"])) <= 300
+    toxicity.fit(docs.drop("toxic"), labels, sample=7)
+    assert len(seen["texts"]) == 7
+    net = toxicity.Network()
+    assert toxicity.score_documents(docs.limit(0), net).count() == 0 and toxicity.fit(docs.drop("toxic"), labels.limit(0)) is not None
+    assert toxicity.score_documents(docs.withColumn("score", F.lit("s")), net).count() == docs.count()
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 31, 32, 33, 48, 49, 200):
         win, owner = toxicity.windows_of([list(range(1, n + 1))])
@@ -374,6 +556,43 @@ def test_repeated_passages(spark, docs, length, head):
     assert dict(got) == repeated_words(rows, length)
 
 
+def test_passages_with_odd_rows(spark):
+    """Null ids stay null beside a real -1, equal rows are one document, and runs over many partitions are one."""
+    a, b = prose(11, 55), prose(12, 120)
+    rows = [(None, a), (-1, a), (5, b), (5, b), (6, "x " + b)] + [(100 + i, f"left{i} " * 9 + a + f" right{i}" * 9) for i in range(60)] + [(1000 + i, b) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = suffixes.repeated_spans(df).collect()
+    assert Counter((r.doc_id, r.is_first) for r in got if r.doc_id in (None, -1)) == {(None, True): 1, (-1, False): 1}
+    firsts = [r for r in got if r.is_first]
+    assert {(r.doc_id, r.n_words) for r in firsts} == {(None, 55), (5, 120)}
+    assert sum(r.n_words == 120 for r in got) == 302 and sum(r.n_words == 55 for r in got) == 62
+    assert suffixes.cut_repeats(df.selectExpr("doc_id", "text", "'en' as lang", "cast(length(text) as long) as n_chars")).filter("doc_id is null").count() == 1
+
+
+def test_suffixes_are_kept_alike(spark):
+    """Vectorised suffixes against a plain loop over passages."""
+    import pyarrow as pa
+
+    r = random.Random(9)
+    texts = [" ".join(r.choice("abc") + str(r.randrange(9)) for _ in range(r.randrange(0, 160))) for _ in range(30)] + [None, "", "x " * 70]
+    k = suffixes.Kept(pa.array(texts), 20, 6)
+    got = [(int(a), int(b), int(c)) for a, b, c in zip(k.row, k.first, k.last, strict=True)]
+    wanted = []
+    for row, t in enumerate(texts):
+        w = (t or "").split()
+        h, _ = suffixes.word_hashes(pa.array([t]), False)
+        total, last = suffixes.sums(h), None
+        for i in range(len(w) - 19):
+            heads = [int(suffixes.span(total, np.array([i + j]), np.array([i + j + 6]))[0]) for j in range(15)]
+            at = i + heads.index(min(heads))
+            if at == last:
+                wanted[-1] = (row, wanted[-1][1], i)
+            else:
+                wanted.append((row, i, i))
+            last = at
+    assert got == wanted
+
+
 def test_passages_are_cut_once(spark, docs):
     left = {r.doc_id: r for r in suffixes.cut_repeats(docs.select("doc_id", "text", "lang", "source", "n_chars")).collect()}
     assert all(r.n_chars == len(r.text) for i, r in left.items() if r.text and i < 50)
@@ -383,11 +602,49 @@ def test_passages_are_cut_once(spark, docs):
     assert suffixes.cut_repeats(empty(spark)).count() == 0
 
 
-def test_targets():
-    got = mixing.targets([("a", 100), ("b", 100), ("c", 100), (None, 100)])
-    # weights 5, 2, 1, 5 of 600: a and null would get 231 and stop at 200; b and c share the other 200 as 2 to 1
-    assert got == pytest.approx({"a": 200, None: 200, "b": 400 / 3, "c": 200 / 3})
-    assert mixing.targets([("a", 0), ("b", 10)]) == {"a": 0.0, "b": 15.0}
+def brute_targets(sizes):
+    """Shares by weight, those over twice the size refilled by the rest, a round at a time."""
+    order = sorted(sizes, key=lambda x: (x is None, (x or "").encode()))
+    weight, left, open_, found = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}, 1.5 * sum(sizes.values()), set(sizes), {}
+    while open_:
+        total = sum(weight[s] for s in open_)
+        over = {s for s in open_ if left * weight[s] / total > 2 * sizes[s]}
+        found |= {s: 2.0 * sizes[s] for s in over} if over else {s: left * weight[s] / total for s in open_}
+        left -= sum(2.0 * sizes[s] for s in over)
+        open_ = open_ - over if over else set()
+    return found
+
+
+def test_targets(spark):
+    r = random.Random(5)
+    many = {f"host{i}": r.randrange(1, 4000) for i in range(300)} | {None: 50, "é": 7, "": 9}
+    for sizes in ({"a": 100, "b": 100, "c": 100, None: 100}, {"a": 0, "b": 10}, many, {}):
+        t = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        assert {x.source: x.target for x in mixing.targets(t).collect()} == pytest.approx(brute_targets(sizes))
+
+
+def test_rounding_keeps_fractions_in_expectation():
+    import pandas as pd
+
+    base = pd.DataFrame({"source": "a", "doc_id": range(9), "size": [50, 7, 30, 9, 12, 80, 3, 22, 41], "frac": [0.3] * 9})
+    taken, words = np.zeros(9), []
+    for k in range(4000):
+        keys = [int(x) for x in np.random.default_rng(k).integers(-(1 << 62), 1 << 62, 9)]
+        out = mixing.pivot(base.assign(key=keys)).sort_values("doc_id")
+        p = out["frac"].to_numpy()
+        assert ((p > 0) & (p < 1)).sum() <= 1
+        words.append((p * out["size"]).sum())
+        taken += p
+    assert np.allclose(words, 0.3 * base["size"].sum()) and np.abs(taken / 4000 - 0.3).max() < 0.03
+
+
+def test_mixing_repeated_rows(spark):
+    """A row that is there many times is one row to the blocks; each of its copies comes back."""
+    rows = spark.range(30_000).selectExpr("cast(if(id < 25000, null, id) as long) as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "cast(if(id < 25000, 10, id % 90) as long) as n")
+    got = mixing.mix(rows, F.col("n"), block=50, fan=3)
+    by = {r.source: r for r in got.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("copies").alias("most")).collect()}
+    assert {s: r.rows for s, r in by.items()} == {"a": 10_000, "b": 20_000}
+    assert all(abs(r.taken - r.target) <= 45 and r.most <= 2 for r in by.values())
 
 
 def test_mixing(spark, docs):

@@ -6,59 +6,45 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import Marks, Scratch, bounded, read
 from .components import components
+from .words import _GOLD, mix, parts, span, sums, word_hashes
 
-#: Ids that may be needed again are marked in a bitmap of so many bits (1 MB, whatever the input).
-MARKS = 1 << 23
 #: Segments beyond the pigeonhole's number, as a part of it: they stand in for segments left out.
-SLACK = 1.0
+SLACK = 0.25
+#: Signatures of a set, the least ones, by which a pair that met before is told.
+FIRST = 16
 #: Classes that a task remembers, so that it signs copies once.
 SEEN = 200_000
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def shingle_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-word shingles of each text as hashes, sorted; where each text's begin; a key of its words.
+
+    Words are lower-cased (A-Z) runs of non-white characters. A shorter text is one shingle, a text without words none.
+    """
+    h, first = word_hashes(column, True)
+    count = np.diff(first)
+    k = np.minimum(n, count)
+    sets = np.where(count > 0, count - k + 1, 0)
+    begin = np.concatenate([[0], np.cumsum(sets)])
+    owner = np.repeat(np.arange(len(count)), sets)
+    at = np.arange(begin[-1]) - begin[owner] + first[owner]
+    own = k[owner]
+    s = own.astype(np.uint64)
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * _M1
-        x = (x ^ (x >> np.uint64(27))) * _M2
-        return x ^ (x >> np.uint64(31))
-
-
-class Shingler:
-    """Sets of hashed n-word shingles: words are lower-cased (A-Z) runs of non-white characters."""
-
-    def __init__(self, n: int):
-        self.n, self.known = n, {}
-
-    def hashes(self, text: str | None) -> np.ndarray:
-        """64-bit hashes of the words in order."""
-        found, known, new = (text or "").encode("utf-8").lower().split(), self.known, xxhash.xxh3_64_intdigest
-        if len(known) > 1_000_000:
-            known.clear()
-        out = []
-        for w in found:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = new(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
-
-    def shingles(self, text: str | None) -> np.ndarray:
-        """The distinct shingles, sorted; a shorter text is one shingle, a text without words none."""
-        h = self.hashes(text)
-        if not len(h):
-            return h
-        k = min(self.n, len(h))
-        with np.errstate(over="ignore"):
-            s = np.full(len(h) - k + 1, np.uint64(k))
-            for i in range(k):
-                s = _mix(s * np.uint64(0x9E3779B97F4A7C15) + h[i : i + len(s)])
-        return np.unique(s)
+        for i in range(n):
+            s = np.where(i < own, mix(s * _GOLD + h[np.minimum(at + i, len(h) - 1)]), s)
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        s[a:b].sort()
+    fresh = np.ones(len(s), dtype=bool)
+    fresh[1:] = s[1:] != s[:-1]
+    fresh[begin[:-1][sets > 0]] = True
+    total = sums(mix(h))
+    return s[fresh], np.concatenate([[0], np.cumsum(fresh)])[begin], span(total, first[:-1], first[1:]).view(np.int64)
 
 
 class Bands:
@@ -75,6 +61,7 @@ class Bands:
         while self.edges[-1] < 1 << 40:
             self.edges.append(max(self.edges[-1] + 1, -(-self.edges[-1] * 100 // percent)))
         self.first = np.array(self.edges)
+        self.differences = np.array([self.differ(g) for g in range(len(self.edges) - 1)])
 
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.first, size, side="right")) - 1
@@ -99,56 +86,51 @@ def signatures(members: np.ndarray, group: int, bands: Bands) -> tuple[np.ndarra
     """
     h = bands.differ(group)
     with np.errstate(over="ignore"):
-        spun = _mix(members + np.uint64(group + 1))
+        spun = mix(members + np.uint64(group + 1))
         if h == 0:
-            return _mix(np.array([spun.sum(dtype=np.uint64)], dtype=np.uint64) + np.uint64(group * 8 + 1)), np.full(1, -1, np.int32)
+            return mix(np.array([spun.sum(dtype=np.uint64)], dtype=np.uint64) + np.uint64(group * 8 + 1)), np.full(1, -1, np.int32)
         m = math.ceil((1 + bands.slack) * (h + 1))
         seg = (members % np.uint64(m)).astype(np.int64)
         count = np.bincount(seg, minlength=m)
         order = np.argsort(seg, kind="stable")
         full = np.add.reduceat(np.append(spun[order], np.uint64(0)), np.minimum(np.cumsum(count) - count, len(seg)))
         good = np.flatnonzero(count)
-        out = _mix(_mix(full[good] + good.astype(np.uint64)) + np.uint64(group * 8 + 2))
+        out = mix(mix(full[good] + good.astype(np.uint64)) + np.uint64(group * 8 + 2))
         if len(good) >= h + 1:
             return out, np.full(len(out), len(out) - h - 1, np.int32)
         m = h // 2 + 1
-        seg = (_mix(members) % np.uint64(m)).astype(np.int64)
+        seg = (mix(members) % np.uint64(m)).astype(np.int64)
         full = np.zeros(m, dtype=np.uint64)
         np.add.at(full, seg, spun)
-        whole = _mix(_mix(full + np.arange(m, dtype=np.uint64)) + np.uint64(group * 8 + 3))
-        less = _mix(_mix(full[seg] - spun + seg.astype(np.uint64)) + np.uint64(group * 8 + 3))
+        whole = mix(mix(full + np.arange(m, dtype=np.uint64)) + np.uint64(group * 8 + 3))
+        less = mix(mix(full[seg] - spun + seg.astype(np.uint64)) + np.uint64(group * 8 + 3))
         out = np.concatenate([out, whole, less])
         return out, np.full(len(out), -1, np.int32)
 
 
-def _marked(keys: DataFrame) -> np.ndarray:
-    """A bitmap of MARKS bits in which the keys' bits are set: a filter of fixed size that lets some others pass."""
-    bit = F.pmod("key", F.lit(MARKS)) + 1  # the built-in bitmaps count from 1
-    rows = keys.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()
-    out = np.zeros(MARKS // 8 + 4096, dtype=np.uint8)
-    for r in rows:
-        out[(r["n"] - 1) * 4096 : r["n"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
-
-
-def _is_marked(bits: np.ndarray, key: int) -> bool:
-    at = key % MARKS
-    return bool(bits[at >> 3] >> (at & 7) & 1)
-
-
-def _split(batches, rows: int = 500):
-    for b in batches:
-        for k in range(0, b.num_rows, rows):
-            yield b.slice(k, rows)
-
-
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8").lower().split()
-
-
-def _key(text: str | None) -> int:
-    """Equal word sequences have equal keys."""
-    return int.from_bytes(xxhash.xxh3_64_digest(b" ".join(_words(text))), "big", signed=True)
+def sign_sets(members: np.ndarray, begin: np.ndarray, group: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """signatures() of many sets at once, each in its group: the entries, the set of each, and what each may leave out."""
+    size = np.diff(begin)
+    h = bands.differences[group]
+    m = np.ceil((1 + bands.slack) * (h + 1)).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(m)])
+    owner = np.repeat(np.arange(len(size)), size)
+    with np.errstate(over="ignore"):
+        spun = mix(members + (group + 1).astype(np.uint64)[owner])
+        seg = base[owner] + (members % m.astype(np.uint64)[owner]).astype(np.int64)
+        full = np.zeros(base[-1], dtype=np.uint64)
+        np.add.at(full, seg, spun)
+        good = np.flatnonzero(np.bincount(seg, minlength=base[-1]))
+        of = np.searchsorted(base, good, side="right") - 1
+        held = np.bincount(of, minlength=len(size))
+        plain = (h > 0) & (held >= h + 1)
+        keep = plain[of]
+        good, of = good[keep], of[keep]
+        out = mix(mix(full[good] + (good - base[of]).astype(np.uint64)) + (group[of] * 8 + 2).astype(np.uint64))
+    room = (held - h - 1)[of]
+    more = [signatures(members[begin[i] : begin[i + 1]], int(group[i]), bands) for i in np.flatnonzero(~plain)]
+    rest = [np.full(len(x), i) for i, (x, _) in zip(np.flatnonzero(~plain), more, strict=True)]
+    return np.concatenate([out, *[x for x, _ in more]]), np.concatenate([of, *rest]), np.concatenate([room, *[r for _, r in more]])
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
@@ -167,70 +149,72 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     64-bit shingle hashes. Texts are hashed anew where they are needed and never shuffled. A
     smaller slack writes fewer signatures and leaves more pairs to compare; the result is the same.
     """
-    bands, send = Bands(percent, slack), docs.sparkSession.sparkContext.broadcast
+    bounded(docs.sparkSession)
+    bands, send, kept = Bands(percent, slack), docs.sparkSession.sparkContext.broadcast, Scratch()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def index(batches):
-        sh = Shingler(n)
-        for b in _split(batches):
-            found = b.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(sh.shingles(x)) for x in found], pa.int64()), pa.array(map(_key, found), pa.int64())], names=["id", "n_shingles", "key"])
+        for b in parts(batches):
+            _, begin, key = shingle_sets(b.column("text"), n)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.diff(begin)), pa.array(key)], names=["id", "n_shingles", "key"])
 
-    rows = materialize(texts.mapInArrow(index, "id long, n_shingles long, key long"), "jaccard-rows")
-    classes = materialize(rows.filter("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "jaccard-classes")
+    rows = kept.save(texts.mapInArrow(index, "id long, n_shingles long, key long"), "jaccard-rows")
+    classes = kept.save(rows.filter("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "jaccard-classes")
 
     def sign(batches):
-        sh, seen = Shingler(n), set()
-        for b in _split(batches):
-            out = []
-            for text in b.column("text").to_pylist():
-                key = _key(text)
-                if key in seen:
-                    continue  # a copy; those that other tasks sign meet in the sort by signature
-                if len(seen) > SEEN:
-                    seen.clear()
-                seen.add(key)
-                s = sh.shingles(text)
-                if len(s):
-                    g = bands.of(len(s))
-                    for x in (g, g + 1):
-                        found, room = signatures(s, x, bands)
-                        out.append((found.view(np.int64), np.full(len(found), key), np.full(len(found), x, np.int16), room, np.full(len(found), x > g)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["sig", "key", "band", "room", "guest"])
-
-    signed = texts.select("text").mapInArrow(sign, "sig long, key long, band short, room int, guest boolean")
+        seen = set()
+        for b in parts(batches):
+            members, begin, key = shingle_sets(b.column("text"), n)
+            size = np.diff(begin)
+            fresh = []
+            for i in np.flatnonzero(size):
+                if (k := int(key[i])) not in seen:  # copies that other tasks sign meet in the sort by signature
+                    if len(seen) > SEEN:
+                        seen.clear()
+                    seen.add(k)
+                    fresh.append(i)
+            if not fresh:
+                continue
+            fresh = np.array(fresh)
+            members = np.concatenate([members[begin[i] : begin[i + 1]] for i in fresh])
+            begin, group = np.concatenate([[0], np.cumsum(size[fresh])]), np.searchsorted(bands.first, size[fresh], side="right") - 1
+            for guest in (0, 1):
+                found, of, room = sign_sets(members, begin, group + guest, bands)
+                info = ((group + guest)[of] * 2 + guest << 32) + room + 1
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(key[fresh][of]), pa.array(info)], names=["sig", "key", "info"])
+
+    signed = texts.select("text").mapInArrow(sign, "sig long, key long, info long")
     same = Window.partitionBy("sig").orderBy("key")
     near = signed.withColumns({"before": F.lag("key").over(same), "after": F.lead("key").over(same)})
-    shared = near.filter((F.col("before") != F.col("key")) | (F.col("after") != F.col("key"))).select("sig", "key", "band", "room", "guest").distinct()
-    shared = materialize(shared, "jaccard-met")
+    shared = near.filter((F.col("before") != F.col("key")) | (F.col("after") != F.col("key"))).select("sig", "key", "info").distinct()
+    plain = {"band": "cast(shiftright(info, 33) as int)", "guest": "(shiftright(info, 32) & 1) = 1", "room": "cast(info & 4294967295L as int) - 1"}
+    met = kept.save(shared.select("sig", "key", *[F.expr(e).alias(c) for c, e in plain.items()]), "jaccard-met")
     # the costs: how many classes share a signature; the costliest `room` of each set are left out
-    cost = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("k"))
+    cost = met.groupBy("sig").agg(F.count(F.lit(1)).alias("k"))
     own = Window.partitionBy("key", "band")
-    ranked = shared.join(cost, "sig").withColumns({"rank": F.row_number().over(own.orderBy("k", "sig")), "n": F.count(F.lit(1)).over(own)})
+    ranked = met.join(cost, "sig").withColumns({"rank": F.row_number().over(own.orderBy("k", "sig")), "n": F.count(F.lit(1)).over(own)})
     # an end of `n - room` of the cheapest stays: those that no other class has come first and are not here
     left = ranked.filter((F.col("room") < 0) | (F.col("rank") <= F.col("n") - F.col("room"))).select("sig", "key", "band", "guest")
-    shared = materialize(left.join(left.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("sig"), "sig"), "jaccard-shared")
+    shared = kept.save(left.join(left.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("sig"), "sig"), "jaccard-shared")
+    kept.drop(met)
 
     sizes = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("k"))
     weight = shared.join(sizes, "sig").groupBy("key").agg(F.sum("k").alias("weight"))
     hubs = shared.join(weight, "key").groupBy("sig").agg(F.max(F.struct("weight", "key"))["key"].alias("hub"))
     stars = shared.join(hubs, "sig").filter("key <> hub").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-    stars = materialize(stars, "jaccard-stars")
+    stars = kept.save(stars, "jaccard-stars")
 
-    wanted = send(_marked(shared.select("key")))
+    wanted = send(Marks(shared.select("key").distinct()))
 
     def sets(batches):
-        sh, bits = Shingler(n), wanted.value
-        for b in _split(batches):
-            found = [(k, x) for x in b.column("text").to_pylist() if _is_marked(bits, k := _key(x))]
-            members = [sh.shingles(x).view(np.int64) for _, x in found]
-            if found:
-                ends = np.cumsum([0, *map(len, members)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(members)))], names=["key", "members"])
+        for b in parts(batches):
+            members, begin, key = shingle_sets(b.column("text"), n)
+            hit = wanted.value.hit(key) & (np.diff(begin) > 0)
+            lists = pa.LargeListArray.from_arrays(pa.array(begin), pa.array(members.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(key), lists.cast(pa.list_(pa.int64()))], names=["key", "members"]).filter(pa.array(hit))
 
     members = texts.select("text").mapInArrow(sets, "key long, members array<long>")
-    members = materialize(members.join(shared.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "jaccard-members")
+    members = kept.save(members.join(shared.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "jaccard-members")
 
     def linked(pairs: DataFrame) -> DataFrame:
         x = members.select(F.col("key").alias("a"), F.col("members").alias("ma"))
@@ -238,27 +222,31 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
         both = F.size(F.array_intersect("ma", "mb"))
         return pairs.join(x, "a").join(y, "b").filter(100 * both >= percent * (F.size("ma") + F.size("mb") - both)).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
-    edges = materialize(linked(stars), "jaccard-edges")
-    first = materialize(components(edges), "jaccard-first")
+    edges = kept.save(linked(stars), "jaccard-edges")
+    first = components(edges, kept)
     placed = shared.join(first, shared["key"] == first["id"], "left").select("sig", "key", "band", "guest", F.coalesce("component_id", "key").alias("c"))
     mixed = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("sig")
     rest = placed.join(mixed, "sig")
     # members that no other candidate has are in no intersection, and in every union
     lone = members.select("key", F.explode("members").alias("m")).groupBy("m").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("k")).filter("k = 1").groupBy("key").agg(F.count(F.lit(1)).alias("lone"))
     sizes = members.select("key", F.size("members").alias("n")).join(lone, "key", "left").select("key", "n", F.coalesce("lone", F.lit(0)).alias("lone"))
-    lists = shared.groupBy("key", "band").agg(F.collect_list("sig").alias("sigs"))  # at most what a set keeps in a group
-    rest = materialize(rest.join(sizes, "key").filter(f"100 * (n - lone) >= {percent} * n").join(lists, ["key", "band"]), "jaccard-rest")
-    x, y = (rest.select("sig", *[F.col(c).alias(f"{c}_{i}") for c in ("key", "c", "guest", "n", "lone", "sigs")]) for i in "ab")
+    rest = kept.save(rest.join(sizes, "key").filter(f"100 * (n - lone) >= {percent} * n"), "jaccard-rest")
+    least = Window.partitionBy("key", "band").orderBy("sig")  # what a set keeps in a group
+    firsts = rest.select("key", "band", "sig").withColumn("r", F.row_number().over(least)).filter(F.col("r") <= FIRST).groupBy("key", "band").agg(F.collect_list("sig").alias("firsts"))
+    rest = rest.join(kept.save(firsts, "jaccard-firsts"), ["key", "band"])
+    x, y = (rest.select("sig", *[F.col(c).alias(f"{c}_{i}") for c in ("key", "c", "guest", "n", "lone", "firsts")]) for i in "ab")
     top = "least(n_a - lone_a, n_b - lone_b)"
-    # two guests meet in their own group; a pair is made at the first of its common signatures only
-    fit = f"key_a < key_b and c_a <> c_b and not (guest_a and guest_b) and 100 * {top} >= {percent} * greatest(n_a + lone_b, n_b + lone_a) and 100 * {top} >= {percent} * (n_a + n_b - {top}) and sig = array_min(array_intersect(sigs_a, sigs_b))"
+    # two guests meet in their own group; a pair isn't made again where both have a common signature among their first ones
+    fit = f"key_a < key_b and c_a <> c_b and not (guest_a and guest_b) and 100 * {top} >= {percent} * greatest(n_a + lone_b, n_b + lone_a) and 100 * {top} >= {percent} * (n_a + n_b - {top}) and not exists(array_intersect(firsts_a, firsts_b), s -> s < sig)"
     pairs = x.join(y, "sig").filter(fit).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    late = materialize(linked(pairs), "jaccard-late")
+    late = kept.save(linked(pairs), "jaccard-late")
+    kept.drop(shared, stars, members)
 
-    ends = components(edges.unionByName(late)).select(F.col("id").alias("key"), F.col("component_id").alias("c"))
+    ends = components(edges.unionByName(late), kept).select(F.col("id").alias("key"), F.col("component_id").alias("c"))
     least = classes.join(ends, "key").groupBy("c").agg(F.min("least").alias("component_id"))
     found = classes.join(ends.join(least, "c").select("key", "component_id"), "key", "left").select("key", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(found, "key", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    out = rows.join(found, "key", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    return kept.result(out, "jaccard-groups")
 
 
 def op6_jaccard_join(spark, sf_dir):
