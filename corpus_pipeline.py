@@ -17,8 +17,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, 0.8) the document with the least id stays; rows without an id stay."""
     groups = jaccard.jaccard_groups(docs, n=5, percent=80)
-    drop = groups.filter("doc_id <> component_id").select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    return common.without(docs, groups.filter("doc_id <> component_id").select("doc_id").distinct())
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +25,27 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return suffixes.cut_repeats(docs)
 
 
+#: Sources whose rows all have the same number of copies are broadcast up to this number.
+EVEN = 10_000
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document is there as many times as the mix takes it, 0 to 2 times."""
-    mixed = mixing.mix(docs, mixing.word_count(F.col("text"))).filter("copies > 0")
-    mixed = mixed.groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    taken = docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return taken.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """Each document is there as many times as the mix takes it, 0 to 2 times.
+
+    Rows that repeat an id get the most copies of any of them. Sources of which all rows have the same number of copies, such as those at their cap, need no
+    join by id: only the rows of the other sources are shuffled.
+    """
+    mixed = mixing.mix(docs, mixing.word_count(F.col("text")))
+    per = mixed.groupBy(F.col("source").alias("__s")).agg(F.min("copies").alias("__least"), F.max("copies").alias("__all")).filter("__least = __all").drop("__least")
+    per = F.broadcast(per.orderBy(F.xxhash64("__s"), "__s").limit(EVEN))  # rows of a source that isn't in it are joined by id
+    of = lambda source: F.col(source).eqNullSafe(F.col("__s"))
+    dealt = docs.withColumn("__source", F.col("source")).join(per, of("__source"), "left")
+    even = dealt.filter("__all > 0").select(*docs.columns, F.col("__all").alias("__copies"))
+    rest = mixed.join(per, of("source"), "left").filter("__all is null and copies > 0")
+    rest = rest.groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
+    odd = dealt.filter("__all is null").select(*docs.columns).join(rest, F.col("doc_id").eqNullSafe(F.col("__id"))).select(*docs.columns, "__copies")
+    taken = even.unionByName(odd)
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__mix_n")).select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+import zlib
 from array import array
 from bisect import bisect_right
 from functools import lru_cache
@@ -182,10 +183,10 @@ def _bytes_to_symbols() -> list[str]:
 
 
 class Tokenizer:
-    """Normalisation, pre-tokenization and the automaton of one tokenizer file."""
+    """Normalisation, pre-tokenization and the automaton of one tokenizer file (its text)."""
 
-    def __init__(self, path: str):
-        spec = json.load(open(path, encoding="utf-8"))
+    def __init__(self, file: bytes):
+        spec = json.loads(file)
         model = spec["model"]
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges)
@@ -253,20 +254,27 @@ class Tokenizer:
         return " ".join([labels[i] for i in ids])
 
 
+@lru_cache(maxsize=1)
+def compiled(packed: bytes) -> Tokenizer:
+    """The tokenizer of a compressed file, compiled once in each worker."""
+    return Tokenizer(zlib.decompress(packed))
+
+
 def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Add `ids`, the whole text's token ids, and `decoded`, the text of those ids read back.
 
     keep names the columns to carry (doc_id if none are given). A null text counts as empty and has
     no ids and an empty decoded text. Each row stands for itself: no shuffle, rows of any order. The file is
-    read and compiled once, on the driver; the table, of a size that depends on the vocabulary alone, is broadcast.
+    read on the driver and broadcast (compressed, under a megabyte); each worker compiles its table once, of a size that depends on the vocabulary alone.
     """
     bounded(docs.sparkSession)
     keep = keep or ["doc_id"]
     fields = docs.select(*keep).schema
-    sent = docs.sparkSession.sparkContext.broadcast(Tokenizer(path))
+    with open(path, "rb") as f:
+        sent = docs.sparkSession.sparkContext.broadcast(zlib.compress(f.read()))
 
     def run(batches):
-        t = sent.value
+        t = compiled(sent.value)
         for b in parts(batches, "__text"):
             offsets, ids = t.encode_batch(b.column("__text").to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))

@@ -107,6 +107,30 @@ class Marks:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 1
 
 
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs but for the rows whose id is in `ids` (one column, id_col); rows without an id stay.
+
+    Rows that a bitmap of the ids doesn't mark pass as they are; only the marked ones are shuffled and joined with the ids.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    bounded(docs.sparkSession)
+    marks = docs.sparkSession.sparkContext.broadcast(Marks(ids, id_col))
+
+    def part(marked: bool):
+        def run(batches):
+            for b in batches:
+                key = b.column(id_col).cast(pa.int64())
+                hit = marks.value.hit(pc.fill_null(key, 0).to_numpy(zero_copy_only=False)) & ~key.is_null().to_numpy(zero_copy_only=False)
+                yield b.filter(pa.array(hit == marked))
+
+        return run
+
+    rest = docs.mapInArrow(part(True), docs.schema).join(ids, id_col, "left_anti").select(*docs.columns)
+    return docs.mapInArrow(part(False), docs.schema).unionByName(rest)
+
+
 def words_of(text) -> "F.Column":
     """All words of a whole text; null gives an empty array."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
