@@ -362,6 +362,7 @@ def test_large_and_repeated_vectors(spark):
 def test_saturated_lists_grow(spark, monkeypatch, size):
     """Two groups larger than a list, joined by few links, are found by longer lists alone: nothing is compared with a whole label."""
     monkeypatch.setattr(neardup, "AUDIT", 0)
+    monkeypatch.setattr(neardup, "LONGEST", 80)
     monkeypatch.setattr(neardup, "LINKED", 0)
     asked = []
     scan = neardup.Audit.scan

@@ -11,7 +11,7 @@ from .common import Scratch, bounded, read
 from .components import components
 
 #: Length of a neighbour list at first and at most (a saturated list doubles), and sorted orders (each by its own random code) for the first lists.
-NEIGHBOURS, LONGEST, ORDERS, REACH = 10, 80, 10, 4
+NEIGHBOURS, LONGEST, ORDERS, REACH = 10, 20, 10, 4
 #: First vectors a label that the audit compares with all (eight times as many in each further step), the vectors
 #: with links that it must have seen before it trusts a label, and vectors in a block of the exact scan.
 AUDIT, LINKED, BLOCK = 256, 300, 1024
@@ -101,28 +101,31 @@ def _lists(edges: DataFrame, sizes: DataFrame | None) -> DataFrame:
 def descend(lists: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Neighbours of a common neighbour are compared with each other: at most 2k meet at one vertex.
 
-    A pair goes on if it is a link or better than the last entry of one of the two lists.
+    A pair goes on if it is a link or better than the last entry of one of the two lists. Links between two vertices whose lists are full
+    of links at LONGEST needn't: both are compared with all of their label later.
     """
+    longest = LONGEST
     size = lists.groupBy("a").agg(F.max("k").alias("k"), F.when(F.count(F.lit(1)) >= F.max("k"), F.min("sim")).otherwise(-2.0).alias("last"))
     back = Window.partitionBy("b").orderBy(F.desc("sim"), "a")
     reverse = lists.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= LONGEST).join(size.select(F.col("a").alias("b"), F.col("k").alias("kb")), "b").filter(F.col("r") <= F.col("kb")).select(F.col("b").alias("hub"), F.col("a").alias("key"))
     at = lists.select(F.col("a").alias("hub"), F.col("b").alias("key")).unionByName(reverse).distinct()
-    met = at.join(classes.select("key", "vec").join(size.select(F.col("a").alias("key"), "last"), "key"), "key").groupBy("hub").agg(F.collect_list("key").alias("keys"), F.collect_list("vec").alias("vecs"), F.collect_list("last").alias("lasts"))
+    met = at.join(classes.select("key", "vec").join(size.select(F.col("a").alias("key"), "last", ((F.col("k") >= longest) & (F.col("last") >= threshold)).alias("done")), "key"), "key")
+    met = met.groupBy("hub").agg(F.collect_list("key").alias("keys"), F.collect_list("vec").alias("vecs"), F.collect_list("last").alias("lasts"), F.collect_list("done").alias("dones"))
 
     def compare(batches):
         for b in batches:
             a, c, s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-            keys, vecs, lasts = b.column("keys"), b.column("vecs"), b.column("lasts")
+            keys, vecs, lasts, dones = (b.column(c) for c in ("keys", "vecs", "lasts", "dones"))
             for r in range(b.num_rows):
                 key, m, low = keys[r].values.to_numpy(), _matrix(vecs[r].values), lasts[r].values.to_numpy()
-                sim = m @ m.T
-                i, j = np.nonzero(np.triu((sim >= threshold) | (sim > np.minimum(low[:, None], low[None, :])), 1))
+                sim, done = m @ m.T, dones[r].values.to_numpy(zero_copy_only=False)
+                i, j = np.nonzero(np.triu(((sim >= threshold) & ~(done[:, None] & done[None, :])) | (sim > np.minimum(low[:, None], low[None, :])), 1))
                 a.append(key[i])
                 c.append(key[j])
                 s.append(sim[i, j])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (a, c, s)], names=["a", "b", "sim"])
 
-    return met.select("keys", "vecs", "lasts").mapInArrow(compare, "a long, b long, sim double")
+    return met.select("keys", "vecs", "lasts", "dones").mapInArrow(compare, "a long, b long, sim double")
 
 
 def saturated(lists: DataFrame, threshold: float) -> DataFrame:
