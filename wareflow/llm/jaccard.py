@@ -14,7 +14,7 @@ from .components import components
 from .words import _GOLD, mix, parts, span, sums, word_hashes
 
 #: Segments beyond the pigeonhole's number, as a part of it: they stand in for segments left out.
-SLACK = 0.25
+SLACK = 0.5
 #: Signatures of a set, the least ones, by which a pair that met before is told.
 FIRST = 16
 #: Classes that a task remembers, so that it signs copies once.
