@@ -75,7 +75,7 @@ def spliced(turns: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """Ids and mask of turns in order. Each turn's limits are shifted by the prefix sum of the lengths before it; the mask is the
     prefix sum of a step up where a text under the loss begins and a step down where it ends."""
     parts_ = [np.asarray(t["ids"], dtype=np.int32) for t in turns]
-    before = np.concatenate([[0], np.cumsum([len(p) for p in parts_])])
+    before = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(p) for p in parts_], dtype=np.int64)])
     step = np.zeros(before[-1] + 1, dtype=np.int8)
     np.add.at(step, before[:-1] + [t["loss_from"] for t in turns], 1)
     np.add.at(step, before[:-1] + [t["loss_to"] for t in turns], -1)

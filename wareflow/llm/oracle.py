@@ -67,4 +67,57 @@ def jaccard_sql() -> str:
  select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(v, w.doc_id)) as component_id from w left join n using (doc_id) left join least_of on u = w.doc_id"""
 
 
-ORACLE_SQL = {"op2_quality": quality_sql(), "op3_chat_format": chat_sql(), "op4_near_duplicates": vectors_sql(), "op6_jaccard_join": jaccard_sql()}
+def _crc_table() -> list[int]:
+    """The table of CRC-32 by bytes, from its polynomial."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+#: CRC-32 of the bytes of a string x, with the table as a column `crc`.
+_CRC = "xor(list_reduce(list_transform(range(1, len(hex(encode({x}))), 2), lambda i: ('0x' || substr(hex(encode({x})), i, 2))::bigint), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)"
+_CRC_TABLE = f"t as (select {_crc_table()}::bigint[] as crc)"
+
+
+def repair_sql() -> str:
+    """op11: row by row, the least (cost, audit, turns) that ends in each of four states: nothing yet, after s, after u, after a."""
+    last = r"right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1)"
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    full = {"u": "user", "a": "assistant"}
+    ways: dict[int, list[str]] = {q: [] for q in range(4)}
+    for q in range(4):
+        for ins in ("", "u", "a"):
+            if ins and (q, ins) not in step:
+                continue
+            at, i, paid, said = (step[q, ins], "I", 2, f", '{full[ins]}:'") if ins else (q, "", 0, "")
+            path = lambda cost, letter, turn, when, q=q, i=i, paid=paid, said=said: f"case when s{q} is not null and {when} then {{'c': s{q}.c + {paid} + {cost}, 'a': s{q}.a || '{i}{letter}', 'o': s{q}.o || [{', '.join(x for x in (said[2:], turn) if x)}]::varchar[]}} end"
+            ways[at].append(path("3", "D", "", "true"))
+            ok = "fault in ('-', 't')"
+            late = "(fault = 't')::int"
+            for r in "sua":
+                if (at, r) in step:
+                    ways[step[at, r]].append(path(late, "K", "role || ':' || text", f"{ok} and left(role, 1) = '{r}'"))
+            for x in "ua":
+                if (at, x) in step:
+                    ways[step[at, x]].append(path(f"2 + {late}", "R", f"'{full[x]}:' || text", ok))
+    kind = "struct(c bigint, a varchar, o varchar[])"
+    moves = ", ".join(f"list_min(list_filter([{', '.join(ways[q])}]::{kind}[], lambda x: x is not null))" for q in range(4))
+    ends = "list_min(list_filter([s0, s3, case when s2 is not null then {'c': s2.c + 2, 'a': s2.a || 'I', 'o': s2.o || ['assistant:']} end], lambda x: x is not null))"
+    key = "coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')"
+    return rf"""with recursive {_CRC_TABLE}, h as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_CRC.format(x=key)} % 20 as how from conversations, t),
+ d as (select conv_id, turn, case when how = 4 then 'user' else role end as role, case how when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(case when how = 3 then [0, 1] else [0] end) as again from h where how <> 0),
+ p as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos from d),
+ f as (select *, case when not regexp_matches(text, '[^ 	-]') then 'b' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'd' when {last} not in ('.', '!', '?') then 't' else '-' end as fault,
+  coalesce(left(lag(role) over (partition by conv_id order by pos), 1) || left(role, 1) not in ('su', 'ua', 'au'), false) as illegal from p),
+ m as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated, count(*) filter (illegal) as illegal from f group by 1),
+ r as (select conv_id, 0::bigint as pos, {{'c': 0, 'a': '', 'o': []}}::{kind} as s0, null::{kind} as s1, null::{kind} as s2, null::{kind} as s3 from (select distinct conv_id from conversations)
+  union all select f.conv_id, f.pos, {moves} from r join f on f.conv_id is not distinct from r.conv_id and f.pos = r.pos + 1),
+ e as (select conv_id, {ends} as x from (select conv_id, arg_max({{'s0': s0, 's2': s2, 's3': s3}}, pos) as s from r group by 1), lateral (select s.s0 as s0, s.s2 as s2, s.s3 as s3))
+ select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, x.c as cost, x.a as audit, sha256(array_to_string(x.o, chr(10))) as repaired_sha256
+ from e left join m on m.conv_id is not distinct from e.conv_id"""
+
+
+ORACLE_SQL = {"op2_quality": quality_sql(), "op3_chat_format": chat_sql(), "op4_near_duplicates": vectors_sql(), "op6_jaccard_join": jaccard_sql(), "op11_conversation_repair": repair_sql()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, html, jaccard, mixing, neardup, quality, sharding, suffixes, toxicity
+from . import bpe, chat, html, jaccard, mixing, neardup, quality, repair, sharding, suffixes, toxicity
 from .oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
@@ -16,4 +16,5 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_mixing": mixing.op10_mixing,
+    "op11_conversation_repair": repair.op11_conversation_repair,
 }
