@@ -110,7 +110,8 @@ def repair_sql() -> str:
     return rf"""with recursive {_CRC_TABLE}, h as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_CRC.format(x=key)} % 20 as how from conversations, t),
  d as (select conv_id, turn, case when how = 4 then 'user' else role end as role, case how when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(case when how = 3 then [0, 1] else [0] end) as again from h where how <> 0),
  p as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos from d),
- f as (select *, case when not regexp_matches(text, '[^ 	-]') then 'b' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'd' when {last} not in ('.', '!', '?') then 't' else '-' end as fault,
+ f as (select *, case when not regexp_matches(text, '[^ 	-
+]') then 'b' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'd' when {last} not in ('.', '!', '?') then 't' else '-' end as fault,
   coalesce(left(lag(role) over (partition by conv_id order by pos), 1) || left(role, 1) not in ('su', 'ua', 'au'), false) as illegal from p),
  m as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated, count(*) filter (illegal) as illegal from f group by 1),
  r as (select conv_id, 0::bigint as pos, {{'c': 0, 'a': '', 'o': []}}::{kind} as s0, null::{kind} as s1, null::{kind} as s2, null::{kind} as s3 from (select distinct conv_id from conversations)
@@ -120,4 +121,24 @@ def repair_sql() -> str:
  from e left join m on m.conv_id is not distinct from e.conv_id"""
 
 
-ORACLE_SQL = {"op2_quality": quality_sql(), "op3_chat_format": chat_sql(), "op4_near_duplicates": vectors_sql(), "op6_jaccard_join": jaccard_sql(), "op11_conversation_repair": repair_sql()}
+def spelling_sql() -> str:
+    """op12: words with equal remainders after a deletion; substitutions by the same place, insertions by the whole shorter word."""
+    run = "translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""with recursive {_CRC_TABLE}, o as (select doc_id, {run} as run from documents), g as (select doc_id, run, count(*) as k from o where length(run) >= 7 group by all),
+ h as (select run, k, {_CRC.format(x="(coalesce(doc_id::varchar, '') || ':' || run)")} as h from g, t), w as (select case when h % 31 = 0 then left(run, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word, k from h),
+ v as (select word, sum(k)::bigint as n from w where length(word) >= 7 group by 1 having sum(k) >= 2), c as (select word, i, left(word, i - 1) || substr(word, i + 1) as cut from (select word, unnest(range(1, length(word) + 1)) as i from v)),
+ p as (select a.word, b.word as near from c a join c b on a.i = b.i and a.cut = b.cut and a.word <> b.word union select c.word, v.word from c join v on v.word = c.cut union select v.word, c.word from c join v on v.word = c.cut),
+ q as (select p.word, count(*) as n_near, min({{'less': -b.n, 'form': near}}) as f from p join v b on b.word = near group by 1),
+ f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when -f.less >= 10 * v.n then f.form end as form, case when -f.less >= 10 * v.n then -f.less end as form_n from v left join q using (word)),
+ r as (select word, word as root, 0 as i from f union all select r.word, f.form, i + 1 from r join f on f.word = r.root where f.form is not null)
+ select f.word, form, e.root, n, n_near, form_n from f join (select word, arg_max(root, i) as root from r group by 1) e using (word)"""
+
+
+def warc_sql() -> str:
+    """op13: payloads compared by their digests."""
+    return """with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+ f as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from p)
+ select page_id, payload_bytes, payload_digest, case when first <> page_id then 'revisit' else 'response' end as record_type, case when first <> page_id then first end as refers_to from f"""
+
+
+ORACLE_SQL = {"op2_quality": quality_sql(), "op3_chat_format": chat_sql(), "op4_near_duplicates": vectors_sql(), "op6_jaccard_join": jaccard_sql(), "op11_conversation_repair": repair_sql(), "op12_spelling_variants": spelling_sql(), "op13_warc": warc_sql()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, html, jaccard, mixing, neardup, quality, repair, sharding, suffixes, toxicity
+from . import bpe, chat, html, jaccard, mixing, neardup, quality, repair, sharding, spelling, suffixes, toxicity, warc
 from .oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
@@ -17,4 +17,6 @@ QUERIES = {
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_mixing": mixing.op10_mixing,
     "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_warc": warc.op13_warc,
 }
