@@ -29,6 +29,7 @@ CHUNK = 1 << 20
 HEADER = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
+_NAME = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
 
 
 class ArchiveError(ValueError):
@@ -172,7 +173,7 @@ def _fields(lines: list[bytes], where: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for line in lines:
         name, colon, value = line.partition(b":")
-        if not colon or not name or name != name.strip():
+        if not colon or not _NAME.fullmatch(name):
             raise ArchiveError(f"{where}: no header line: {line[:80]!r}")
         key = name.decode("ascii", "replace").lower()
         if key in out:
