@@ -146,12 +146,3 @@ def test_running_sums_over_buckets(spark):
     rows = spark.createDataFrame([(k, t, i, i) for k in ("a", None) for i, t in enumerate([-5, 3, 3, 99, 100, 250, 1000])], "k string, t long, i int, v int")
     got = ledger.running(rows, ["k"], "t", ["t", "i"], ["v"], 100).collect()
     assert {(r.k, r.i): r.run_v for r in got} == {(k, i): i * (i + 1) // 2 for k in ("a", None) for i in range(7)}
-
-
-def test_patterns_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(joins, "PATTERNS", 1)
-    images = spark.createDataFrame([("u1", 0), ("u2", 1)], "url string, pos int")
-    wanted = spark.createDataFrame([("u.", True), ("u2", False)], "text string, pattern boolean")
-    assert {(r.text, r.pos) for r in joins.image_match(images, wanted).collect()} == {("u.", 0), ("u2", 1)}
-    with pytest.raises(ValueError):
-        joins.image_match(images, wanted.withColumn("pattern", F.lit(True)))

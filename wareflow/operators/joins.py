@@ -63,22 +63,106 @@ def backfill_color(skus: DataFrame) -> DataFrame:
     return skus.withColumn("color_id", F.coalesce(F.nullif("color_id", F.lit("")), F.last(F.nullif("color_id", F.lit("")), ignorenulls=True).over(w)))
 
 
-#: Patterns of C14 at most.
-PATTERNS = 1000
+#: Letters of a gram of C14 at most, and the parts that a gram's images are dealt to.
+GRAM, SALTS = 3, 32
+#: Escapes of a pattern that stand for a class, a place or an earlier group, and not for their letter.
+_NOT_LETTERS = set("dDwWsShHvVRXbBAzZGtnrfae0123456789")
+
+
+def required_grams(pattern: str | None) -> list[str]:
+    """Texts of GRAM letters at most that whatever a regular expression finds must hold; none if that isn't plain to see.
+
+    Only letters outside of groups and classes count, each without a quantifier that lets it go. An alternative outside of groups, a flag or an
+    escape that isn't known gives none.
+    """
+    runs, run, i, p = [], "", 0, pattern or ""
+
+    def end():
+        nonlocal run
+        runs.append(run)
+        run = ""
+
+    while i < len(p):
+        c = p[i]
+        if c == "|" or p.startswith("(?", i) and p[i + 2 : i + 3] not in (":", "=", "!", "<"):
+            return []
+        if c == "\\":
+            n = p[i + 1 : i + 2]
+            if n.isalnum() and n not in _NOT_LETTERS or not n or n == "0":
+                return []
+            if n.isalnum():
+                end()
+            else:
+                run += n
+            i += 2
+        elif c == "[" or c == "(":
+            end()
+            i = _closed(p, i)
+            if i < 0:
+                return []
+        elif c in "?*{":
+            run = run[:-1]
+            end()
+            i = p.find("}", i) + 1 if c == "{" else i + 1
+            if not i:
+                return []
+        elif c in "+.^$":
+            end()
+            i += 1
+        else:
+            run += c
+            i += 1
+    end()
+    return list(dict.fromkeys(r[k : k + GRAM] for r in runs if r for k in range(max(1, len(r) - GRAM + 1))))
+
+
+def _closed(p: str, at: int) -> int:
+    """Where a class or a group that begins at `at` has ended; -1 if it doesn't, or has a class in a class."""
+    if p[at] == "[":
+        i = at + 2 if p.startswith("[^", at) else at + 1
+        i += p.startswith("]", i)
+        while i < len(p) and p[i] != "]":
+            if p[i] == "[" or p.startswith("&&", i):
+                return -1
+            i += 2 if p[i] == "\\" else 1
+        return i + 1 if i < len(p) else -1
+    depth, i = 0, at
+    while i < len(p):
+        if p[i] == "\\":
+            i += 2
+            continue
+        if p[i] == "[":
+            if (i := _closed(p, i)) < 0:
+                return -1
+            continue
+        depth += (p[i] == "(") - (p[i] == ")")
+        i += 1
+        if not depth:
+            return i
+    return -1
 
 
 def image_match(images: DataFrame, wanted: DataFrame) -> DataFrame:
-    """C14: an image for each wanted text: equal, or found by it as a pattern; the first by position.
+    """C14: an image for each wanted text (`text`, `pattern`): equal, or found by it as a pattern (a Java regular expression); the first by position.
 
-    Literal texts meet by an equi join. The patterns meet all images, which is work of images times patterns: they are a hand-kept list, and more
-    than PATTERNS of them are refused.
+    Equal texts meet by an equi join. A pattern meets the images that hold a gram which it requires, the rarest of its grams among them, and only those
+    are searched; so patterns may be many. One that requires none meets all images. A gram's images are dealt to SALTS parts, to each of which its patterns go.
+    Null texts and URLs match nothing.
     """
-    if wanted.filter("pattern").limit(PATTERNS + 1).count() > PATTERNS:
-        raise ValueError(f"more than {PATTERNS} patterns")
-    equal = images.join(wanted.filter("not pattern"), images["url"] == wanted["text"])
-    pattern = images.join(F.broadcast(wanted.filter("pattern")), F.expr("url rlike text or url = text"))
-    both = equal.unionByName(pattern)
-    return both.groupBy("text").agg(F.min(F.struct("pos", "url")).alias("m")).select("text", "m.pos", "m.url")
+    found = images.select("url", "pos").filter("url is not null")
+    asked = wanted.select("text", "pattern").filter("text is not null").distinct()
+    equal = found.join(asked.select("text").distinct(), F.col("url") == F.col("text")).select("text", "pos", "url")
+    grams = F.udf(required_grams, "array<string>")
+    patterns = asked.filter("pattern").select("text", grams("text").alias("grams"))
+    pairs = patterns.select("text", F.explode_outer("grams").alias("gram"))
+    held = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("url") - n + 1, F.lit(1))), lambda i: F.substring("url", i, n)))))
+    of_url = found.select("url", "pos", F.explode(F.concat(F.array(F.lit("")), held)).alias("gram"))
+    common = of_url.join(pairs.select("gram").filter("gram is not null").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = pairs.join(common, "gram", "left").groupBy("text").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g"))
+    rarest = rarest.select("text", F.coalesce("g.gram", F.lit("")).alias("gram"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = of_url.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int"))
+    matched = dealt.join(rarest, ["gram", "salt"]).filter(F.expr("url rlike text")).select("text", "pos", "url")
+    return equal.unionByName(matched).groupBy("text").agg(F.min(F.struct("pos", "url")).alias("m")).select("text", "m.pos", "m.url")
 
 
 def orphans(files: DataFrame, images: DataFrame) -> DataFrame:

@@ -129,10 +129,29 @@ def in_flight(points: DataFrame) -> DataFrame:
     return running(x, ["site"], "us", order, ["value"], hour).withColumnRenamed("run_value", "site_backlog")
 
 
-def endpoint_health(log: DataFrame, most: int = 5) -> DataFrame:
-    """Failures since the last success; an endpoint with more than `most` at any time is dropped."""
-    w = Window.partitionBy("endpoint").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    runs = log.withColumn("run", F.sum(F.when(F.col("ok"), 1).otherwise(0)).over(w))
-    inside = Window.partitionBy("endpoint", "run").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("failures", F.sum(F.when(F.col("ok"), 0).otherwise(1)).over(inside).cast("long"))
-    return runs.groupBy("endpoint").agg(F.max_by("failures", "seq").alias("failures"), F.max("failures").alias("worst"), (F.max("failures") > most).alias("dropped"))
+def endpoint_health(log: DataFrame, most: int = 5, width: int = 1 << 16) -> DataFrame:
+    """Failures since the last success; an endpoint with more than `most` at any time is dropped.
+
+    An endpoint's log is cut into blocks of `width` sequence numbers. A block is reduced to what can be put together again: whether it has a success, its failures
+    before the first and after the last one, and its longest run. Prefixes over the blocks (a row each) say how long a run enters a block. So no task has the
+    whole log of a hot endpoint.
+    """
+    bad = F.when(F.col("ok"), 0).otherwise(1)
+    block = ["endpoint", "__block"]
+    x = log.withColumn("__block", F.floor(F.col("seq") / width))
+    x = x.withColumn("__run", F.sum(1 - bad).over(Window.partitionBy(*block).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)))
+    runs = x.groupBy(*block, "__run").agg(F.sum(bad).alias("__n"))
+    blocks = runs.groupBy(*block).agg(
+        (F.max("__run") > 0).cast("int").alias("__any"),
+        F.coalesce(F.max(F.when(F.col("__run") == 0, F.col("__n"))), F.lit(0)).alias("__head"),
+        F.max_by("__n", "__run").alias("__tail"),
+        F.max("__n").alias("__worst"),
+    )
+    order = Window.partitionBy("endpoint").orderBy("__block")
+    blocks = blocks.withColumn("__since", F.sum("__any").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    since = Window.partitionBy("endpoint", "__since").orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = blocks.withColumn("__after", F.sum("__tail").over(since))  # a block without a success only adds to the run that enters it
+    enters = F.coalesce(F.lag("__after").over(order), F.lit(0))
+    blocks = blocks.withColumn("__longest", F.greatest("__worst", enters + F.col("__head")))
+    worst = F.max("__longest")
+    return blocks.groupBy("endpoint").agg(F.max_by("__after", "__block").cast("long").alias("failures"), worst.cast("long").alias("worst"), (worst > most).alias("dropped"))

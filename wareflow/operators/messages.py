@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,29 +45,79 @@ def intake(entities: DataFrame, kind: str, target: str, order: str) -> DataFrame
     return one.select("item_id", "item_type", *[F.col(f"f.{c}").alias(c) for c in (order, *rest)])
 
 
-def translate(texts: DataFrame, memory: DataFrame | None, split: str = "[ \n]+", function: Callable[[Column], Column] | None = None) -> DataFrame:
+#: Bytes of a memory, and entries of its most used part, that every task may hold.
+MEMORY_BYTES, HEAVY = 64 << 20, 200_000
+
+
+def _looked_up(rows: DataFrame, column: str, table: Broadcast, own: str | None = None) -> DataFrame:
+    """rows with each segment of an array column replaced by its entry in a table that every task has, or (own) in a map column of its row."""
+    schema = rows.schema
+
+    def replace(batches):
+        known = table.value
+        for b in batches:
+            at = b.schema.get_field_index(column)
+            lists = b.column(at)
+            words = lists.flatten().to_pylist()
+            if own is None:
+                words = [known.get(w, w) for w in words]
+            else:
+                each = [dict(m) if m else None for m in b.column(own).to_pylist()]
+                rows_of = pc.list_parent_indices(lists).to_pylist()
+                words = [w if w is None else known[w] if w in known else (each[r] or {}).get(w, w) for w, r in zip(words, rows_of, strict=True)]
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), mask=np.append(lists.is_null().to_numpy(zero_copy_only=False), False))
+            yield b.set_column(at, column, pa.ListArray.from_arrays(offsets, pa.array(words, pa.string())))
+
+    return rows.mapInArrow(replace, schema)
+
+
+def _with_memory(rows: DataFrame, column: str, memory: DataFrame, most: int, heavy: int) -> DataFrame:
+    """rows (id and an array of segments) with the segments that a memory (src, dst; of equal src the least dst) knows replaced.
+
+    A memory of `most` bytes at most is sent to all tasks, and nothing is shuffled. Of a larger one the `heavy` entries that occur most are; then each row's other words
+    are looked up once by a join, in which no word is frequent, and come back to their row as its own map. ids are different.
+    """
+    sc = rows.sparkSession.sparkContext
+    one = memory.filter("src is not null").groupBy("src").agg(F.min("dst").alias("dst")).filter("dst is not null")
+    size = one.agg(F.sum(F.octet_length("src") + F.octet_length("dst") + 16)).first()[0] or 0
+    if size <= most:
+        return _looked_up(rows, column, sc.broadcast({r["src"]: r["dst"] for r in one.collect()}))
+    used = rows.select(F.explode(column).alias("src")).groupBy("src").count()
+    top = used.join(one, "src").orderBy(F.desc("count"), "src").limit(heavy)
+    held = sc.broadcast({r["src"]: r["dst"] for r in top.collect()})
+
+    def rest(batches):
+        known = held.value
+        for b in batches:
+            words = [[w for w in dict.fromkeys(x or []) if w not in known] for x in b.column(column).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(words, pa.list_(pa.string()))], names=["id", "src"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    rare = rows.select("id", column).mapInArrow(rest, f"id {kind}, src array<string>").select("id", F.explode("src").alias("src"))
+    own = rare.join(one, "src").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("src", "dst"))).alias("__own"))
+    return _looked_up(rows.join(own, "id", "left"), column, held, "__own").drop("__own")
+
+
+def translate(texts: DataFrame, memory: DataFrame | None, split: str = "[ \n]+", function: Callable[[Column], Column] | None = None, most: int = MEMORY_BYTES, heavy: int = HEAVY) -> DataFrame:
     """H5: (id, text) by segments: looked up in the memory (src, dst), or given to a user's function.
 
-    Segments without an entry stay as they are; their order is kept. Equal segments are looked up once,
-    so that a hot word is joined a single time.
+    Segments without an entry stay as they are; their order is kept. A text's segments stay in its row: with a memory of `most` bytes they are looked up where they are,
+    with a larger one only a row's different rare words are shuffled. A user's function gets the segments as rows. A null text gives no row.
     """
-    parts = texts.select("id", F.posexplode(F.split("text", split)).alias("pos", "src"))
-    if function is not None:
-        done = parts.withColumn("dst", function(F.col("src")))
-    else:
-        known = parts.select("src").distinct().join(memory.groupBy("src").agg(F.min("dst").alias("dst")), "src")
-        done = parts.join(known, "src", "left")
+    if function is None:
+        parts = texts.filter("text is not null").select("id", F.split("text", split).alias("parts"))
+        return _with_memory(parts, "parts", memory, most, heavy).select("id", F.array_join("parts", " ").alias("text"))
+    done = texts.select("id", F.posexplode(F.split("text", split)).alias("pos", "src")).withColumn("dst", function(F.col("src")))
     seg = F.struct("pos", F.coalesce("dst", "src").alias("t"))
     return done.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(seg)), lambda x: x["t"]), " ").alias("text"))
 
 
-def translate_pairs(specs: DataFrame, memory: DataFrame) -> DataFrame:
-    """H5: a JSON list of texts taken by twos as name and value; an odd tail is dropped; the shape comes back."""
+def translate_pairs(specs: DataFrame, memory: DataFrame, most: int = MEMORY_BYTES, heavy: int = HEAVY) -> DataFrame:
+    """H5: a JSON list of texts taken by twos as name and value; an odd tail is dropped; the shape comes back. A list of less than two gives no row."""
     items = F.from_json("specs", "array<string>")
-    x = specs.select("id", items.alias("s")).select("id", F.slice("s", F.lit(1), (F.floor(F.size("s") / 2) * 2).cast("int")).alias("s"))
-    p = x.select("id", F.posexplode("s").alias("pos", "src")).join(memory.groupBy("src").agg(F.min("dst").alias("dst")), "src", "left")
-    seg = F.struct("pos", F.coalesce("dst", "src").alias("t"))
-    return p.groupBy("id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(seg)), lambda x: x["t"])).alias("specs"))
+    x = specs.select("id", items.alias("s")).select("id", F.slice("s", F.lit(1), (F.floor(F.size("s") / 2) * 2).cast("int")).alias("s")).filter(F.size("s") > 0)
+    return _with_memory(x, "s", memory, most, heavy).select("id", F.to_json("s").alias("specs"))
 
 
 def tag_segments(pages: DataFrame, key: str, html: str) -> DataFrame:

@@ -5,14 +5,14 @@ The watermark (an hour unless given) is a choice of this library: it bounds the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.ledger import finished
+from ..sources import split_errors
+from . import processors
 
 WATERMARK = "1 hour"
 
@@ -24,18 +24,23 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFram
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
-def replay(spark: SparkSession, rows: DataFrame, path: str, order: str, batches: int = 4) -> DataFrame:
+def replay(spark: SparkSession, rows: DataFrame, path: str, order: str, batches: int = 4, bounds: list | None = None) -> DataFrame:
     """A stream over rows in order, a range a batch, for tests and backfills.
 
-    Files are taken by their time, so the ranges are written one after the other, each by several tasks into the same number of files; a trigger
-    takes so many. Small tables have one file a range, so that no file is empty.
+    The ranges are cut at `bounds` (values of the order that end a range), or at the order's approximate quantiles. Files are taken by their time, so the
+    ranges are written one after the other, each by several tasks into the same number of files; a trigger takes so many. Small tables have one
+    file a range, so that no file is empty.
     """
-    ranges = rows.repartitionByRange(batches, order).withColumn("__range", F.spark_partition_id())
-    ranges.write.partitionBy("__range").parquet(f"{path}-ranges")
-    staged = spark.read.schema(ranges.schema).parquet(f"{path}-ranges")
-    files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), staged.count() // (batches * 1000)))
-    for n in range(batches):
-        part = staged.filter(F.col("__range") == n).drop("__range")
+    if bounds is None:
+        at = [n / batches for n in range(1, batches)]
+        found = rows.agg(F.percentile_approx(order, at, 10_000).alias("q"), F.count(F.lit(1)).alias("n")).first()
+        bounds, n = sorted(set(found["q"] or [])), found["n"]
+    else:
+        n = rows.count()
+    edges = [None, *bounds, None]
+    files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // ((len(bounds) + 1) * 1000)))
+    for low, high in zip(edges, edges[1:], strict=False):
+        part = rows.filter((F.lit(True) if low is None else F.col(order) > F.lit(low)) & (F.lit(True) if high is None else F.col(order) <= F.lit(high)))
         part.repartition(files).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
@@ -51,49 +56,15 @@ def timed(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return rows.withWatermark("ts", delay)
 
 
-def _in_order(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator:
-    """All rows that a group got in a batch, in order."""
-    return pd.concat(list(frames)).sort_values(by, kind="stable").itertuples(index=False)
-
-
-def _watermark(state: GroupState) -> int:
-    """Seconds that the stream has surely passed."""
-    return state.getCurrentWatermarkMs() // 1000
-
-
-def _wake(state: GroupState, at: int) -> None:
-    """Call the group again when the watermark passes `at` (seconds), or with the next one if it has."""
-    state.setTimeoutTimestamp(max(at * 1000, state.getCurrentWatermarkMs() + 1))
-
-
 def dedup_renewed(events: DataFrame, group: str, key: str, seconds: int = 3600) -> DataFrame:
     """S1, exact: the keys of a group expire together, `seconds` after the group's latest addition.
 
-    events has `sec`; a key set that no addition renewed in time is forgotten as a whole: by the next event's time, and from the
-    state when the watermark passes its end.
+    events has `sec`. A key is an entry of a map state of its own, looked up and added by itself; a key set that no addition renewed in time
+    is forgotten as a whole, by the next event's time or when the watermark passes its end. Rows are taken in order once the watermark has passed them.
     """
-
-    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last, seen = state.get if state.exists else (0, [])
-        held, keep = set(seen), []
-        for row in _in_order(frames, ["sec", key]):
-            at, k = int(row.sec), getattr(row, key)
-            if held and at - last >= seconds:
-                held = set()
-            if k not in held:
-                held.add(k)
-                last = at
-                keep.append((who[0], k, at))
-        state.update((last, sorted(held)))
-        _wake(state, last + seconds)
-        if keep:
-            yield pd.DataFrame(keep, columns=[group, key, "sec"])
-
-    g, k = events.schema[group].dataType.simpleString(), events.schema[key].dataType.simpleString()
-    return timed(events).groupBy(group).applyInPandasWithState(step, f"{group} {g}, {key} {k}, sec long", f"last long, held array<{k}>", "append", GroupStateTimeout.EventTimeTimeout)
+    k = events.schema[key].dataType.simpleString()
+    rows = timed(events).select(group, F.col("sec").cast("long").alias("sec"), F.col(key).alias("key"), "ts")
+    return processors.run(rows, group, processors.Renewed(k, seconds), f"{group} {events.schema[group].dataType.simpleString()}, {key} {k}, sec long")
 
 
 def live_ledger(events: DataFrame, idle: str = "2 days", ts: str = "ts") -> DataFrame:
@@ -113,90 +84,30 @@ def finish_notifications(events: DataFrame, idle: int = 86400, forget: int = 2 *
     A silent crawl gets its row when the watermark passes the end of its time, without any later event of its own. What is known of a crawl is
     forgotten `forget` seconds (the ledger's lifetime) after its last event.
     """
-
-    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        total, done, last, told = state.get if state.exists else (0, 0, 0, False)
-        out = []
-        if state.hasTimedOut:
-            if not told:
-                out.append((who[0], "error", last + idle))
-                told = True
-        else:
-            for row in _in_order(frames, ["sec", "event_id"]):
-                if last and not told and row.sec - last >= idle:
-                    out.append((who[0], "error", last + idle))
-                    told = True
-                total, done = (total + row.n, done) if row.kind == "scheduled" else (total, done + row.n)
-                last = int(row.sec)
-                if not told and ((total > 0 and total <= done) or (total == 0 and done > 0)):
-                    out.append((who[0], "finished", last))
-                    told = True
-        if told and _watermark(state) >= last + max(idle, forget):
-            state.remove()
-        else:
-            state.update((int(total), int(done), last, told))
-            _wake(state, last + (max(idle, forget) if told else idle))
-        if out:
-            yield pd.DataFrame(out, columns=["crawlid", "status", "sec"])
-
-    return timed(events).groupBy("crawlid").applyInPandasWithState(step, "crawlid long, status string, sec long", "total long, done long, last long, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    rows = timed(events).select("crawlid", F.col("sec").cast("long").alias("sec"), F.col("event_id").cast("long").alias("event_id"), "kind", F.col("n").cast("long").alias("n"), "ts")
+    return processors.run(rows, "crawlid", processors.Finished(idle, forget), f"crawlid {events.schema['crawlid'].dataType.simpleString()}, status string, sec long")
 
 
 def delayed_emission(messages: DataFrame, default: int = 3 * 86400) -> DataFrame:
     """The latest message of an id fires when due and is armed again; a delete disarms it.
 
-    A message is due at its `due_date` (seconds) if it has one, else `update_interval` seconds (default where 0) after it came, and again so long
+    A message is due at its `due_date` (seconds) if it has one, else `update_interval` seconds (default where 0 or null) after it came, and again so long
     after it fired. What was due by the time of a later message of the id fires before that is taken; without one, a message fires when the watermark
-    passes its time. A disarmed id has no state.
+    passes its time. An id has a timer for its next waiting message and one for its due time; a disarmed id has no state.
     """
     messages = messages if "due_date" in messages.columns else messages.withColumn("due_date", F.lit(None).cast("long"))
+    long = [F.col(c).cast("long").alias(c) for c in ("sec", "seq", "update_interval", "due_date")]
+    rows = timed(messages).select("item_id", *long, "event", "ts")
+    return processors.run(rows, "item_id", processors.Delayed(default), f"item_id {messages.schema['item_id'].dataType.simpleString()}, seq long, fired long")
 
-    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        due, wait, seq = state.get if state.exists else (-1, 0, 0)
-        out = []
-        if not state.hasTimedOut:
-            for row in _in_order(frames, ["sec", "seq"]):
-                while 0 <= due <= row.sec:
-                    out.append((who[0], seq, due))
-                    due += wait
-                wait = int(row.update_interval) or default
-                at = int(row.sec) + wait if pd.isna(row.due_date) else int(row.due_date)
-                due, seq = (-1, 0) if row.event == "delete" else (at, int(row.seq))
-        while 0 <= due <= _watermark(state):
-            out.append((who[0], seq, due))
-            due += wait
-        if due < 0:
-            state.remove()
-        else:
-            state.update((int(due), int(wait), int(seq)))
-            _wake(state, due)
-        if out:
-            yield pd.DataFrame(out, columns=["item_id", "seq", "fired"])
-
-    return timed(messages).groupBy("item_id").applyInPandasWithState(step, "item_id long, seq long, fired long", "due long, wait long, seq long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def retry_limit(results: DataFrame, most: int = 10) -> DataFrame:
-    """Outcomes in order: success clears an item's count, a failure is retried until the count reaches `most`.
-
-    Only items that wait for a retry have state: a success and an item that was given up leave none.
-    """
 
-    def step(who, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (count,) = state.get if state.exists else (0,)
-        out = []
-        for row in _in_order(frames, ["seq"]):
-            count = 0 if row.ok else count + 1
-            out.append((who[0], int(row.seq), "ENRICH" if row.ok else "retry" if count < most else "abandoned", count))
-            count = 0 if count >= most else count
-        if count:
-            state.update((int(count),))
-        else:
-            state.remove()
-        if out:
-            yield pd.DataFrame(out, columns=["item_id", "seq", "outcome", "attempts"])
+def retry_limit(results: DataFrame, most: int = 10, forget: int = 30 * 86400) -> DataFrame:
+    """Outcomes in order (sec, seq): success clears an item's count, a failure is retried until the count reaches `most`.
 
-    return results.groupBy("item_id").applyInPandasWithState(step, "item_id long, seq long, outcome string, attempts long", "count long", "append", GroupStateTimeout.NoTimeout)
+    Only items that wait for a retry have state, and no longer than `forget` seconds after their last outcome: then the count starts anew.
+    """
+    rows = timed(results).select("item_id", F.col("sec").cast("long").alias("sec"), F.col("seq").cast("long").alias("seq"), "ok", "ts")
+    return processors.run(rows, "item_id", processors.Retried(most, forget), f"item_id {results.schema['item_id'].dataType.simpleString()}, seq long, outcome string, attempts long")
 
 
 def windowed_metrics(points: DataFrame, by: list[str], width: str, value: Column, ts: str = "ts", watermark: str = WATERMARK) -> DataFrame:
@@ -205,11 +116,35 @@ def windowed_metrics(points: DataFrame, by: list[str], width: str, value: Column
     return g.select(F.col("w.start").alias("start"), *by, "total", "n")
 
 
-def route_stream(stream: DataFrame, write: Callable[[DataFrame, int], None], path: str) -> None:
-    """Each micro-batch goes to a batch sink of wareflow.sinks; the batch number makes retries recognisable."""
+def route_stream(stream: DataFrame, sinks: Callable[[DataFrame, str], None] | list[Callable[[DataFrame, str], None]], path: str) -> None:
+    """Each micro-batch goes to one or more sinks of wareflow.sinks, in order, with a name of its own.
+
+    The name is `<query's id>-<batch number>`: the same when a batch is tried again, after a failure between two sinks too, and another one
+    for every other batch and for a query with another checkpoint. A sink that replaces what it has under that name (`append_by`, `write_topics`
+    with `batch`) so has each row once.
+    """
+    sinks = sinks if isinstance(sinks, list) else [sinks]
+
+    def write(batch: DataFrame, number: int) -> None:
+        name = f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+        batch.persist()
+        try:
+            for sink in sinks:
+                sink(batch, name)
+        finally:
+            batch.unpersist()
+
     stream.writeStream.foreachBatch(write).option("checkpointLocation", path).trigger(availableNow=True).start().awaitTermination()
 
 
+def consume(messages: DataFrame, key: str, good: Callable[[DataFrame, str], None], bad: Callable[[DataFrame, str], None], path: str) -> None:
+    """A2: what is there of a topic now, its messages to one sink and what isn't one to the other, in the same batch.
+
+    The checkpoint moves on when both have the batch: after a failure of either it is read and routed again, under the same name.
+    """
+    route_stream(messages, [lambda b, name: good(split_errors(b, key)[0], name), lambda b, name: bad(split_errors(b, key)[1], name)], path)
+
+
 def newly_finished(ledger: DataFrame, as_of: int) -> DataFrame:
     """S3 in batch: the crawls that are finished by the ledger at as_of."""
     return ledger.filter(finished(as_of)).select("crawlid")
