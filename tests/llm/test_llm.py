@@ -317,6 +317,26 @@ def test_word_hashes_do_not_depend_on_the_batch():
     assert [b.num_rows for b in words.parts([pa.RecordBatch.from_pydict({"text": ["a" * 400_000, "b", "c" * 600_000, None]})])] == [2, 1, 1]
 
 
+def thue_morse(n, a, b):
+    return [(a, b)[bin(i).count("1") & 1] for i in range(n)]
+
+
+def test_regular_sequences_have_hashes_of_their_own(spark):
+    """Words, and texts of words, in the order of Thue and Morse and in its reverse: sums modulo 2**64 alone meet, whatever the base."""
+    import pyarrow as pa
+
+    from wareflow.llm import words
+
+    one, other = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    assert len(set(words.word_hashes(pa.array(["".join(one) + " " + "".join(other)]), True)[0].tolist())) == 2
+    texts = ["".join(one), "".join(other), " ".join(x * 7 for x in one), " ".join(x * 7 for x in other)]
+    _, _, key = jaccard.shingle_sets(pa.array(texts), 4)
+    assert len(set(key.tolist())) == 4
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(df, n=1000, percent=85).collect()}
+    assert got == {i: i for i in range(4)}
+
+
 def test_jaccard_near_the_threshold(spark):
     """Sets of many sizes whose similarity lies just at, above or below the threshold."""
     r, rows = random.Random(4), []

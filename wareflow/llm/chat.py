@@ -77,8 +77,8 @@ def spliced(turns: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     parts_ = [np.asarray(t["ids"], dtype=np.int32) for t in turns]
     before = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(p) for p in parts_], dtype=np.int64)])
     step = np.zeros(before[-1] + 1, dtype=np.int8)
-    np.add.at(step, before[:-1] + [t["loss_from"] for t in turns], 1)
-    np.add.at(step, before[:-1] + [t["loss_to"] for t in turns], -1)
+    np.add.at(step, before[:-1] + np.array([t["loss_from"] for t in turns], np.int64), 1)
+    np.add.at(step, before[:-1] + np.array([t["loss_to"] for t in turns], np.int64), -1)
     return np.concatenate([*parts_, np.zeros(0, np.int32)]), np.cumsum(step, dtype=np.int8)[:-1]
 
 

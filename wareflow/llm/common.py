@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -54,9 +55,26 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written = path
+    for made in _RECORDED:
+        made.append(out)
     return out
 
 
+#: Lists that get every table which is written while they are here: see recorded().
+_RECORDED: list[list[DataFrame]] = []
+
+
+@contextmanager
+def recorded():
+    """The tables that are written within, in a list, so that the caller can drop those that operators have left behind their results."""
+    made: list[DataFrame] = []
+    _RECORDED.append(made)
+    try:
+        yield made
+    finally:
+        _RECORDED.pop()
+
+
 def drop(df: DataFrame) -> None:
     """Delete the files behind a materialize()d table that nothing reads any more."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()

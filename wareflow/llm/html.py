@@ -315,34 +315,6 @@ def template_keys(pages: DataFrame, kept: Scratch, least_pages: int = LEAST_PAGE
     return template
 
 
-def template_keys(pages: DataFrame, kept: Scratch, least_pages: int = LEAST_PAGES, least_part: float = LEAST_PART) -> DataFrame:
-    """The keys of the subtrees that recur across the pages of a host (host and html), a row a key.
-
-    Each page gives its boxes once; copies of a page count once. Counts are aggregates by host and subtree.
-    """
-
-    def subtrees(batches):
-        for b in parts(batches, "html"):
-            hosts, keys, contents = [], [], []
-            for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-                blocks, nodes = parse(page)
-                hash_subtrees(host, nodes)
-                found = candidates(blocks)
-                hosts += [host] * (len(found) + 1)
-                keys += [nodes[0].key] + [n.key for n in found]
-                contents += [nodes[0].key] * (len(found) + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), _signed(keys), _signed(contents)], names=["host", "key", "content"])
-
-    seen = kept.save(pages.select("host", "html").mapInArrow(subtrees, "host string, key long, content long").distinct(), "html-subtrees")
-    pages_of = seen.filter("key = content").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    n, whole = F.col("n"), F.col("pages")
-    counts = seen.filter("key <> content").groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).filter(n >= FEW_PAGES)
-    often = (n >= MANY_PAGES) | ((n >= least_pages) & (n >= least_part * whole)) | ((whole < least_pages) & (n >= FEW_PART * whole))
-    template = kept.save(counts.join(pages_of, "host").filter(often).select("key").distinct(), "html-template")
-    kept.drop(seen)
-    return template
-
-
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_part: float = LEAST_PART, exact: int = EXACT) -> DataFrame:
     """page_id, url and text of every page.
 

@@ -22,11 +22,11 @@ CHUNK = 10_000
 ROUNDED = "source string, key long, doc_id long, size long, frac double, extra int"
 
 
-def numbered(sources: DataFrame) -> DataFrame:
+def numbered(sources: DataFrame, scratch: Scratch) -> DataFrame:
     """Add `rank` (from 0) to a table with a row a source: by code point, null last. No task holds all of them."""
     order = [F.col("source").isNull(), F.col("source")]
     kept = sources.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    kept = Scratch().save(kept, "mix-sources")
+    kept = scratch.save(kept, "mix-sources")
     counts = kept.groupBy("__part").count()  # a row a partition
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("__part").alias("__p"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
@@ -34,7 +34,7 @@ def numbered(sources: DataFrame) -> DataFrame:
     return kept.withColumn("__n", place).join(F.broadcast(counts), F.col("__part") == F.col("__p")).withColumn("rank", F.col("__before") + F.col("__n") - 1).drop("__part", "__p", "__n", "__before")
 
 
-def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, scratch: Scratch | None = None) -> DataFrame:
     """Add `target`, the words to take from each source, to a table with source and source_size (a row a source).
 
     Shares go by weight; a source whose share is over cap times its size stops there, and the rest is shared anew among the
@@ -42,7 +42,8 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: floa
     A source without words gets 0.
     """
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    t = Scratch().save(numbered(sources).withColumn("weight", w), "mix-weights")
+    scratch = scratch or Scratch()
+    t = scratch.save(numbered(sources, scratch).withColumn("weight", w), "mix-weights")
     size = F.col("source_size").cast("double")
     total = share * (t.agg(F.sum(size)).first()[0] or 0.0)
     left, heavy = total, t.agg(F.sum("weight")).first()[0] or 1.0
@@ -110,7 +111,7 @@ def mix(docs: DataFrame, sizes, weights=WEIGHTS, share: float = SHARE, cap: floa
     rows = docs.select("doc_id", "source", sizes.cast("long").alias("size")).groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"))
     rows = kept.save(rows.withColumn("key", F.xxhash64("doc_id", "source", "size", F.lit(seed))), "mix-rows")
     per = kept.save(rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("size") * F.col("n")).alias("source_size")), "mix-sizes")
-    goal = targets(per.select("source", "source_size"), weights, share, cap).select(F.col("source").alias("__t"), "target")
+    goal = targets(per.select("source", "source_size"), weights, share, cap, kept).select(F.col("source").alias("__t"), "target")
     share_of = F.when(F.col("source_size") > 0, F.least(F.lit(float(cap)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     plan = per.join(goal, F.col("source").eqNullSafe(F.col("__t"))).select(F.col("source").alias("__s"), "source_size", "target", share_of.alias("per_row"), F.ceil(F.col("rows") / block).alias("blocks"))
     plan = kept.save(plan, "mix-plan")

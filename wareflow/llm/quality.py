@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, materialize, read, words_of
+from .common import SPACES, Scratch, materialize, read, words_of
 
 #: The rules: measure, the sides on which a text fails, and what one count more adds to the measure of a text of one word.
 RULES = {
@@ -106,7 +106,7 @@ def _fences(sketches: DataFrame, keep: list[str], mark: str) -> DataFrame:
     return sketches.select(*keep, F.col("n").alias(f"{mark}n"), *found)
 
 
-def thresholds(m: DataFrame, by: list[str]) -> DataFrame:
+def thresholds(m: DataFrame, by: list[str], scratch: Scratch | None = None) -> DataFrame:
     """A row a group with the fences of each rule: `lo_<rule>` and `hi_<rule>`. by: language, then source.
 
     One KLL sketch a rule and group, built partially on the map side and merged, so that a hot group
@@ -117,7 +117,7 @@ def thresholds(m: DataFrame, by: list[str]) -> DataFrame:
     """
     rules = [*RULES, "words"]
     sketches = m.withColumn("words", F.col("n_words").cast("double")).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH)).alias(r) for r in rules])
-    sketches = materialize(sketches, "quality-sketches")
+    sketches = (scratch or Scratch()).save(sketches, "quality-sketches")
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, F.lit(SKETCH)).alias(r) for r in rules]]
     lang = _fences(sketches.groupBy(F.col(by[0]).alias("__of")).agg(*merged), ["__of"], "l_")
     whole = _fences(sketches.agg(*merged), [], "a_")
@@ -135,15 +135,19 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     keep names columns of docs to carry, lang and source among them. kept is false if the base rule
     fails, or else a measure is beyond its group's fences. Groups are (lang, source); a null is a
     group of its own. A null or empty text has no words and fails. Repeated rows are judged alike.
-    The table of fences has a row a (lang, source): it is broadcast up to GROUPS rows, else Spark chooses the join.
+    The table of fences has a row a (lang, source): it is broadcast up to GROUPS rows, else Spark chooses the join of its table, which then stays
+    beside that of the measures.
     A text's three-word windows are one array of longs while it is measured: 8 bytes a word of the longest text.
     """
+    scratch = Scratch()
     m = materialize(ratios(measured(docs, keep)), "quality-measures")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     m = m.withColumn("base_failed", failed).withColumns({"__lang": F.col("lang"), "__source": F.col("source")})
-    fences = materialize(thresholds(m.filter(~F.col("base_failed")), ["__lang", "__source"]).withColumnsRenamed({"__lang": "__fl", "__source": "__fs"}), "quality-fences")
+    fences = scratch.save(thresholds(m.filter(~F.col("base_failed")), ["__lang", "__source"], scratch).withColumnsRenamed({"__lang": "__fl", "__source": "__fs"}), "quality-fences")
     if fences.count() <= GROUPS:
-        fences = F.broadcast(fences)
+        few = docs.sparkSession.createDataFrame(fences.toArrow(), fences.schema)
+        scratch.drop(*scratch.tables)
+        fences = F.broadcast(few)
     out = m.join(fences, F.col("__lang").eqNullSafe(F.col("__fl")) & F.col("__source").eqNullSafe(F.col("__fs")), "left")
     good = F.lit(True)
     for r in RULES:

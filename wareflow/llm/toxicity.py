@@ -260,8 +260,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_bytes: in
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     text = text.withColumn("size", F.octet_length("text")).filter(F.col("size") <= most_bytes)
     got = text.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "size")).alias("x")).select("doc_id", "toxic", "x.*")
-    upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # of `sample` rows at most
-    got = got.withColumn("upto", upto).filter(F.col("upto") <= most_bytes).select("doc_id", "text", "toxic").toPandas()
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # over ids and sizes of `sample` rows at most, without their texts
+    chosen = got.select("doc_id", "size").withColumn("upto", upto).filter(F.col("upto") <= most_bytes).select("doc_id")
+    got = got.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text", "toxic").toPandas()
     got = got.sort_values(["doc_id"], kind="stable")
     net, y = Network(), got["toxic"].to_numpy(np.int64)
     if len(set(y.tolist())) == 2:

@@ -61,25 +61,50 @@ def parts(batches, column: str = "text", most: int = PART):
             at = stop
 
 
-def sums(h: np.ndarray) -> np.ndarray:
-    """Sums before each number of a sequence, weighted by powers: see span()."""
-    up, _ = _Powers.of(len(h) + 1)
+#: A prime below 2**31 and the base of the second sum.
+_P, _R = (1 << 31) - 1, 1_220_703_125
+
+
+class _Residues:
+    """Powers of the second base and of its inverse modulo the prime, as many as were asked for."""
+
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(cls.up) < n:
+            k = len(cls.up)
+            cls.up = np.concatenate([cls.up, cls.up * np.uint64(pow(_R, k, _P)) % np.uint64(_P)])
+            cls.down = np.concatenate([cls.down, cls.down * np.uint64(pow(_R, -k, _P)) % np.uint64(_P)])
+        return cls.up, cls.down
+
+
+def sums(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums before each number of a sequence, weighted by powers: see span().
+
+    There are two: modulo 2**64, where some regular sequences (Thue and Morse's) meet whatever the base, and modulo a prime, where they don't.
+    """
+    up, (residues, _) = _Powers.of(len(h) + 1)[0], _Residues.of(len(h) + 1)
+    zero = np.zeros(1, np.uint64)
     with np.errstate(over="ignore"):
-        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)])])
+        return np.concatenate([zero, np.cumsum(h * up[: len(h)])]), np.concatenate([zero, np.cumsum(h % np.uint64(_P) * residues[: len(h)] % np.uint64(_P))])
 
 
-def span(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span(total: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the numbers from start to end (exclusive): the same numbers give the same hash anywhere."""
-    _, down = _Powers.of(len(total))
+    whole, small = total
+    down, back = _Powers.of(len(whole))[1], _Residues.of(len(whole))[1]
     with np.errstate(over="ignore"):
-        return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _M1)
+        first = (whole[end] - whole[start]) * down[start] + (end - start).astype(np.uint64) * _M1
+        second = (small[end] - small[start]) % np.uint64(_P) * back[start] % np.uint64(_P)
+        return mix(first + mix(second + _GOLD))
 
 
 def word_hashes(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts in order, and where each text's begin (one entry more than texts).
 
     A word is a run of bytes other than ASCII white space; lower folds A to Z. Null texts have no words. A word's
-    hash is a polynomial of its bytes' random values modulo 2**64, whose sums over all bytes are taken at once.
+    hash is of two polynomials of its bytes' random values, whose sums over all bytes are taken at once.
     """
     whole = pc.fill_null(column.cast(pa.large_string()), "")
     bounds = np.frombuffer(whole.buffers()[1], dtype=np.int64)[whole.offset : whole.offset + len(whole) + 1]
