@@ -72,11 +72,16 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents, each written to the shared folder and read again.
 
-    A stage's table goes when the next one's is written; the operators delete their own. The last table stays, as the result reads it.
+    A stage's table goes when the next one's is written, and what the operators left behind their results when their stage's is. The last table stays, as
+    the result reads it.
     """
     docs, before = common.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = common.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with common.recorded() as made:
+            docs = common.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        for table in made:
+            if table is not docs:
+                common.drop(table)
         if before is not None:
             common.drop(before)
         before = docs
