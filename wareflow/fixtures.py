@@ -48,7 +48,6 @@ VIEWS = {
         from part left join supplier on s_suppkey = p_partkey % 13""",
     "images": """select p_partkey as product_id, color, pos, concat('//img/', cast(p_partkey as string), '_', case when pos = p_partkey % 4 then 'MAIN' else cast(pos as string) end, '.jpg') as url
         from part cross join (select 'red' as color union all select 'navy BLUE' as color) c cross join (select 0 as pos union all select 1 as pos union all select 2 as pos) p""",
-    "words": "select doc_id, text from documents",
 }
 
 _NAMES = re.compile(r"\b(from|join)\s+\(?\s*([a-z_]+)", re.I)

@@ -106,7 +106,8 @@ def packages(spus: DataFrame, skus: DataFrame, version: str, command: str) -> Da
 def roll_up(records: DataFrame, depth: int = 3) -> DataFrame:
     """Records with a `path` (/a#1/b#2) and a `value`: children are listed under their parent, last level first.
 
-    The children of one parent become one JSON list, ordered by path; at most `depth` levels.
+    The children of one parent become one JSON list, ordered by path; at most `depth` levels. A top record is one text: for parents with very
+    many children see roll_up_chunks().
     """
     r = records.withColumn("level", F.size(F.split("path", "/")) - 1).withColumn("parent", F.regexp_replace("path", "/[^/]*$", ""))
     below = None
@@ -122,6 +123,36 @@ def roll_up(records: DataFrame, depth: int = 3) -> DataFrame:
     return here.select("path", "json")
 
 
+def _child_chunks(children: DataFrame, size: int, entry: list[str]) -> DataFrame:
+    """Rows (parent, path, chunk, weight, …) gathered by parent in numbered chunks of about `size` nodes: up, chunk, chunks, children (entries by path), weight.
+
+    A parent's chunks are as many as its nodes need, and its children are dealt to them by a hash, so that no task and no row has all children of a
+    hot parent. Only parents with more than one chunk are joined.
+    """
+    wide = children.groupBy("parent").agg(F.ceil(F.sum("weight") / size).cast("long").alias("__chunks")).filter("__chunks > 1").withColumnRenamed("parent", "__up")
+    x = children.join(wide, F.col("parent") == F.col("__up"), "left").withColumn("__chunks", F.coalesce("__chunks", F.lit(1)))
+    name = F.concat("path", F.lit("#"), F.col("chunk").cast("string")) if "chunk" in children.columns else F.col("path")
+    at = F.pmod(F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long"), F.col("__chunks"))
+    x = x.withColumn("__at", at)
+    return x.groupBy(F.col("parent").alias("up"), F.col("__at").alias("chunk")).agg(F.max("__chunks").alias("chunks"), F.array_sort(F.collect_list(F.struct(*entry))).alias("children"), F.sum("weight").alias("below"))
+
+
+def roll_up_chunks(records: DataFrame, depth: int = 3, size: int = 10_000) -> DataFrame:
+    """E11 as nested arrays: path, value, chunk, chunks, children of each top record, its children in numbered chunks of about `size` nodes.
+
+    A child is a struct of path, value and, above the last level, chunk, chunks and children of its own: a record whose children take several chunks stands once for each of
+    them, in whichever chunks of its parent. No text is built, and a record with very many children is many rows. Records without their parent's record are dropped, as in roll_up().
+    """
+    r = records.withColumn("level", F.size(F.split("path", "/")) - 1).withColumn("parent", F.regexp_replace("path", "/[^/]*$", ""))
+    here, entry = r.filter(F.col("level") == depth).select("parent", "path", "value", F.lit(1).cast("long").alias("weight")), ["path", "value"]
+    for level in range(depth - 1, 0, -1):
+        below = _child_chunks(here, size, entry)
+        none = lambda c, kind=None: F.coalesce(F.col(c), F.lit(0 if c == "chunk" else 1)).cast("long").alias(c)
+        here = r.filter(F.col("level") == level).join(below, F.col("path") == F.col("up"), "left").select("parent", "path", "value", none("chunk"), none("chunks"), F.coalesce("children", F.array().cast(below.schema["children"].dataType)).alias("children"), (F.coalesce("below", F.lit(0)) + 1).alias("weight"))
+        entry = ["path", "value", "chunk", "chunks", "children"]
+    return here.select(*entry)
+
+
 def group_in_order(rows: DataFrame, outer: str, key: str, value: str, order: str) -> DataFrame:
     """Equal keys merge even if not adjacent; groups stand in the order of their first member."""
     g = rows.groupBy(outer, key).agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("v"))

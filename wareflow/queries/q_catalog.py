@@ -9,7 +9,7 @@ from ..operators import catalog as C
 from ..operators import frontier as N
 from ..operators.pages import extract_links
 from ..operators.variants import SiteMapping
-from ..plans import discover
+from ..plans import build_packages, discover, refresh
 from .q_pages import HREFS
 
 QUERIES, SQL = {}, {}
@@ -86,11 +86,15 @@ def packed(s, d):
 add("e10_packages", packed, cte("line") + "select 'site#' || p_partkey as spu, '1.0' as version, 'EXPORT' as command, p_partkey % 40 as crawlid, count(l_partkey) as items, string_agg(l_orderkey || '-' || l_linenumber, ',' order by pos) as refs, round(sum(l_extendedprice), 2) as sum_price from part left join line on l_partkey = p_partkey group by p_partkey")
 
 
-def rolled(s, d):
+def hierarchy(s, d):
     r = view(s, d, "region").select(F.concat(F.lit("/r#"), "r_regionkey").alias("path"), F.col("r_name").alias("value"))
     n = view(s, d, "nation").select(F.concat(F.lit("/r#"), "n_regionkey", F.lit("/n#"), "n_nationkey").alias("path"), F.col("n_name").alias("value"))
     c = view(s, d, "customer").join(view(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("/r#"), "n_regionkey", F.lit("/n#"), "n_nationkey", F.lit("/c#"), "c_custkey").alias("path"), F.col("c_mktsegment").alias("value"))
-    return C.roll_up(r.unionByName(n).unionByName(c)).select("path", F.md5("json").alias("digest"), F.length("json").cast("long").alias("n"))
+    return r.unionByName(n).unionByName(c)
+
+
+def rolled(s, d):
+    return C.roll_up(hierarchy(s, d)).select("path", F.md5("json").alias("digest"), F.length("json").cast("long").alias("n"))
 
 
 J = """'{{"path":"' || {p} || '","value":"' || {v} || '","children":[' || coalesce({c}, '') || ']}}'"""
@@ -101,6 +105,24 @@ add(
     + f"cn as (select c_nationkey, string_agg({J.format(p='path', v='v', c='null')}, ',' order by path) as ch from c group by 1), n as (select n_regionkey, '/r#' || n_regionkey || '/n#' || n_nationkey as path, n_name as v, ch from nation left join cn on c_nationkey = n_nationkey), nr as (select n_regionkey, string_agg({J.format(p='path', v='v', c='ch')}, ',' order by path) as ch from n group by 1), "
     + f"r as (select '/r#' || r_regionkey as path, {J.format(p=chr(39) + '/r#' + chr(39) + ' || r_regionkey', v='r_name', c='ch')} as js from region left join nr on n_regionkey = r_regionkey) select path, md5(js) as digest, length(js) as n from r",
 )
+
+
+def chunked(s, d):
+    """The nested arrays of the roll-up with chunks of 40 nodes, flattened to a row for each entry of the second level."""
+    x = C.roll_up_chunks(hierarchy(s, d), size=40).select("path", "chunk", "chunks", F.explode_outer("children").alias("c"))
+    return x.select("path", "chunk", "chunks", F.col("c.path").alias("child"), F.col("c.chunk").alias("child_chunk"), F.size("c.children").cast("long").alias("n"), F.md5(F.array_join(F.transform("c.children", lambda k: F.concat(k["path"], F.lit("="), k["value"])), ",")).alias("digest"))
+
+
+_AT = "('0x' || substr(md5({x}), 1, 8))::bigint % {n}"
+add(
+    "e11_roll_up_chunks",
+    chunked,
+    f"""with c as (select '/r#' || n_regionkey || '/n#' || n_nationkey as up, '/r#' || n_regionkey || '/n#' || n_nationkey || '/c#' || c_custkey as path, c_mktsegment as v from customer join nation on c_nationkey = n_nationkey),
+ cc as (select *, ceil(count(*) over (partition by up) / 40)::bigint as chunks from c), ca as (select up, {_AT.format(x='path', n='chunks')} as chunk, count(*) as n, md5(string_agg(path || '=' || v, ',' order by path)) as digest from cc group by 1, 2),
+ n as (select '/r#' || n_regionkey as up, '/r#' || n_regionkey || '/n#' || n_nationkey as path from nation), e as (select n.up, n.path, coalesce(chunk, 0) as chunk, coalesce(n, 0) as n, coalesce(digest, md5('')) as digest from n left join ca on ca.up = n.path),
+ ee as (select *, ceil(sum(n + 1) over (partition by up) / 40)::bigint as chunks from e), r as (select '/r#' || r_regionkey as path from region)
+ select r.path, coalesce({_AT.format(x="ee.path || '#' || ee.chunk", n='ee.chunks')}, 0) as chunk, coalesce(ee.chunks, 1) as chunks, ee.path as child, ee.chunk as child_chunk, n, digest from r left join ee on ee.up = r.path""",
+)
 add(
     "e12_group_in_order",
     lambda s, d: C.group_in_order(view(s, d, "line"), "l_partkey", "l_returnflag", "l_linenumber", "pos").select("l_partkey", "l_returnflag", F.col("group_pos").cast("long").alias("group_pos"), F.array_join("values", ",").alias("values")),
@@ -202,3 +224,52 @@ add(
     lambda s, d: N.keyword_residue(view(s, d, "documents").select("source", F.col("doc_id").alias("pos"), F.col("text").alias("title")), "source", F.lit("the"), ["and", "ing"]).select("source", F.md5("residue").alias("digest"), F.length("residue").cast("long").alias("n")),
     "with t as (select source, string_agg(lower(text), '' order by doc_id) as t from documents group by 1), r as (select source, replace(replace(replace(regexp_replace(t, '[^a-z]', '', 'g'), 'the', ''), 'and', ''), 'ing', '') as r from t) select source, md5(r) as digest, length(r) as n from r",
 )
+
+
+# end to end
+
+
+def refreshed(s, d):
+    messages = view(s, d, "delayed_messages").withColumn("due_date", F.when(F.col("seq") % 9 == 0, F.lit(AS_OF + 5).cast("long")).when(F.col("seq") % 9 == 1, F.lit(AS_OF - 5).cast("long")))
+    requests = view(s, d, "orders").select(F.concat(F.lit("NATION_"), F.floor(F.sqrt("o_custkey")) % 25).alias("spiderid"))
+    results = latest(s, d).filter("item_id % 5 <> 0").select("item_id", (F.col("item_id") % 3 > 0).alias("ok"))
+    return refresh(messages, view(s, d, "site_delay"), requests, results, AS_OF, 3 * 86400, {"NATION_3": 2, "NATION_4": 4}, 7, 200, 86400)
+
+
+add(
+    "p2_refresh_loop",
+    refreshed,
+    DUE + f""", b as (select item_id, site, due, cast((row_number() over (partition by site order by due, item_id) - 1) // 7 as bigint) as chunk from due where site <> 'NATION_3'),
+ full_ as (select 'NATION_' || (cast(floor(sqrt(o_custkey)) as bigint) % 25) as site from orders group by 1 having count(*) > 200), s as (select *, site not in (select site from full_) as sent from b)
+ select item_id, site, chunk, sent, cast(case when not sent then due when item_id % 5 <> 0 and item_id % 3 > 0 then {AS_OF + 86400} else {AS_OF} end as bigint) as due from s""",
+)
+TOPICS = {"EXPORT": "export", "UPDATE": "update"}
+
+
+def built(s, d, rejected=False):
+    p = F.col("p_partkey")
+    products = view(s, d, "part").select(p.alias("product_id"), F.when(p % 4 == 0, F.concat(F.lit("given"), p)).otherwise("").alias("meta_id"), F.when(p % 7 != 3, F.concat(F.lit("site"), p % 6)).alias("site"), (p % 40).alias("crawlid"), (p % 7).alias("spiderid"), F.element_at(F.array(F.lit("EXPORT"), F.lit("UPDATE"), F.lit("OTHER")), (p % 3 + 1).cast("int")).alias("command"))
+    q = F.col("l_quantity").cast("long")
+    skus = view(s, d, "line").select(F.col("l_partkey").alias("product_id"), "pos", F.concat("l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "pos").alias("sku_id"), F.when(q % 3 == 0, 0.0).otherwise(F.col("l_extendedprice")).alias("price"), (F.col("l_extendedprice") + 5).alias("list_price"), (F.col("l_returnflag") != "R").alias("available"), (q % 5).alias("stock"))
+    packages, without = build_packages(products, skus, view(s, d, "images"), SiteMapping("shop"), "1.0", TOPICS, "other", AS_OF)
+    if rejected:
+        return without.select(F.col("product_id").cast("long").alias("product_id"), "command")
+    text = lambda refs: F.array_join(F.transform(refs, lambda x: F.concat(x["item_type"], F.lit("="), x["item_id"])), ",")
+    albums = F.array_join(F.transform("albums", lambda a: F.concat(a["album_id"], F.lit(":"), text(a["references"]))), ";")
+    return packages.select("spu", "topic", "stamp", "version", "trace.crawlid", F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("items"), F.round(F.aggregate("items", F.lit(0.0), lambda a, x: a + x["price"]), 2).alias("sum_price"), F.md5(text(F.col("references"))).alias("refs"), F.md5(albums).alias("albums"))
+
+
+KEYED = "k as (select p_partkey as product_id, coalesce(case when p_partkey % 4 = 0 then 'given' || p_partkey end, case when p_partkey % 7 <> 3 then 'site' || (p_partkey % 6) || '#' || p_partkey end) as spu, case p_partkey % 3 when 0 then 'EXPORT' when 1 then 'UPDATE' else 'OTHER' end as command from part)"
+add(
+    "p1_packages",
+    built,
+    cte("line", "images") + f""", {KEYED}, sk as (select spu, spu || '#' || l_orderkey || '-' || l_linenumber || '-' || pos as sku, case when cast(l_quantity as bigint) % 3 = 0 then l_extendedprice + 5 else l_extendedprice end as price from line join k on k.product_id = l_partkey where spu is not null),
+ im as (select spu, {CAP.format(c='color')} as cap, color, images.product_id, pos, url, url like '%MAIN%' as main, spu || '::' || {CAP.format(c='color')} || '::' || coalesce(nullif(regexp_extract(url, '_([A-Za-z0-9]+)', 1), ''), 'MAIN') as image_id from images join k on k.product_id = images.product_id where spu is not null),
+ i2 as (select *, main or (pos = 0 and not bool_or(main) over (partition by product_id, color)) as is_main from im),
+ al as (select spu, spu || '::' || cap as album, string_agg('Image::Product=' || image_id, ',' order by pos) as r from im group by all), al2 as (select spu, md5(string_agg(album || ':' || r, ';' order by album)) as albums from al group by 1),
+ rf as (select spu, 'Sku' as t, sku as i from sk union select spu, 'Album', album from al union select spu, 'Image::Product', image_id from i2 where is_main), rf2 as (select spu, md5(string_agg(t || '=' || i, ',' order by t, i)) as refs from rf group by 1),
+ it as (select spu, count(*) as items, round(sum(price), 2) as sum_price from sk group by 1)
+ select k.spu, case command when 'EXPORT' then 'export' when 'UPDATE' then 'update' else 'other' end as topic, '{AS_OF}' as stamp, '1.0' as version, product_id % 40 as crawlid, coalesce(items, 0) as items, sum_price, refs, albums
+ from k left join it using (spu) left join rf2 using (spu) left join al2 using (spu) where k.spu is not null""",
+)
+add("p1_packages_rejected", lambda s, d: built(s, d, True), f"with {KEYED} select product_id, command from k where spu is null")

@@ -144,7 +144,7 @@ add(
 
 
 def memory(s, d):
-    return view(s, d, "words").select(F.explode(F.array_distinct(F.split("text", "[ \n]+"))).alias("src")).distinct().filter("src <> '' and length(src) % 2 = 0").select("src", F.reverse("src").alias("dst"))
+    return view(s, d, "documents").select(F.explode(F.array_distinct(F.split("text", "[ \n]+"))).alias("src")).distinct().filter("src <> '' and length(src) % 2 = 0").select("src", F.reverse("src").alias("dst"))
 
 
 MEMORY = "memory as (select src, reverse(src) as dst from (select distinct unnest(regexp_split_to_array(text, '[ \\n]+')) as src from documents) where src <> '' and length(src) % 2 = 0)"

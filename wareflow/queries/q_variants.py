@@ -114,10 +114,10 @@ add("c12_cartesian", product, PRODUCT)
 
 def aligned(s, d):
     o = view(s, d, "offers").groupBy("product_id").agg(F.array_sort(F.collect_list(F.struct("pos", "cents", "merchant"))).alias("o"))
-    return V.align(o.select("product_id", F.expr("transform(o, x -> x.cents)").alias("prices"), F.expr("slice(transform(o, x -> x.merchant), 1, 3)").alias("variants")), "product_id", "prices", "variants")
+    return V.align(o.select("product_id", F.expr("transform(o, x -> x.cents)").alias("prices"), F.expr("transform(filter(o, x -> x.merchant % 4 > 0), x -> x.merchant)").alias("variants")), "product_id", "prices", "variants")
 
 
-add("c13_align", aligned, cte("offers") + "select product_id, cast(pos as int) as pos, cents as prices, merchant as variants from offers where pos <= 3")
+add("c13_align", aligned, cte("offers") + ", v as (select product_id, merchant, row_number() over (partition by product_id order by pos) as at from offers where merchant % 4 > 0) select o.product_id, cast(o.pos as int) as pos, o.cents as prices, v.merchant as variants from offers o join v on v.product_id = o.product_id and v.at = o.pos")
 add(
     "c13_half_split",
     lambda s, d: view(s, d, "part").select("p_partkey", F.explode(V.half_split(F.array(F.lit("k1"), F.concat(F.lit("k"), F.col("p_size") % 2 + 1), F.lit("k3"), F.lit("a"), F.lit("b"), "p_brand"))).alias("name", "value")),
@@ -196,7 +196,7 @@ add(
 
 
 def d3(s, d, outer, skip):
-    by = view(s, d, "line").filter("l_linenumber < 7").groupBy(F.col("l_partkey").alias("product_id"), F.col("l_returnflag").alias("color_id")).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("l_linenumber").cast("string").alias("sz"), F.col("l_extendedprice").alias("price"), F.col("l_quantity").cast("int").alias("q")))).alias("sizes"))
+    by = view(s, d, "line").groupBy(F.col("l_partkey").alias("product_id"), F.col("l_returnflag").alias("color_id")).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("l_linenumber").cast("string").alias("sz"), F.col("l_extendedprice").alias("price"), F.col("l_quantity").cast("int").alias("q")))).alias("sizes"))
     by = by.withColumn("sizes", F.when(F.col("color_id") == "R", F.slice("sizes", 1, 0)).otherwise(F.col("sizes")))
     p = by.groupBy("product_id").agg(F.collect_list(F.struct("color_id", "sizes")).alias("colors"))
     m = SiteMapping("color", sku_id="concat(color_id, coalesce(sz, '-'))", price="coalesce(price, 0D)", list_price="0D", stock="coalesce(q, 0)", available="coalesce(q > 0, false)", color="color_id", size="coalesce(sz, '')")
@@ -207,7 +207,7 @@ for name, outer, skip in (("d3_color_sizes", True, False), ("d3_color_sizes_inne
     add(
         name,
         lambda s, d, outer=outer, skip=skip: d3(s, d, outer, skip),
-        cte("line") + f""", l as (select *, row_number() over (partition by l_partkey, l_returnflag order by pos) as r from line where l_linenumber < 7), x as (select l_partkey as product_id, l_returnflag as color_id, cast(l_linenumber as string) as sz, l_extendedprice as price, cast(l_quantity as int) as q from l where l_returnflag <> 'R' {'and r > 1' if skip else ''}
+        cte("line") + f""", l as (select *, row_number() over (partition by l_partkey, l_returnflag order by pos) as r from line), x as (select l_partkey as product_id, l_returnflag as color_id, cast(l_linenumber as string) as sz, l_extendedprice as price, cast(l_quantity as int) as q from l where l_returnflag <> 'R' {'and r > 1' if skip else ''}
  {"union all select distinct l_partkey, l_returnflag, cast(null as string), cast(null as double), cast(null as int) from l where l_returnflag = 'R'" if outer else ''})
  select product_id, color_id, color_id || coalesce(sz, '-') as sku_id, color_id as color, coalesce(sz, '') as size, coalesce(price, 0.0) as price, 0.0::double as list_price, coalesce(q, 0) as stock, coalesce(q > 0, false) as available, 'USD' as currency from x""",
     )
