@@ -172,3 +172,28 @@ def test_long_residues_are_an_error(spark):
     df = spark.createDataFrame([("x", 1, "abc"), ("x", 2, "def")], "g string, pos long, title string")
     with pytest.raises(Exception, match="more than 5 letters"):
         frontier.keyword_residue(df, "g", F.lit(""), [], most=5).collect()
+
+
+@pytest.mark.parametrize("size", [4, 100, 10_000])
+def test_children_of_a_hot_parent(spark, size):
+    """One parent with 3,000 children among others: chunks of about `size` nodes, everything there once, a missing parent's children dropped."""
+    import json
+
+    from wareflow.operators import catalog
+
+    paths = ["/a#1", "/a#2", "/a#1/b#1", "/a#1/b#2", *(f"/a#1/b#1/c#{i}" for i in range(3000)), "/a#1/b#2/c#1", *(f"/a#2/b#{i}" for i in range(200)), "/a#9/b#1", "/a#2/b#777/c#1"]
+    df = spark.createDataFrame([(p, f"v{p}") for p in paths], "path string, value string").withColumns({"chunk": F.lit("x"), "weight": F.lit("y"), "up": F.lit(1)})
+    rows = catalog.roll_up_chunks(df, size=size).collect()
+    nodes = lambda row: 1 + sum(nodes(c) if "children" in c else 1 for c in row["children"])
+    top = {}
+    for r in rows:
+        top.setdefault(r.path, []).append(r)
+        assert r.value == f"v{r.path}" and len([x for x in rows if x.path == r.path]) <= r.chunks
+    assert max(nodes(r.asDict(True)) for r in rows) <= 6 * size + 60
+    leaves = [c["path"] for r in rows for b in r.children for c in b["children"]]
+    assert sorted(leaves) == sorted(p for p in paths if p.count("/") == 3 and "b#777" not in p)
+    assert {b["path"] for r in rows for b in r.children} == {p for p in paths if p.count("/") == 2 and p.startswith(("/a#1", "/a#2"))} and set(top) == {"/a#1", "/a#2"}
+    if size == 10_000:  # one chunk each: what the roll-up gives as text
+        text = {r.path: json.loads(r.json) for r in catalog.roll_up(df.select("path", "value")).collect()}
+        shape = lambda x: {"path": x["path"], "value": x["value"], "children": [shape(c) for c in x.get("children", [])]}
+        assert {r.path: shape(r.asDict(True)) for r in rows} == text

@@ -143,7 +143,7 @@ def roll_up_chunks(records: DataFrame, depth: int = 3, size: int = 10_000) -> Da
     A child is a struct of path, value and, above the last level, chunk, chunks and children of its own: a record whose children take several chunks stands once for each of
     them, in whichever chunks of its parent. No text is built, and a record with very many children is many rows. Records without their parent's record are dropped, as in roll_up().
     """
-    r = records.withColumn("level", F.size(F.split("path", "/")) - 1).withColumn("parent", F.regexp_replace("path", "/[^/]*$", ""))
+    r = records.select("path", "value").withColumn("level", F.size(F.split("path", "/")) - 1).withColumn("parent", F.regexp_replace("path", "/[^/]*$", ""))
     here, entry = r.filter(F.col("level") == depth).select("parent", "path", "value", F.lit(1).cast("long").alias("weight")), ["path", "value"]
     for level in range(depth - 1, 0, -1):
         below = _child_chunks(here, size, entry)

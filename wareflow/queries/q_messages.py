@@ -64,6 +64,17 @@ add("a4_read_sheet", a4, "select coalesce(case when p_size % 3 <> 0 then p_brand
 add("a5_windowed_scan", lambda s, d: sources.windowed_scan(view(s, d, "orders"), "o_orderkey", 10000, "o_custkey % 7 = 3").groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low")), "select o_orderkey // 10000 as \"window\", count(*) as n, min(o_orderkey) as low from orders where o_custkey % 7 = 3 group by 1")
 
 
+def a5(s, d):
+    """The orders in a database of the driver's own (local masters only), read back in even id windows with a filter that runs there."""
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    s._jvm.java.lang.System.setProperty("derby.stream.error.file", f"{tempfile.gettempdir()}/derby-{uuid.uuid4().hex}.log")
+    view(s, d, "orders").select("o_orderkey", (F.col("o_custkey") % 7).cast("int").alias("site"), "o_totalprice").repartition(4).write.jdbc(url, "orders")
+    return sources.read_relational(s, url, "orders", '"o_orderkey"', width=200, where='"site" = 3').select("o_orderkey", "o_totalprice")
+
+
+add("a5_relational", a5, "select o_orderkey, o_totalprice from orders where o_custkey % 7 = 3")
+
+
 def a6(s, d):
     path = scratch(s, "files")
     view(s, d, "nation").select("n_name", F.col("n_nationkey").alias("key")).repartition(4).write.partitionBy("key").text(path)  # a file a nation
