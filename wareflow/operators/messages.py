@@ -58,16 +58,17 @@ def _looked_up(rows: DataFrame, column: str, table: Broadcast, own: str | None =
         for b in batches:
             at = b.schema.get_field_index(column)
             lists = b.column(at)
-            words = lists.flatten().to_pylist()
+            flat = lists.flatten()
             if own is None:
-                words = [known.get(w, w) for w in words]
+                different = flat.dictionary_encode()  # each word of the batch is looked up once
+                words = pa.array([known.get(w, w) for w in different.dictionary.to_pylist()], pa.string()).take(different.indices)
             else:
                 each = [dict(m) if m else None for m in b.column(own).to_pylist()]
                 rows_of = pc.list_parent_indices(lists).to_pylist()
-                words = [w if w is None else known[w] if w in known else (each[r] or {}).get(w, w) for w, r in zip(words, rows_of, strict=True)]
+                words = pa.array([w if w is None else known[w] if w in known else (each[r] or {}).get(w, w) for w, r in zip(flat.to_pylist(), rows_of, strict=True)], pa.string())
             size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), mask=np.append(lists.is_null().to_numpy(zero_copy_only=False), False))
-            yield b.set_column(at, column, pa.ListArray.from_arrays(offsets, pa.array(words, pa.string())))
+            yield b.set_column(at, column, pa.ListArray.from_arrays(offsets, words))
 
     return rows.mapInArrow(replace, schema)
 
