@@ -52,7 +52,12 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")  # what was shuffled for this table goes when it is written, not when the driver next collects its garbage
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.written = path
     for made in _RECORDED:
@@ -60,6 +65,8 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return out
 
 
+#: Spark's setting for shuffle files that go at the end of an execution.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Lists that get every table which is written while they are here: see recorded().
 _RECORDED: list[list[DataFrame]] = []
 

@@ -17,6 +17,8 @@ from .words import _GOLD, mix, parts, span, sums, word_hashes
 SLACK = 0.5
 #: Signatures of a set, the least ones, by which a pair that met before is told.
 FIRST = 16
+#: Parts of the universe in which a set's members are counted: what two sets can have in common, before their members are fetched.
+PARTS = 32
 #: Classes that a task remembers, so that it signs copies once.
 SEEN = 200_000
 
@@ -144,7 +146,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     Copies (equal word sequences) are one class. Signatures that two or more classes share, the cheapest
     of each set, make candidates. Those of a signature are compared with
     one hub, the class among them that shares most signatures; what then still lies in different components
-    is compared pair by pair, if the members that no other candidate has leave room for a link, so that
+    is compared pair by pair, if the members that no other candidate has, and the counts of members by parts of the universe, leave room for a link, so that
     no link between components is lost and copies of one text cost a row for each, not for each pair. Similarities are exact counts over
     64-bit shingle hashes. Texts are hashed anew where they are needed and never shuffled. A
     smaller slack writes fewer signatures and leaves more pairs to compare; the result is the same.
@@ -211,9 +213,12 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
             members, begin, key = shingle_sets(b.column("text"), n)
             hit = wanted.value.hit(key) & (np.diff(begin) > 0)
             lists = pa.LargeListArray.from_arrays(pa.array(begin), pa.array(members.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(key), lists.cast(pa.list_(pa.int64()))], names=["key", "members"]).filter(pa.array(hit))
+            part = np.repeat(np.arange(len(key)), np.diff(begin)) * PARTS + (members >> np.uint64(40)).astype(np.int64) % PARTS
+            counts = pa.array(np.bincount(part, minlength=len(key) * PARTS).astype(np.int32))
+            counts = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * PARTS), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(key), lists.cast(pa.list_(pa.int64())), counts], names=["key", "members", "parts"]).filter(pa.array(hit))
 
-    members = texts.select("text").mapInArrow(sets, "key long, members array<long>")
+    members = texts.select("text").mapInArrow(sets, "key long, members array<long>, parts array<int>")
     members = kept.save(members.join(shared.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "jaccard-members")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -229,15 +234,18 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     rest = placed.join(mixed, "sig")
     # members that no other candidate has are in no intersection, and in every union
     lone = members.select("key", F.explode("members").alias("m")).groupBy("m").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("k")).filter("k = 1").groupBy("key").agg(F.count(F.lit(1)).alias("lone"))
-    sizes = members.select("key", F.size("members").alias("n")).join(lone, "key", "left").select("key", "n", F.coalesce("lone", F.lit(0)).alias("lone"))
+    sizes = members.select("key", F.size("members").alias("n"), "parts").join(lone, "key", "left").select("key", "n", F.coalesce("lone", F.lit(0)).alias("lone"), "parts")
     rest = kept.save(rest.join(sizes, "key").filter(f"100 * (n - lone) >= {percent} * n"), "jaccard-rest")
     least = Window.partitionBy("key", "band").orderBy("sig")  # what a set keeps in a group
     firsts = rest.select("key", "band", "sig").withColumn("r", F.row_number().over(least)).filter(F.col("r") <= FIRST).groupBy("key", "band").agg(F.collect_list("sig").alias("firsts"))
     rest = rest.join(kept.save(firsts, "jaccard-firsts"), ["key", "band"])
-    x, y = (rest.select("sig", *[F.col(c).alias(f"{c}_{i}") for c in ("key", "c", "guest", "n", "lone", "firsts")]) for i in "ab")
+    x, y = (rest.select("sig", *[F.col(c).alias(f"{c}_{i}") for c in ("key", "c", "guest", "n", "lone", "firsts", "parts")]) for i in "ab")
     top = "least(n_a - lone_a, n_b - lone_b)"
     # two guests meet in their own group; a pair isn't made again where both have a common signature among their first ones
     fit = f"key_a < key_b and c_a <> c_b and not (guest_a and guest_b) and 100 * {top} >= {percent} * greatest(n_a + lone_b, n_b + lone_a) and 100 * {top} >= {percent} * (n_a + n_b - {top}) and not exists(array_intersect(firsts_a, firsts_b), s -> s < sig)"
+    # by parts of the universe no more members can be in both than the smaller set has there
+    most = "aggregate(zip_with(parts_a, parts_b, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+    fit += f" and (100 + {percent}) * {most} >= {percent} * (n_a + n_b)"
     pairs = x.join(y, "sig").filter(fit).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     late = kept.save(linked(pairs), "jaccard-late")
     kept.drop(shared, stars, members)
@@ -250,4 +258,5 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
 
 
 def op6_jaccard_join(spark, sf_dir):
+    """Links of all documents by 4-word shingles at a Jaccard similarity of 0.85 or more: doc_id, n_shingles, component_id (long); a row a row of documents."""
     return jaccard_groups(read(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
