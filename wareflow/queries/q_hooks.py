@@ -21,28 +21,28 @@ def u1(s, d):
     """Processors of all three forms: a function of columns, an SQL function's name, a function that the user registered."""
 
     @F.pandas_udf("string")
-    def initials(x: pd.Series) -> pd.Series:
+    def marks(x: pd.Series) -> pd.Series:
         return x.fillna("").str.replace(r"[a-z]+", "", regex=True)
 
-    s.udf.register("user_initials", initials)
+    s.udf.register("user_marks", marks)
     hrefs = (("regex", 'href="([^"]*)"'),)
     rules = [
-        Rule("title", (("regex", "<title>(.*?)</title>"),), order=1, input="upper"),
+        Rule("title", (("regex", "<title>(.*?)</title>"),), order=1, input="reverse"),
         Rule("paths", hrefs, order=1, input=lambda x: F.regexp_replace(x, "[?#].*$", ""), output=lambda v: F.array_join(F.array_distinct(v), "|")),
         Rule("last", hrefs, order=1, output=lambda v: F.try_element_at(v, F.lit(-1)), default="-"),
         Rule("joined", (("sql", "title"), ("sql", "last")), order=2, output=lambda v: F.array_join(v, " > ")),
     ]
     found = extract(view(s, d, "pages"), rules)
-    return found.withColumn("short", F.call_function("user_initials", F.initcap("title")))
+    return found.withColumn("short", F.call_function("user_marks", F.col("last")))
 
 
 add(
     "u1_field_processors",
     u1,
-    """with p as (select page_id, url, upper(regexp_extract(html, '<title>(.*?)</title>', 1)) as title, regexp_extract_all(html, 'href="([^"]*)"', 1) as h from pages),
+    """with p as (select page_id, url, reverse(regexp_extract(html, '<title>(.*?)</title>', 1)) as title, regexp_extract_all(html, 'href="([^"]*)"', 1) as h from pages),
  q as (select page_id, url, trim(title) as title, h, case when len(h) > 0 and h[-1] <> '' then h[-1] else '-' end as last from p), x as (select *, list_transform(h, lambda v: regexp_replace(v, '[?#].*$', '')) as a from q)
  select page_id, url, title, coalesce(array_to_string(list_filter(a, lambda v, i: list_position(a, v) = i), '|'), '') as paths, last, title || ' > ' || last as joined,
-  regexp_replace(array_to_string(list_transform(string_split(title, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' '), '[a-z]+', '', 'g') as short from x""",
+  regexp_replace(last, '[a-z]+', '', 'g') as short from x""",
 )
 
 
