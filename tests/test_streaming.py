@@ -200,6 +200,15 @@ def test_replay_is_in_ranges(spark, tmp_path):
     assert len(seen) == 4 and sum(r[2] for r in seen) == 9000 and all(a[1] < b[0] for a, b in zip(seen, seen[1:], strict=False)) and min(r[2] for r in seen) > 2000
 
 
+def test_a_small_range_is_a_batch_of_its_own(spark, tmp_path):
+    """A range of one row among ranges of thousands, and one without rows: no batch has rows of two ranges."""
+    rows = spark.range(60_000).select(F.when(F.col("id") < 30_000, F.col("id")).when(F.col("id") == 30_000, 50_000).otherwise(F.col("id") + 100_000).alias("at"))
+    seen = []
+    stream = T.replay(spark, rows, str(tmp_path / "in"), "at", bounds=[29_999, 40_000, 50_000])
+    T.route_stream(stream, lambda batch, name: seen.append(batch.agg(F.min("at"), F.max("at"), F.count("at")).first()), str(tmp_path / "keep"))
+    assert [tuple(r) for r in seen] == [(0, 29_999, 30_000), (50_000, 50_000, 1), (130_001, 159_999, 29_999)]
+
+
 def test_relational_windows_are_even(spark, tmp_path):
     """Against a database: a tenth of the id range has nine tenths of the rows, and each window still has about as many as the others."""
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
