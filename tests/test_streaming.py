@@ -223,3 +223,70 @@ def test_relational_windows_are_even(spark, tmp_path):
     assert fixed.rdd.getNumPartitions() == 5 and fixed.count() == 1125
     assert sources.read_relational(spark, url, "items", '"id"', where='"site" = 9').count() == 0
     assert sources.read_relational(spark, url, "items", '"id"', width=10**6).count() == 5000
+
+
+def plain_retries(rows, most, forget):
+    count, last, out = 0, None, []
+    for sec, seq, ok in rows:
+        count = 0 if ok or (last is not None and sec - last >= forget) else count
+        count, last = 0 if ok else count + 1, sec
+        out.append((seq, "ENRICH" if ok else "retry" if count < most else "abandoned", count))
+        count = 0 if count >= most else count
+    return out
+
+
+def plain_notices(rows, idle, forget):
+    total, done, last, told, out = 0, 0, None, False, []
+    for sec, _, kind, n in rows:
+        if told and sec - last >= forget:
+            total, done, last, told = 0, 0, None, False
+        if last is not None and not told and sec - last >= idle:
+            told = True
+            out.append(("error", last + idle))
+        total, done, last = total + n * (kind == "scheduled"), done + n * (kind != "scheduled"), sec
+        if not told and (0 < total <= done or (total == 0 and done > 0)):
+            told = True
+            out.append(("finished", sec))
+    return out
+
+
+def plain_firings(rows, default, end):
+    due, out = None, []
+    for sec, seq, event, wait, date in [*rows, (end, None, None, None, None)]:
+        while due is not None and due <= sec:
+            out.append((held, due))  # noqa: F821
+            due += each  # noqa: F821
+        held, each = seq, wait or default
+        due = None if event == "delete" else sec + each if date is None else date
+    return out
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_rows_are_taken_by_columns(seed, monkeypatch):
+    """Retries, notices and firings of many rows in runs of any length, by columns: as row by row."""
+    import random
+
+    import pyarrow as pa
+
+    r = random.Random(seed)
+    monkeypatch.setattr(processors, "GIVEN", 7)
+    secs = [0]
+    for _ in range(3000):
+        secs.append(secs[-1] + r.choice([0, 1, 5, 20, 90, 100, 250]))
+    results = [(t, i, r.choice([True, False, False, None])) for i, t in enumerate(secs)]
+    events = [(t, i, r.choice(["scheduled", "crawled", "crawled", None]), r.randint(0, 3)) for i, t in enumerate(secs)]
+    messages = [(t, i, r.choice(["upsert", "delete", None]), r.choice([0, None, 3, 40]), r.choice([None, None, t - 10, t + 100])) for i, t in enumerate(secs)]
+
+    def taken(processor, rows, end=None):
+        processor.load(None)
+        out, at = [], 0
+        while at < len(rows):
+            n = r.choice([1, 2, 50, 700])
+            part = rows[at : at + n]
+            out += [x for c in processor.take(pa.table({c: pa.array(v) for c, v in zip(processor.waits, zip(*part, strict=True), strict=True)})) for x in zip(*c, strict=True)]
+            at += n
+        return out + [x for c in processor.passed(end) for x in zip(*c, strict=True)] if end else out
+
+    assert taken(processors.Retried(3, 100), results) == plain_retries(results, 3, 100)
+    assert taken(processors.Finished(90, 200), events) == plain_notices(events, 90, 200)
+    assert taken(processors.Delayed(30), messages, secs[-1] + 500) == plain_firings(messages, 30, secs[-1] + 500)
