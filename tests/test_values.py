@@ -1,5 +1,7 @@
 """Edge values of the per-value rules, joins and variants on hand-made rows."""
 
+import re
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -101,6 +103,27 @@ def test_user_processor(spark):
     assert {r.id: r.text for r in translate(texts, None, function=shout).collect()} == {1: "A B"}
 
 
+def test_user_function_shuffles_nothing(spark):
+    """Segments go back to their text where they are: texts longer than a batch, empty ones, segments that the function has nothing for, small batches."""
+    from pyspark.sql.functions import pandas_udf
+
+    from wareflow.operators.messages import translate
+
+    @pandas_udf("string")
+    def some(s):
+        return s.str.upper().where(s.str.len() > 1)
+
+    texts = [(i, " ".join(f"{'w' * (j % 3)}{'x' if j % 3 else ''}" or "y" for j in range(i * 7))) for i in range(60)] + [(100, "ab " * 30_000 + "end"), (101, ""), (None, "no id"), (103, None)]
+    df = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        found = translate(df, None, function=some)
+        assert found._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 1  # the repartition above
+        assert {r.id: r.text for r in found.collect()} == {i: " ".join(w.upper() if len(w) > 1 else w for w in re.split("[ \n]+", t)) for i, t in texts if t is not None}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_closed_weekday(spark):
     due = spark.createDataFrame([(1, "s", 5), (1, "s", 4), (2, "", 4), (3, "t", 4)], "item_id int, site string, due long")
     friday = 4 * 86400  # 1970-01-05 was a Monday
