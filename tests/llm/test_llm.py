@@ -269,6 +269,33 @@ def test_bpe_equals_the_library(spark, docs):
     assert d.n_tokens == 0 and d.ids_sha256 == d.decoded_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_bpe_encodes_a_word_once(monkeypatch):
+    """A word that many runs hold is taken through the automaton once, also when the runs are forgotten, and words are kept up to a bound."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, calls = Tokenizer.from_file(path), []
+    with open(path, "rb") as f:
+        t = bpe.Tokenizer(f.read())
+    encode = t.automaton.encode
+    monkeypatch.setattr(t.automaton, "encode", lambda w: calls.append(w) or encode(w))
+
+    def same(texts):
+        offsets, ids = t.encode_batch(texts)
+        assert [ids[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:], strict=True)] == [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+    monkeypatch.setattr(bpe, "CACHE", 2)
+    for _ in range(3):
+        same(["thenti, (thenti) \"Thenti\" thenti-eawh", None, "eawh!"])
+    assert sorted(w for w in calls if w.isalpha()) == ["eawh", "thenti"]
+    monkeypatch.setattr(bpe, "WORDS", 5)
+    monkeypatch.setattr(bpe, "RESTS", 3)
+    for k in range(40):
+        same([" ".join(f"{'nter' * (i % 3)}st{chr(97 + i % 26)}nt{'ñé' * (i % 2)}" for i in range(k, k + 9)) + " \x7f\x01a ﬁ"])
+    assert len(t.known) < 40 and len(t.before) < 40 and len(t.automaton.rests) <= 3
+
+
 def shingle_set(text, n):
     w = [x.decode() for x in (text or "").encode().lower().split()]
     return frozenset(" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()

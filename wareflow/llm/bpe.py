@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 import zlib
@@ -22,7 +23,11 @@ from .words import parts
 #: Unicode White_Space, written out because Python's own class also holds U+001C to U+001F.
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Runs of non-white characters that a worker keeps encoded, and their characters; the cache starts anew beyond either.
-CACHE, CACHE_CHARS = 150_000, 4_000_000
+CACHE, CACHE_CHARS = 300_000, 4_000_000
+#: Pre-split words that a worker keeps encoded, whatever runs they came in, twice at most (the last and those before), and the longest of them.
+WORDS, WORD_CHARS = 150_000, 64
+#: Ends of words whose labels a worker keeps, and the longest of them.
+RESTS, REST_CHARS = 50_000, 10
 
 
 class Automaton:
@@ -71,15 +76,20 @@ class Automaton:
             without.setdefault(u, {})[v] = t
         self._compile(n, left, right, born, without)
         self.longest = max((len(x) - 4 * x.endswith("</w>") for x in vocab), default=1)
-        self.heads: dict[str, int] = {}  # every prefix of an inner label: its id, or -1
+        self.heads: dict[str, tuple[int, dict]] = {}  # a tree of the inner labels by characters: a label's id, or -1, and what follows
         self.whole: dict[str, int] = {}  # the labels that end a word
+        self.rests: dict[str, tuple[tuple[int, int], ...]] = {}
         for x, i in vocab.items():
             inner = not x.endswith("</w>")
-            if born[i] >= 0 or len(x) - 4 * (not inner) == 1:
-                (self.heads if inner else self.whole)[x if inner else x[:-4]] = i
-        for x in list(self.heads):
-            for k in range(1, len(x)):
-                self.heads.setdefault(x[:k], -1)
+            if born[i] < 0 and len(x) - 4 * (not inner) != 1:
+                continue
+            if not inner:
+                self.whole[x[:-4]] = i
+                continue
+            below = self.heads
+            for c in x[:-1]:
+                below = below.setdefault(c, (-1, {}))[1]
+            below[x[-1]] = (i, below.get(x[-1], (-1, {}))[1])
 
     def _compile(self, n: int, left: list[int], right: list[int], born: list[int], without: dict) -> None:
         below: list[list[int]] = [[] for _ in range(n)]
@@ -129,42 +139,57 @@ class Automaton:
         k = bisect_right(self.starts, at, low, self.row[state + 1])
         return k == low or self.ends[k - 1] <= at
 
-    def _arcs(self, word: str, i: int) -> list[tuple[int, int]]:
-        """All labels that spell word from i on, and where they end; the longest is the last."""
-        out, heads, n = [], self.heads, len(word)
-        for j in range(i + 1, n):
-            x = heads.get(word[i:j])
-            if x is None:
+    def _arcs(self, rest: str) -> tuple[tuple[int, int], ...]:
+        """All labels that the rest of a word begins with, and their lengths; the longest is the first."""
+        out, below, n = [], self.heads, len(rest)
+        for j, c in enumerate(rest[: min(n - 1, self.longest)], 1):  # the last character has a label that ends the word
+            if c not in below:
                 break
+            x, below = below[c]
             if x >= 0:
                 out.append((x, j))
-        if n - i <= self.longest:
-            x = self.whole.get(word[i:])
+        if n <= self.longest:
+            x = self.whole.get(rest)
             if x is not None:
                 out.append((x, n))
-        return out
+        found = tuple(out[::-1])
+        if n <= REST_CHARS:
+            if len(self.rests) >= RESTS:
+                self.rests.clear()
+            self.rests[rest] = found
+        return found
 
     def encode(self, word: str) -> list[int]:
         """The labels on the one accepting path that spells word (byte-level symbols, the last with </w>).
 
         A prefix has one path at most, so a place from which the end can't be reached is never
-        entered again, and the search is linear in the word's length.
+        entered again, and the search is linear in the word's length. The transitions are those of arc(), looked up in place.
         """
-        n, state, i, arcs = len(word), -1, 0, self._arcs(word, 0)
+        if word in self.whole:
+            return [self.whole[word]]  # any label may be the first
+        place, starts, ends, row, rests = self.place, self.starts, self.ends, self.row, self.rests
+        n, i, far = len(word), 0, self.longest + 1  # no label reaches beyond
+        arcs = iter(self._arcs(word[:far]))
+        low = high = 0  # the row of the state: of the first, empty
         out, held, dead = [], [], set()
         while True:
-            while arcs:
-                x, j = arcs.pop()
-                if j not in dead and (state < 0 or self.arc(state, x)):
+            for x, size in arcs:
+                j = i + size
+                if dead and j in dead:
+                    continue
+                at = place[x]
+                k = bisect_right(starts, at, low, high)
+                if k == low or ends[k - 1] <= at:
                     out.append(x)
                     if j == n:
                         return out
-                    held.append((state, i, arcs))
-                    state, i, arcs = x, j, self._arcs(word, j)
+                    held.append((low, high, i, arcs))
+                    low, high, i, rest = row[x], row[x + 1], j, word[j : j + far]
+                    arcs = iter(rests[rest] if rest in rests else self._arcs(rest))
                     break
             else:
                 dead.add(i)
-                state, i, arcs = held.pop()
+                low, high, i, arcs = held.pop()
                 out.pop()
 
 
@@ -182,6 +207,17 @@ def _bytes_to_symbols() -> list[str]:
     return out
 
 
+class _Numbers(dict):
+    """Numbers of runs; that of a new run is made when it is asked for."""
+
+    def __init__(self, new):
+        self.new = new
+
+    def __missing__(self, run: str) -> int:
+        n = self[run] = self.new(run)
+        return n
+
+
 class Tokenizer:
     """Normalisation, pre-tokenization and the automaton of one tokenizer file (its text)."""
 
@@ -200,11 +236,13 @@ class Tokenizer:
         self.white = regex.compile(f"[{WHITE}]+")
         self.odd = regex.compile("[\x1c-\x1f]")  # Python splits at these, the pattern doesn't
         self.table = {b: s for b, s in enumerate(_bytes_to_symbols())}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
         self.fresh()
 
     def fresh(self) -> None:
         self.held = 0
-        self.number: dict[str, int] = {}
+        self.number = _Numbers(self._new)
         self.flat, self.begin = array("i"), array("q", [0])
 
     def normal(self, text: str) -> str:
@@ -213,23 +251,33 @@ class Tokenizer:
 
     def _new(self, run: str) -> int:
         """Keep the ids of a run of non-white characters: no pre-split word reaches beyond one."""
-        encode, table = self.automaton.encode, self.table
+        known, flat = self.known, self.flat
         for word in self.pieces(run):
-            if word[0] == "\0" and word[1:] in self.special:
-                self.flat.append(self.special[word[1:]])
-            else:
-                self.flat.extend(encode(word.encode("utf-8").decode("latin-1").translate(table)))
+            flat.extend(known[word] if word in known else self._word(word))
         self.held += len(run)
-        n = self.number[run] = len(self.begin) - 1
-        self.begin.append(len(self.flat))
-        return n
-
-    def pieces(self, text: str) -> list[str]:
-        """The pre-split words of a text; a special token is marked by a NUL before it."""
-        if self.at_special is None or "<|" not in text:
-            return self.words.findall(self.normal(text))
+        self.begin.append(len(flat))
+        return len(self.begin) - 2
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        """The ids of a pre-split word, which are kept for the other runs that it is in."""
+        if word[0] == "\0" and word[1:] in self.special:
+            return (self.special[word[1:]],)
+        ids = self.before.get(word)
+        if ids is None:
+            plain = word.isascii() and word.isprintable()  # each character is its own symbol
+            ids = tuple(self.automaton.encode(word if plain else word.encode("utf-8").decode("latin-1").translate(self.table)))
+        if len(word) <= WORD_CHARS:
+            self.known[word] = ids
+        return ids
+
+    def pieces(self, run: str) -> list[str]:
+        """The pre-split words of a run; a special token is marked by a NUL before it."""
+        if self.at_special is None or "<|" not in run:
+            if not run.isascii():
+                return self.words.findall(self.normal(run))
+            return [run.lower()] if run.isalpha() else self.words.findall(run.lower())
         out: list[str] = []
-        for i, part in enumerate(self.at_special.split(text)):
+        for i, part in enumerate(self.at_special.split(run)):
             out += [f"\0{part}"] if i % 2 else self.words.findall(self.normal(part))
         return out
 
@@ -237,10 +285,12 @@ class Tokenizer:
         """Offsets and all ids of a list of texts."""
         if len(self.number) > CACHE or self.held > CACHE_CHARS:
             self.fresh()
-        number, new, seen, counts = self.number, self._new, array("q"), [0]
+        if len(self.known) > WORDS:
+            self.known, self.before = {}, self.known
+        number, seen, counts = self.number.__getitem__, array("q"), [0]
         for text in texts:
             runs = self.white.split(text or "") if self.odd.search(text or "") else (text or "").split()
-            seen.extend([number[w] if w in number else new(w) for w in runs])
+            seen.extend(map(number, runs))
             counts.append(len(seen))
         at, begin = np.frombuffer(seen, dtype=np.int64) if seen else np.zeros(0, np.int64), np.frombuffer(self.begin, dtype=np.int64).copy()
         flat = np.frombuffer(self.flat, dtype=np.int32).copy() if self.flat else np.zeros(0, np.int32)
@@ -256,8 +306,11 @@ class Tokenizer:
 
 @lru_cache(maxsize=1)
 def compiled(packed: bytes) -> Tokenizer:
-    """The tokenizer of a compressed file, compiled once in each worker."""
-    return Tokenizer(zlib.decompress(packed))
+    """The tokenizer of a compressed file, compiled once in each worker, whose garbage collector then leaves the table alone."""
+    made = Tokenizer(zlib.decompress(packed))
+    gc.collect()
+    gc.freeze()
+    return made
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
