@@ -76,6 +76,18 @@ def test_complement_keeps_unlisted_sizes(spark):
     assert {tuple(r)[1:] for r in variants.complement_sizes(p).collect()} == {("red", "S", 0.0, 0), ("red", None, 2.0, 3)}
 
 
+def test_options_meet_in_their_row(spark):
+    """Nothing is shuffled; options that lack the other, repeated and null variants, null names and arrays, null product ids."""
+    kind = "array<struct<variant:long,name:string>>"
+    p = spark.createDataFrame(
+        [(1, [(1, "red"), (2, "blue"), (None, "odd"), (4, None)], [(1, "S"), (1, "M"), (3, "L"), (None, "XL"), (4, "S")]), (2, [(1, "red"), None], []), (3, [(1, "red")], None), (4, None, [(1, "S")]), (5, [(1, "a"), (1, "b")], [(1, "S"), (1, None)]), (None, [(1, "red")], [(1, "S")])],
+        f"product_id int, colors {kind}, sizes {kind}",
+    )
+    got = variants.merge_attributes(p)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 1, "red", "S"), (1, 1, "red", "M"), (2, 1, "red", None), (2, None, None, None), (3, 1, "red", None), (5, 1, "a", "S"), (5, 1, "b", "S")], key=repr)
+    assert "Exchange" not in got._jdf.queryExecution().sparkPlan().toString() and "Join" not in got._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_empty_axes(spark):
     p = spark.createDataFrame([(1, ["a", " "], []), (2, None, ["x"])], "product_id int, color array<string>, size array<string>")
     assert {(r.product_id, r.color, r.size) for r in variants.cartesian(p, ["color", "size"]).collect()} == {(1, "a", "default"), (2, "default", "x")}
