@@ -197,3 +197,17 @@ def test_children_of_a_hot_parent(spark, size):
         text = {r.path: json.loads(r.json) for r in catalog.roll_up(df.select("path", "value")).collect()}
         shape = lambda x: {"path": x["path"], "value": x["value"], "children": [shape(c) for c in x.get("children", [])]}
         assert {r.path: shape(r.asDict(True)) for r in rows} == text
+
+
+def test_images_are_dealt_out_before_they_are_ranked(spark):
+    """No task sorts all that it reads, and a hot colour's images are in several tasks; the best rank wins, then the first position."""
+    from wareflow.operators import catalog
+
+    images = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("product_id"), F.lit("red").alias("color"), (-F.col("id")).alias("pos"), F.when(F.col("id") == 7, "best").when(F.col("id") % 500 == 1, "good").otherwise("x").alias("kind"), F.col("id").cast("string").alias("url"))
+    got = catalog.choose_main(images, spark.createDataFrame([("best", 0), ("good", 1)], "kind string, rank int"))
+    found = {r.product_id: (r.url, r.rank) for r in got.collect()}
+    assert len(found) == 1001 and found.pop(1) == ("7", 0)
+    assert all(found[i] == (str(i), 1 if i % 500 == 1 else None) for i in found)
+    below = got._jdf.queryExecution().sparkPlan().toString()
+    below = below[below.rindex("WindowGroupLimit"):]  # the part before the shuffle by colour
+    assert "Partial" in below.splitlines()[0] and "Exchange hashpartitioning(product_id" in below and "pos#" in below[below.index("Exchange hashpartitioning("):].splitlines()[0]
