@@ -211,3 +211,16 @@ def test_images_are_dealt_out_before_they_are_ranked(spark):
     below = got._jdf.queryExecution().sparkPlan().toString()
     below = below[below.rindex("WindowGroupLimit"):]  # the part before the shuffle by colour
     assert "Partial" in below.splitlines()[0] and "Exchange hashpartitioning(product_id" in below and "pos#" in below[below.index("Exchange hashpartitioning("):].splitlines()[0]
+
+
+def test_chunks_come_in_small_batches(spark):
+    """Python gets chunks a few megabytes at a time, unless the session has a size of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df = spark.createDataFrame([("x", 1, "abc")], "g string, pos long, title string")
+    try:
+        for own, wanted in ((None, frontier.BATCH), ("1000000b", 1_000_000)):
+            spark.conf.set(name, own) if own else spark.conf.unset(name)
+            frontier.keyword_residue(df, "g", F.lit("a"), [])
+            assert int(spark.conf.get(name).rstrip("b")) == wanted
+    finally:
+        spark.conf.unset(name)
