@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from wareflow.operators import frontier, joins, ledger, messages
@@ -142,6 +143,26 @@ def test_a_small_memory_shuffles_no_text(spark):
     assert "Exchange" not in plan(messages.translate(texts, memory)) and "Exchange" in plan(messages.translate(texts, memory, most=0))
 
 
+@pytest.mark.parametrize("heavy,held", [(3, {"the": "the", "cat": "Katze"}), (1, {}), (52, {"the": "the", "cat": "Katze", **{f"x{i}": f"x{i}" for i in range(50)}})])
+def test_frequent_words_without_an_entry_are_held(spark, monkeypatch, heavy, held):
+    """A word that all texts have meets no join, whether a large memory knows it or not, and the memory is computed once."""
+    sent, seen, plain = [], spark.sparkContext.accumulator(0), SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda sc, value: sent.append(value) or plain(sc, value))
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    texts = spark.range(200).select("id", F.format_string("the w%d cat x%d w%d", "id", F.col("id") % 50, "id").alias("text"))
+    entries = [(f"w{i}", f"W{i}") for i in range(0, 400, 2)] + [("cat", "Katze"), (None, "x"), ("w2", "Z")]
+    memory = spark.createDataFrame(entries, "src string, dst string").mapInArrow(counted, "src string, dst string")
+    got = {r.id: r.text for r in messages.translate(texts, memory, most=0, heavy=heavy).collect()}
+    word = lambda i: f"W{i}" if i % 2 == 0 else f"w{i}"
+    assert got == {i: f"the {word(i)} Katze x{i % 50} {word(i)}" for i in range(200)}
+    assert sent == [held] and seen.value == len(entries)
+
+
 def brute_residue(rows, words, stop):
     out = {}
     for group in {r[0] for r in rows}:
